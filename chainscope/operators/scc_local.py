@@ -1,0 +1,79 @@
+"""Finish for one small graph: Tarjan's SCC on a pandas batch.
+
+Used by :func:`chainscope.operators.scc.scc_members` through
+``groupBy(lvl).applyInPandas`` only for groups whose edge count was checked
+against a bound, so one task never holds an unbounded group.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+
+OUT_COLUMNS = ["lvl", "v", "root"]
+
+
+def tarjan_members(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertex, root) for vertices of SCCs with two or more vertices; root is
+    the smallest vertex of the SCC. Iterative, so deep graphs do not recurse."""
+    verts, inv = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    n = len(verts)
+    s, d = inv[: len(src)], inv[len(src):]
+    order = np.argsort(s, kind="stable")
+    s, d = s[order], d[order]
+    start = np.searchsorted(s, np.arange(n + 1))
+    index = np.full(n, -1, dtype=np.int64)
+    low = np.zeros(n, dtype=np.int64)
+    on_stack = np.zeros(n, dtype=bool)
+    comp = np.full(n, -1, dtype=np.int64)
+    stack: list[int] = []
+    counter = 0
+    n_comp = 0
+    for root in range(n):
+        if index[root] >= 0:
+            continue
+        work = [(root, start[root])]
+        index[root] = low[root] = counter
+        counter += 1
+        stack.append(root)
+        on_stack[root] = True
+        while work:
+            v, pos = work[-1]
+            if pos < start[v + 1]:
+                work[-1] = (v, pos + 1)
+                w = d[pos]
+                if index[w] < 0:
+                    index[w] = low[w] = counter
+                    counter += 1
+                    stack.append(w)
+                    on_stack[w] = True
+                    work.append((w, start[w]))
+                elif on_stack[w]:
+                    low[v] = min(low[v], index[w])
+                continue
+            work.pop()
+            if work:
+                u = work[-1][0]
+                low[u] = min(low[u], low[v])
+            if low[v] == index[v]:
+                while True:
+                    w = stack.pop()
+                    on_stack[w] = False
+                    comp[w] = n_comp
+                    if w == v:
+                        break
+                n_comp += 1
+    sizes = np.bincount(comp, minlength=n_comp)
+    keep = sizes[comp] >= 2
+    mins = np.full(n_comp, np.iinfo(np.int64).max, dtype=np.int64)
+    np.minimum.at(mins, comp, verts)
+    return verts[keep], mins[comp][keep]
+
+
+def scc_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    if pdf.empty:
+        return pd.DataFrame({c: pd.Series(dtype="int64") for c in OUT_COLUMNS})
+    pdf = pdf[pdf["src"] != pdf["dst"]]
+    v, r = tarjan_members(pdf["src"].to_numpy(np.int64), pdf["dst"].to_numpy(np.int64))
+    lvl = int(pdf["lvl"].iloc[0]) if len(pdf) else 0
+    return pd.DataFrame({"lvl": np.full(len(v), lvl, dtype=np.int32), "v": v, "root": r})

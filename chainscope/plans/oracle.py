@@ -91,3 +91,101 @@ SELECT hex_chars, hex_chars * 4 AS bit_count, CAST(hex_chars * 4 AS DOUBLE) / 8
     + """SELECT CAST(count(*) AS BIGINT) AS n_candidates, (SELECT n_transfers FROM stats) AS n_transfers
   FROM net WHERE abs(net_value) < 0.15 * (SELECT avg_value FROM stats)""",
 }
+
+
+# --- transfer graph and SCC peeling ------------------------------------
+
+EDGES = """SELECT from_address AS src, to_address AS dst, count(*) AS weight,
+  CAST(sum(value) AS DECIMAL(38,0)) AS value FROM tx
+  WHERE from_address IS DISTINCT FROM to_address AND from_address IS NOT NULL AND to_address IS NOT NULL
+  GROUP BY 1, 2"""
+
+
+def _graph(accounts: int, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + f"tx AS ({b.transfers_mod_sql(accounts)}),\ne AS ({EDGES})"
+
+
+VERTICES = """, nonself AS (SELECT * FROM tx WHERE from_address IS DISTINCT FROM to_address),
+v AS (SELECT address, min(token_type) AS token_type FROM (
+  SELECT from_address AS address, token_type FROM nonself UNION ALL SELECT to_address, token_type FROM nonself)
+  WHERE address IS NOT NULL GROUP BY address)
+"""
+
+COMPONENTS = """,
+reach(s, d) AS (SELECT src, dst FROM e UNION SELECT r.s, e.dst FROM reach r JOIN e ON r.d = e.src),
+mutual AS (SELECT a.s AS address, a.d AS other FROM reach a JOIN reach b ON a.s = b.d AND a.d = b.s WHERE a.s <> a.d),
+comp AS (SELECT address, least(address, min(other)) AS component, count(*) + 1 AS n_members FROM mutual GROUP BY address)
+"""
+
+LEVELS = """,
+lv AS (SELECT weight AS level_weight, weight - coalesce(lag(weight) OVER (ORDER BY weight), 0) AS multiplicity
+       FROM (SELECT DISTINCT weight FROM e)),
+le AS (SELECT lv.level_weight, e.src, e.dst FROM e JOIN lv ON e.weight >= lv.level_weight),
+reach(l, s, d) AS (SELECT level_weight, src, dst FROM le
+                   UNION SELECT r.l, r.s, le.dst FROM reach r JOIN le ON r.l = le.level_weight AND r.d = le.src),
+mutual AS (SELECT a.l, a.s AS address, a.d AS other FROM reach a JOIN reach b
+           ON a.l = b.l AND a.s = b.d AND a.d = b.s WHERE a.s <> a.d),
+mem AS (SELECT l AS level_weight, address, least(address, min(other)) AS set_key, count(*) + 1 AS n_members
+        FROM mutual GROUP BY l, address),
+lsets AS (SELECT DISTINCT m.level_weight, m.set_key, m.n_members, lv.multiplicity FROM mem m JOIN lv USING (level_weight)),
+occ AS (SELECT set_key, n_members, CAST(sum(multiplicity) AS BIGINT) AS occurrences,
+        CAST(min(level_weight - multiplicity + 1) AS BIGINT) AS first_round, CAST(max(level_weight) AS BIGINT) AS last_round
+        FROM lsets GROUP BY set_key, n_members),
+members AS (SELECT DISTINCT set_key, n_members, address FROM mem),
+cand AS (SELECT * FROM occ WHERE occurrences >= 3),
+nonself AS (SELECT * FROM tx WHERE from_address IS DISTINCT FROM to_address),
+legs AS (SELECT from_address AS address, -value AS amount FROM nonself
+         UNION ALL SELECT to_address AS address, value AS amount FROM nonself),
+net AS (SELECT address, CAST(sum(amount) AS DECIMAL(38,0)) AS net_value FROM legs GROUP BY address),
+ps AS (SELECT m.set_key, m.n_members, CAST(coalesce(sum(n.net_value), 0) AS DECIMAL(38,0)) AS net_sum,
+       CAST(coalesce(sum(abs(n.net_value)), 0) AS DECIMAL(38,0)) AS abs_sum
+       FROM members m LEFT JOIN net n ON m.address = n.address GROUP BY 1, 2),
+vm AS (SELECT c.*, ps.net_sum, ps.abs_sum,
+       CAST(abs(ps.net_sum) AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(ps.abs_sum AS DOUBLE) AS volume_matched
+       FROM cand c LEFT JOIN ps USING (set_key, n_members)),
+matched_members AS (SELECT m.* FROM members m JOIN vm USING (set_key, n_members) WHERE vm.volume_matched),
+cand_members AS (SELECT m.* FROM members m JOIN cand USING (set_key, n_members))
+"""
+
+SET_EDGES = """SELECT ms.set_key, ms.n_members, e.src, e.dst, e.weight, e.value FROM e
+  JOIN {m} ms ON e.src = ms.address
+  JOIN {m} md ON md.set_key = ms.set_key AND md.n_members = ms.n_members AND e.dst = md.address"""
+
+G20, G40 = _graph(20), _graph(40)
+R20, R40 = _graph(20, True), _graph(40, True)
+
+ORACLE.update({
+    "graph_vertices": G20 + VERTICES + "SELECT address, token_type FROM v",
+    "graph_edges": G20 + "\nSELECT * FROM e",
+    "edge_peel": G20 + "\nSELECT src, dst, weight - 1 AS weight, value FROM e WHERE weight - 1 > 0",
+    "vertices_with_edges": G20 + VERTICES + """SELECT address, token_type FROM v WHERE address IN (
+  SELECT src FROM e WHERE weight > 1 UNION SELECT dst FROM e WHERE weight > 1)""",
+    "scc_components": R40 + COMPONENTS + "SELECT address, component, n_members FROM comp",
+    "scc_edges": R40 + COMPONENTS + """SELECT c1.component, c1.n_members, e.src, e.dst, e.weight, e.value
+  FROM e JOIN comp c1 ON e.src = c1.address JOIN comp c2 ON e.dst = c2.address AND c1.component = c2.component""",
+    "scc_occurrences": R20 + LEVELS + "SELECT * FROM occ",
+    "scc_candidates": R20 + LEVELS + "SELECT * FROM cand",
+    "scc_set_members": R20 + LEVELS + "SELECT set_key, n_members, address FROM members",
+    "scc_volume_match": R20 + LEVELS + "SELECT * FROM vm",
+    "wash_sets": R20 + LEVELS + """SELECT o.*, ps.net_sum, ps.abs_sum,
+  CAST(abs(ps.net_sum) AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(ps.abs_sum AS DOUBLE) AS volume_matched,
+  o.occurrences >= 3 AS is_candidate FROM occ o LEFT JOIN ps USING (set_key, n_members)""",
+    "wash_set_volume": R20 + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")})
+SELECT set_key, n_members, count(*) AS n_edges, CAST(sum(weight) AS BIGINT) AS n_transfers,
+  CAST(sum(value) AS DECIMAL(38,0)) AS volume FROM se GROUP BY 1, 2""",
+    "wash_suspects": R20 + LEVELS + "SELECT address, count(*) AS n_sets FROM matched_members GROUP BY address",
+    "top_wash_trader": R20 + LEVELS + f""", we AS (SELECT DISTINCT src, dst, value FROM ({SET_EDGES.format(m="matched_members")})),
+wv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS wash_volume FROM (
+  SELECT src AS address, value AS v FROM we UNION ALL SELECT dst, value FROM we) GROUP BY address),
+tv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS total_volume FROM (
+  SELECT src AS address, value AS v FROM e UNION ALL SELECT dst, value FROM e) GROUP BY address)
+SELECT wv.address, wv.wash_volume, tv.total_volume,
+  CAST(wv.wash_volume AS DOUBLE) / CAST(tv.total_volume AS DOUBLE) AS wash_share
+  FROM wv LEFT JOIN tv USING (address) ORDER BY wash_volume DESC, address LIMIT 1""",
+    "vertex_scc_counts": R20 + LEVELS + """SELECT m.address, CAST(sum(lv.multiplicity) AS BIGINT) AS n_rounds,
+  count(DISTINCT (m.set_key, m.n_members)) AS n_sets FROM mem m JOIN lv USING (level_weight) GROUP BY m.address""",
+    "reciprocal_pairs": G40 + """
+SELECT x.src AS a, x.dst AS b, x.weight AS weight_ab, x.value AS value_ab, y.weight AS weight_ba, y.value AS value_ba
+  FROM e x JOIN e y ON x.src = y.dst AND x.dst = y.src WHERE x.src < x.dst""",
+})

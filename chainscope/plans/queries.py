@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.operators import blocks, cleaning, contracts, overhead, timeseries, transfers
+from chainscope.operators import (blocks, cleaning, contracts, detect, graph, overhead, scc,
+                                  timeseries, transfers)
 from chainscope.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +111,119 @@ def q_net_neutral_count(spark, sf_dir):
     return transfers.net_neutral_count(net, stats)
 
 
+# --- transfer graph and SCC peeling ------------------------------------
+
+# Peeling results are written under the checkpoint folder; queries of one
+# session over the same input reuse them instead of recomputing the loop.
+_PEEL_CACHE: dict[tuple, DataFrame] = {}
+
+
+def _mod_transfers(spark, sf_dir, accounts):
+    return b.transfers_mod(spark, sf_dir, accounts)
+
+
+def _mod_edges(spark, sf_dir, accounts):
+    return graph.graph_edges(_mod_transfers(spark, sf_dir, accounts))
+
+
+def _levels(spark, sf_dir, accounts=20):
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, accounts)
+    if key not in _PEEL_CACHE:
+        _PEEL_CACHE[key] = scc.peel_levels(spark, _mod_edges(spark, sf_dir, accounts))
+    return _PEEL_CACHE[key]
+
+
+def _net(spark, sf_dir, accounts=20):
+    return transfers.net_positions(transfers.without_self_trades(_mod_transfers(spark, sf_dir, accounts)))
+
+
+def q_graph_vertices(spark, sf_dir):
+    return graph.graph_vertices(transfers.without_self_trades(_mod_transfers(spark, sf_dir, 20)))
+
+
+def q_graph_edges(spark, sf_dir):
+    return _mod_edges(spark, sf_dir, 20)
+
+
+def q_edge_peel(spark, sf_dir):
+    return graph.edge_peel(_mod_edges(spark, sf_dir, 20))
+
+
+def q_vertices_with_edges(spark, sf_dir):
+    verts = graph.graph_vertices(transfers.without_self_trades(_mod_transfers(spark, sf_dir, 20)))
+    return graph.vertices_with_edges(verts, graph.edge_peel(_mod_edges(spark, sf_dir, 20)))
+
+
+def q_scc_components(spark, sf_dir):
+    return scc.scc_components(spark, _mod_edges(spark, sf_dir, 40))
+
+
+def q_scc_edges(spark, sf_dir):
+    comp = scc.scc_components(spark, _mod_edges(spark, sf_dir, 40))
+    members = comp.select(F.col("component").alias("set_key"), "n_members", "address")
+    return detect.set_edges(members, _mod_edges(spark, sf_dir, 40)).withColumnRenamed("set_key", "component")
+
+
+def q_scc_occurrences(spark, sf_dir):
+    return detect.scc_occurrences(_levels(spark, sf_dir))
+
+
+def q_scc_candidates(spark, sf_dir):
+    return detect.scc_candidates(detect.scc_occurrences(_levels(spark, sf_dir)))
+
+
+def _matched(spark, sf_dir):
+    lv = _levels(spark, sf_dir)
+    cands = detect.scc_candidates(detect.scc_occurrences(lv))
+    return detect.volume_match(cands, detect.set_members(lv), _net(spark, sf_dir)), detect.set_members(lv)
+
+
+def q_scc_volume_match(spark, sf_dir):
+    return _matched(spark, sf_dir)[0]
+
+
+def q_wash_sets(spark, sf_dir):
+    """Flagship: every peeled set with its occurrences, volume balance and
+    whether it passes the occurrence threshold."""
+    lv = _levels(spark, sf_dir)
+    occ = detect.scc_occurrences(lv)
+    out = detect.volume_match(occ, detect.set_members(lv), _net(spark, sf_dir))
+    return out.withColumn("is_candidate", F.col("occurrences") >= F.lit(detect.SCC_OCCURRENCE_THRESHOLD))
+
+
+def q_scc_set_members(spark, sf_dir):
+    return detect.set_members(_levels(spark, sf_dir))
+
+
+def q_wash_set_volume(spark, sf_dir):
+    lv = _levels(spark, sf_dir)
+    cands = detect.scc_candidates(detect.scc_occurrences(lv))
+    members = detect.set_members(lv).join(cands.select("set_key", "n_members"), ["set_key", "n_members"], "left_semi")
+    return detect.wash_set_volume(members, _mod_edges(spark, sf_dir, 20))
+
+
+def _matched_members(spark, sf_dir):
+    matched, members = _matched(spark, sf_dir)
+    ok = matched.filter("volume_matched").select("set_key", "n_members")
+    return members.join(ok, ["set_key", "n_members"], "left_semi")
+
+
+def q_wash_suspects(spark, sf_dir):
+    return detect.wash_suspects(_matched_members(spark, sf_dir))
+
+
+def q_top_wash_trader(spark, sf_dir):
+    return detect.top_wash_trader(_matched_members(spark, sf_dir), _mod_edges(spark, sf_dir, 20))
+
+
+def q_vertex_scc_counts(spark, sf_dir):
+    return detect.vertex_scc_counts(_levels(spark, sf_dir))
+
+
+def q_reciprocal_pairs(spark, sf_dir):
+    return detect.reciprocal_pairs(_mod_edges(spark, sf_dir, 40))
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": q_clean_transactions,
     "monthly_tx_count": q_monthly_tx_count,
@@ -131,5 +245,21 @@ QUERIES: dict[str, Query] = {
     "net_positions": q_net_positions,
     "net_neutral_accounts": q_net_neutral_accounts,
     "net_neutral_count": q_net_neutral_count,
+    "graph_vertices": q_graph_vertices,
+    "graph_edges": q_graph_edges,
+    "edge_peel": q_edge_peel,
+    "vertices_with_edges": q_vertices_with_edges,
+    "scc_components": q_scc_components,
+    "scc_edges": q_scc_edges,
+    "scc_occurrences": q_scc_occurrences,
+    "scc_candidates": q_scc_candidates,
+    "scc_set_members": q_scc_set_members,
+    "scc_volume_match": q_scc_volume_match,
+    "wash_sets": q_wash_sets,
+    "wash_set_volume": q_wash_set_volume,
+    "wash_suspects": q_wash_suspects,
+    "top_wash_trader": q_top_wash_trader,
+    "vertex_scc_counts": q_vertex_scc_counts,
+    "reciprocal_pairs": q_reciprocal_pairs,
 }
-FLAGSHIP = "monthly_tx_count"
+FLAGSHIP = "wash_sets"
