@@ -189,3 +189,19 @@ SELECT wv.address, wv.wash_volume, tv.total_volume,
 SELECT x.src AS a, x.dst AS b, x.weight AS weight_ab, x.value AS value_ab, y.weight AS weight_ba, y.value AS value_ba
   FROM e x JOIN e y ON x.src = y.dst AND x.dst = y.src WHERE x.src < x.dst""",
 })
+
+ORACLE.update({
+    "cycles_3": G40 + """
+SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, least(e1.weight, e2.weight, e3.weight) AS min_weight
+  FROM e e1 JOIN e e2 ON e1.dst = e2.src JOIN e e3 ON e2.dst = e3.src AND e3.dst = e1.src
+  WHERE e1.src < e1.dst AND e1.src < e2.dst""",
+    "cycles_4": G40 + """
+SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, e3.dst AS v4,
+  least(e1.weight, e2.weight, e3.weight, e4.weight) AS min_weight
+  FROM e e1 JOIN e e2 ON e1.dst = e2.src JOIN e e3 ON e2.dst = e3.src
+  JOIN e e4 ON e3.dst = e4.src AND e4.dst = e1.src
+  WHERE e1.src < e1.dst AND e1.src < e2.dst AND e1.src < e3.dst AND e1.dst <> e3.dst""",
+    "result_roundtrip": ORACLE["monthly_tx_count"],
+    "result_roundtrip_csv": ORACLE["monthly_tx_count"],
+    "result_roundtrip_text": ORACLE["monthly_tx_count"],
+})

@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.operators import (blocks, cleaning, contracts, detect, graph, overhead, scc,
+from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, scc,
                                   timeseries, transfers)
+from chainscope.session import checkpoint_dir
 from chainscope.sources import bindings as b
+from chainscope.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +226,38 @@ def q_reciprocal_pairs(spark, sf_dir):
     return detect.reciprocal_pairs(_mod_edges(spark, sf_dir, 40))
 
 
+def q_cycles_3(spark, sf_dir):
+    return cycles.cycles_3(_mod_edges(spark, sf_dir, 40))
+
+
+def q_cycles_4(spark, sf_dir):
+    return cycles.cycles_4(_mod_edges(spark, sf_dir, 40))
+
+
+# --- sinks: write a result and read it back ------------------------------
+
+MONTHLY_SCHEMA = "month STRING, month_start DATE, n_transactions BIGINT"
+
+
+def _result_folder(spark, kind):
+    return sinks.run_folder(f"{checkpoint_dir(spark).rstrip('/')}/chainscope-results", f"monthly_{kind}")
+
+
+def q_result_roundtrip(spark, sf_dir):
+    path = sinks.write_json(q_monthly_tx_count(spark, sf_dir), _result_folder(spark, "json"))
+    return sinks.read_json_result(spark, path, MONTHLY_SCHEMA)
+
+
+def q_result_roundtrip_csv(spark, sf_dir):
+    path = sinks.write_csv(q_monthly_tx_count(spark, sf_dir), _result_folder(spark, "csv"))
+    return sinks.read_csv_result(spark, path, MONTHLY_SCHEMA)
+
+
+def q_result_roundtrip_text(spark, sf_dir):
+    path = sinks.write_text(q_monthly_tx_count(spark, sf_dir), _result_folder(spark, "text"))
+    return sinks.read_text_result(spark, path, MONTHLY_SCHEMA)
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": q_clean_transactions,
     "monthly_tx_count": q_monthly_tx_count,
@@ -261,5 +295,10 @@ QUERIES: dict[str, Query] = {
     "top_wash_trader": q_top_wash_trader,
     "vertex_scc_counts": q_vertex_scc_counts,
     "reciprocal_pairs": q_reciprocal_pairs,
+    "cycles_3": q_cycles_3,
+    "cycles_4": q_cycles_4,
+    "result_roundtrip": q_result_roundtrip,
+    "result_roundtrip_csv": q_result_roundtrip_csv,
+    "result_roundtrip_text": q_result_roundtrip_text,
 }
 FLAGSHIP = "wash_sets"
