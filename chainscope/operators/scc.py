@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 
 from chainscope.operators import scc_local
 from chainscope.operators.lineage import Scratch
@@ -58,11 +58,13 @@ def _trim(edges: DataFrame, rounds: int) -> DataFrame:
 
 def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None,
                 max_rounds: int = DEFAULT_MAX_ROUNDS,
-                local_edge_limit: int = LOCAL_EDGE_LIMIT) -> DataFrame:
+                local_edge_limit: int = LOCAL_EDGE_LIMIT, materialize: bool = True) -> DataFrame:
     """SCC membership of ``edges(lvl, src, dst)`` (BIGINT vertex ids).
 
     Returns ``(lvl, v, root)`` for every vertex in an SCC of two or more
-    vertices; ``root`` is the smallest vertex id of its SCC.
+    vertices; ``root`` is the smallest vertex id of its SCC. With
+    ``materialize`` the result is written once (callers that read it more
+    than once); otherwise a one-task-finish result stays lazy.
 
     The edge count of every group is measured first. A group of at most
     ``local_edge_limit`` edges is finished in one task (Tarjan over its
@@ -73,16 +75,18 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     scratch = scratch or Scratch(spark, "scc")
     e = edges.select("lvl", "src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     if local_edge_limit <= 0:
-        big = scratch.save(e, "edges")
-        out = _distributed_members(spark, big, scratch, max_rounds)
-        return scratch.save(out, "scc")
-    counts = e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n_edges"))
-    sized = scratch.save(e.join(counts, "lvl"), "sized_edges")
-    small = sized.filter(F.col("n_edges") <= local_edge_limit).select("lvl", "src", "dst")
-    big = sized.filter(F.col("n_edges") > local_edge_limit).select("lvl", "src", "dst")
+        return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds), "scc")
+    # One row per level whose graph is too large for one task; the number of
+    # levels is bounded (see peel_levels), so this summary is small.
+    big_levels = [r["lvl"] for r in e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n"))
+                  .filter(F.col("n") > local_edge_limit).select("lvl").collect()]
+    if not big_levels:
+        local = e.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
+        return scratch.save(local, "scc") if materialize else local
+    big_df = spark.createDataFrame([(int(x),) for x in big_levels], "lvl INT")
+    small = e.join(F.broadcast(big_df), "lvl", "left_anti")
+    big = scratch.save(e.join(F.broadcast(big_df), "lvl", "left_semi"), "big_edges")
     local = small.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
-    if big.isEmpty():
-        return scratch.save(local, "scc")
     return scratch.save(local.unionByName(_distributed_members(spark, big, scratch, max_rounds)), "scc")
 
 
@@ -201,9 +205,11 @@ def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFA
     two or more accounts; ``component`` is the smallest address of the SCC.
     """
     scratch = Scratch(spark, "components")
+    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     ids = vertex_ids(spark, edges, scratch)
     e = _id_edges(edges, ids).select(F.lit(1).alias("lvl"), "src", "dst")
     m = scc_members(spark, e, scratch, max_rounds, local_edge_limit)
+    edges.unpersist()
     named = m.join(ids.withColumnRenamed("vid", "v"), "v")
     sets = named.groupBy("root").agg(F.min("address").alias("component"), F.count(F.lit(1)).alias("n_members"))
     return named.join(sets, "root").select("address", "component", "n_members")
@@ -237,23 +243,39 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
     transfer count), which bounds the broadcast level table.
     """
     scratch = Scratch(spark, "peel")
+    # The weighted edge list is an aggregation over every transfer: it is
+    # cached so ids, the id-mapped edges and the levels read it once. Ids
+    # are written (they must not change if a partition is recomputed).
+    edges = edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     ids = vertex_ids(spark, edges, scratch)
-    e = _id_edges(edges.select("src", "dst", "weight"), ids)
-
-    base = scc_members(spark, e.select(F.lit(1).alias("lvl"), "src", "dst"), scratch, max_rounds,
-                       local_edge_limit)
-    rs = base.select(F.col("v").alias("src"), F.col("root").alias("rs"))
-    rd = base.select(F.col("v").alias("dst"), F.col("root").alias("rd"))
-    inner = (e.join(rs, "src").join(rd, "dst").filter(F.col("rs") == F.col("rd"))
-             .select("src", "dst", "weight"))
+    e = _id_edges(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [edges, e]
+
+    # Pruning pass, skipped when the whole level expansion is already small.
+    size = e.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()[0]
+    if local_edge_limit > 0 and (size["w"] or 0) <= local_edge_limit:
+        inner = e
+    else:
+        base = scc_members(spark, e.select(F.lit(1).alias("lvl"), "src", "dst"), scratch, max_rounds,
+                           local_edge_limit)
+        rs = base.select(F.col("v").alias("src"), F.col("root").alias("rs"))
+        rd = base.select(F.col("v").alias("dst"), F.col("root").alias("rd"))
+        inner = scratch.save(e.join(rs, "src").join(rd, "dst").filter(F.col("rs") == F.col("rd"))
+                             .select("src", "dst", "weight"), "inner_edges")
 
     by_weight = Window.orderBy("weight")
     levels = (inner.select("weight").distinct()
               .withColumn("lvl", F.row_number().over(by_weight).cast("int"))
-              .withColumn("multiplicity", F.col("weight") - F.coalesce(F.lag("weight").over(by_weight), F.lit(0))))
+              .withColumn("multiplicity", F.col("weight") - F.coalesce(F.lag("weight").over(by_weight), F.lit(0)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    cached.append(levels)
     ranked = inner.join(F.broadcast(levels.select("weight", F.col("lvl").alias("top"))), "weight")
     expanded = ranked.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias("lvl"), "src", "dst")
-    m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit)
-    return (m.join(F.broadcast(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity")), "lvl")
-            .join(ids.withColumnRenamed("vid", "v"), "v")
-            .select("lvl", "level_weight", "multiplicity", "root", "address"))
+    m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False)
+    out = scratch.save(
+        m.join(F.broadcast(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity")), "lvl")
+         .join(ids.withColumnRenamed("vid", "v"), "v")
+         .select("lvl", "level_weight", "multiplicity", "root", "address"), "level_members")
+    for df in cached:
+        df.unpersist()
+    return out
