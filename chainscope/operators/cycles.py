@@ -11,9 +11,12 @@ Each loop is reported once, rotated to start at its smallest address.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chainscope.operators.lineage import Scratch
+
 
 def _ranks(edges: DataFrame) -> DataFrame:
     ends = edges.select(F.col("src").alias("address"), F.col("dst").alias("other")).unionByName(
@@ -27,10 +30,15 @@ def _above(deg_a: Column, a: Column, deg_b: Column, b: Column) -> Column:
 
 
 def _ranked_edges(edges: DataFrame) -> DataFrame:
+    """Edges with both end ranks, written once: every loop plan reads the
+    edge list three times, and it is an aggregation over all transfers."""
+    edges = edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     r = _ranks(edges)
     rs = r.select(F.col("address").alias("src"), F.col("deg").alias("ds"))
     rd = r.select(F.col("address").alias("dst"), F.col("deg").alias("dd"))
-    return edges.select("src", "dst", "weight").join(rs, "src").join(rd, "dst")
+    out = Scratch(edges.sparkSession, "loops").save(edges.join(rs, "src").join(rd, "dst"), "ranked_edges")
+    edges.unpersist()
+    return out
 
 
 def _down_paths(re: DataFrame) -> DataFrame:
