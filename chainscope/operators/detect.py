@@ -131,3 +131,26 @@ def reciprocal_pairs(edges: DataFrame) -> DataFrame:
     ba = edges.select(F.col("dst").alias("a"), F.col("src").alias("b"),
                       F.col("weight").alias("weight_ba"), F.col("value").alias("value_ba"))
     return ab.filter(F.col("a") < F.col("b")).join(ba, ["a", "b"])
+
+
+def member_volume_match(sets: DataFrame, members: DataFrame, edges: DataFrame,
+                        tolerance: float = VOLUME_TOLERANCE) -> DataFrame:
+    """Member test of volume matching: inside the set, every member's net
+    (received minus sent on edges with both ends in the set) is within
+    ``tolerance`` of the set's internal volume.
+
+    The set-level sum of these nets is always 0, so the test is per member.
+    """
+    m = members.join(sets.select("set_key", "n_members"), ["set_key", "n_members"], "left_semi")
+    se = set_edges(m, edges)
+    legs = se.select("set_key", "n_members", F.explode(F.array(
+        F.struct(F.col("src").alias("address"), (-F.col("value")).cast(WEI).alias("amount")),
+        F.struct(F.col("dst").alias("address"), F.col("value").cast(WEI).alias("amount")),
+    )).alias("l")).select("set_key", "n_members", "l.address", "l.amount")
+    per_member = legs.groupBy("set_key", "n_members", "address").agg(F.sum("amount").alias("inner_net"))
+    volume = se.groupBy("set_key", "n_members").agg(F.sum("value").cast(WEI).alias("inner_volume"))
+    worst = per_member.groupBy("set_key", "n_members").agg(
+        F.max(F.abs(F.col("inner_net"))).cast(WEI).alias("max_member_net"))
+    return (sets.join(volume, ["set_key", "n_members"], "left").join(worst, ["set_key", "n_members"], "left")
+            .withColumn("member_matched",
+                        F.col("max_member_net") <= F.lit(tolerance) * F.col("inner_volume")))

@@ -205,3 +205,15 @@ SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, e3.dst AS v4,
     "result_roundtrip_csv": ORACLE["monthly_tx_count"],
     "result_roundtrip_text": ORACLE["monthly_tx_count"],
 })
+
+ORACLE["scc_member_match"] = R20 + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")}),
+inner_legs AS (SELECT set_key, n_members, src AS address, -value AS amount FROM se
+         UNION ALL SELECT set_key, n_members, dst AS address, value AS amount FROM se),
+pm AS (SELECT set_key, n_members, address, sum(amount) AS inner_net FROM inner_legs GROUP BY 1, 2, 3),
+vol AS (SELECT set_key, n_members, CAST(sum(value) AS DECIMAL(38,0)) AS inner_volume FROM se GROUP BY 1, 2),
+worst AS (SELECT set_key, n_members, CAST(max(abs(inner_net)) AS DECIMAL(38,0)) AS max_member_net FROM pm GROUP BY 1, 2)
+SELECT c.*, vol.inner_volume, worst.max_member_net,
+  CAST(worst.max_member_net AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(vol.inner_volume AS DOUBLE) AS member_matched
+  FROM cand c LEFT JOIN vol USING (set_key, n_members) LEFT JOIN worst USING (set_key, n_members)"""
+
+ORACLE["monthly_stream_count_sum"] = ORACLE["monthly_count_sum"]

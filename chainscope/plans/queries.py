@@ -16,6 +16,7 @@ from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, g
 from chainscope.session import checkpoint_dir
 from chainscope.sources import bindings as b
 from chainscope.sources import sinks
+from chainscope.streaming import monthly as streaming_monthly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,6 +185,12 @@ def q_scc_volume_match(spark, sf_dir):
     return _matched(spark, sf_dir)[0]
 
 
+def q_scc_member_match(spark, sf_dir):
+    lv = _levels(spark, sf_dir)
+    cands = detect.scc_candidates(detect.scc_occurrences(lv))
+    return detect.member_volume_match(cands, detect.set_members(lv), _mod_edges(spark, sf_dir, 20))
+
+
 def q_wash_sets(spark, sf_dir):
     """Flagship: every peeled set with its occurrences, volume balance and
     whether it passes the occurrence threshold."""
@@ -258,6 +265,18 @@ def q_result_roundtrip_text(spark, sf_dir):
     return sinks.read_text_result(spark, path, MONTHLY_SCHEMA)
 
 
+def q_monthly_stream_count_sum(spark, sf_dir):
+    """The monthly count/sum as a streaming job: the ledger view is landed as
+    files, streamed to completion (availableNow) and its snapshot read back."""
+    base = _result_folder(spark, "stream")
+    landing = f"{base}/landing"
+    b.tx_orders(spark, sf_dir).write.mode("overwrite").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    streaming_monthly.run_monthly_snapshot(spark, landing, schema, f"{base}/snapshot", f"{base}/state",
+                                           max_files_per_trigger=4)
+    return spark.read.parquet(f"{base}/snapshot")
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": q_clean_transactions,
     "monthly_tx_count": q_monthly_tx_count,
@@ -289,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "scc_candidates": q_scc_candidates,
     "scc_set_members": q_scc_set_members,
     "scc_volume_match": q_scc_volume_match,
+    "scc_member_match": q_scc_member_match,
     "wash_sets": q_wash_sets,
     "wash_set_volume": q_wash_set_volume,
     "wash_suspects": q_wash_suspects,
@@ -300,5 +320,6 @@ QUERIES: dict[str, Query] = {
     "result_roundtrip": q_result_roundtrip,
     "result_roundtrip_csv": q_result_roundtrip_csv,
     "result_roundtrip_text": q_result_roundtrip_text,
+    "monthly_stream_count_sum": q_monthly_stream_count_sum,
 }
 FLAGSHIP = "wash_sets"
