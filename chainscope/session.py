@@ -16,6 +16,21 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Settings for a large cluster (1000 executors, ~100 TB input). Shuffle
+# partitions are an upper bound that AQE coalesces to ~256 MB each; hot join
+# partitions are split by AQE; broadcasts happen only below the measured
+# threshold. ``spark.checkpoint.dir`` must name shared storage (HDFS/S3).
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "chainscope") -> SparkSession:
