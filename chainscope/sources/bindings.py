@@ -130,9 +130,9 @@ TRANSFERS_DAY_SQL = r"""SELECT CAST(event_id AS VARCHAR) AS hash,
 
 
 def transfers_mod(spark: SparkSession, sf_dir: str, accounts: int) -> DataFrame:
-    """Purchases as transfers among ``accounts`` accounts: a dense graph whose
-    edge weights grow with the table (many peeling levels)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    """Every event as a transfer among ``accounts`` accounts: a dense graph
+    whose edge weights grow with the table (many peeling levels)."""
+    e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").cast("string").alias("hash"),
         F.concat(F.lit("a"), (F.col("user_id") % accounts).cast("string")).alias("from_address"),
@@ -147,4 +147,4 @@ def transfers_mod_sql(accounts: int) -> str:
     return rf"""SELECT CAST(event_id AS VARCHAR) AS hash, 'a' || CAST(user_id % {accounts} AS VARCHAR) AS from_address,
   'a' || CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % {accounts} AS VARCHAR) AS to_address,
   CAST(round(value * 100) AS DECIMAL(38,0)) AS value, ts AS block_timestamp, event_type AS token_type
-  FROM events WHERE event_type = 'purchase'"""
+  FROM events"""

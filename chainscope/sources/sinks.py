@@ -17,26 +17,28 @@ def run_folder(base: str, name: str, when: datetime | None = None) -> str:
     return f"{base.rstrip('/')}/{name}/run={stamp}"
 
 
-def _bounded(df: DataFrame, limit: int | None, single_file: bool) -> DataFrame:
+def _bounded(df: DataFrame, limit: int | None, single_file: bool | None) -> DataFrame:
     if limit is not None:
         df = df.limit(limit)
-    # One output file only for results already bounded by a limit or an
-    # aggregate; a large result keeps its partitions.
+    # One output file only when asked for or when a limit bounds the result;
+    # otherwise every partition writes its own file in parallel.
+    if single_file is None:
+        single_file = limit is not None
     return df.coalesce(1) if single_file else df
 
 
-def write_json(df: DataFrame, path: str, limit: int | None = None, single_file: bool = True) -> str:
+def write_json(df: DataFrame, path: str, limit: int | None = None, single_file: bool | None = None) -> str:
     _bounded(df, limit, single_file).write.mode("overwrite").json(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str, limit: int | None = None, single_file: bool = True,
+def write_csv(df: DataFrame, path: str, limit: int | None = None, single_file: bool | None = None,
               header: bool = True) -> str:
     _bounded(df, limit, single_file).write.mode("overwrite").option("header", header).csv(path)
     return path
 
 
-def write_text(df: DataFrame, path: str, limit: int | None = None, single_file: bool = True) -> str:
+def write_text(df: DataFrame, path: str, limit: int | None = None, single_file: bool | None = None) -> str:
     """One JSON object per line in a text file (the text-directory sink)."""
     lines = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
     _bounded(lines, limit, single_file).write.mode("overwrite").text(path)
