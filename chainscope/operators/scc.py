@@ -75,7 +75,7 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     scratch = scratch or Scratch(spark, "scc")
     e = edges.select("lvl", "src", "dst").filter(F.col("src") != F.col("dst")).distinct()
     if local_edge_limit <= 0:
-        return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds), "scc")
+        return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds, 0), "scc")
     # One row per level whose graph is too large for one task; the number of
     # levels is bounded (see peel_levels), so this summary is small.
     big_levels = [r["lvl"] for r in e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n"))
@@ -87,7 +87,8 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     small = e.join(F.broadcast(big_df), "lvl", "left_anti")
     big = scratch.save(e.join(F.broadcast(big_df), "lvl", "left_semi"), "big_edges")
     local = small.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
-    return scratch.save(local.unionByName(_distributed_members(spark, big, scratch, max_rounds)), "scc")
+    dist = _distributed_members(spark, big, scratch, max_rounds, local_edge_limit)
+    return scratch.save(local.unionByName(dist), "scc")
 
 
 class _Rounds:
@@ -117,7 +118,8 @@ class _Rounds:
         self.kept.clear()
 
 
-def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, max_rounds: int) -> DataFrame:
+def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, max_rounds: int,
+                         local_edge_limit: int) -> DataFrame:
     rounds = _Rounds(scratch, max_rounds)
     found: list[DataFrame] = []
     while True:
@@ -151,6 +153,17 @@ def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, ma
              .filter(F.col("cs") == F.col("cd"))
              .select("lvl", "src", "dst", F.col("cs").alias("color")), "inner")
 
+        # Each colour class is now an independent graph. Classes within the
+        # one-task bound are finished right away; only large classes go on.
+        if local_edge_limit > 0:
+            sizes = inner.groupBy("lvl", "color").agg(F.count(F.lit(1)).alias("n"))
+            small = sizes.filter(F.col("n") <= local_edge_limit).select("lvl", "color")
+            finished = (inner.join(small, ["lvl", "color"], "left_semi")
+                        .groupBy("lvl", "color").applyInPandas(scc_group, LOCAL_SCHEMA))
+            found.append(scratch.save(finished, "class_finish"))
+            inner = rounds.keep(inner.join(small, ["lvl", "color"], "left_anti"), "inner_big")
+            colour = colour.join(inner.select("lvl", F.col("color")).distinct(), ["lvl", "color"], "left_semi")
+
         # Backward walk from each root inside its colour.
         reached = rounds.keep(colour.filter(F.col("v") == F.col("color")), "roots")
         frontier = reached

@@ -91,7 +91,7 @@ def _combined(cases):
     return triples, sorted(expected)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0], ids=["one-task-finish", "distributed-rounds"])
+@pytest.mark.parametrize("limit", [1_000_000, 0, 3], ids=["one-task-finish", "distributed-rounds", "hybrid"])
 def test_peeling_hand_cases(spark, limit):
     ring = [(f"v{i:02d}", f"v{(i + 1) % 8:02d}", 1) for i in range(8)]
     triples, expected = _combined(HAND_CASES + [("w", ring, [({f"v{i:02d}" for i in range(8)}, 1)])])
@@ -152,3 +152,21 @@ def test_scc_result_independent_of_partitioning(spark):
     lv = scc.peel_levels(spark, e)
     assert sorted((r.set_key, r.occurrences) for r in detect.scc_occurrences(lv).collect()) == \
         sorted((min(s), n) for s, n in base)
+
+
+def test_random_multilevel_graph_same_on_every_path(spark):
+    import random
+    rng = random.Random(11)
+    verts = [f"r{i:02d}" for i in range(30)]
+    triples = {}
+    for _ in range(90):
+        a, b = rng.sample(verts, 2)
+        triples[(a, b)] = rng.choice([1, 1, 2, 3, 5])
+    # a hub that sends to and receives from many accounts
+    for v in verts[1:12]:
+        triples[("r00", v)] = 4
+        triples[(v, "r00")] = rng.choice([1, 4])
+    edges = [(a, b, w) for (a, b), w in triples.items()]
+    results = [_occurrences(spark, edges, limit) for limit in (1_000_000, 0, 12)]
+    assert results[0] == results[1] == results[2]
+    assert results[0]
