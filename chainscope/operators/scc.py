@@ -73,7 +73,9 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     everything through the distributed rounds.
     """
     scratch = scratch or Scratch(spark, "scc")
-    e = edges.select("lvl", "src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+    # Callers pass unique edges (collapsed per account pair); a repeated edge
+    # would only cost work, never change the components.
+    e = edges.select("lvl", "src", "dst").filter(F.col("src") != F.col("dst"))
     if local_edge_limit <= 0:
         return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds, 0), "scc")
     # One row per level whose graph is too large for one task; the number of
