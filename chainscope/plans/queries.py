@@ -6,6 +6,7 @@ every query reads whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -247,7 +248,9 @@ MONTHLY_SCHEMA = "month STRING, month_start DATE, n_transactions BIGINT"
 
 
 def _result_folder(spark, kind):
-    return sinks.run_folder(f"{checkpoint_dir(spark).rstrip('/')}/chainscope-results", f"monthly_{kind}")
+    # A fresh folder per call: streaming state must never be shared by two runs.
+    return sinks.run_folder(f"{checkpoint_dir(spark).rstrip('/')}/chainscope-results",
+                            f"monthly_{kind}") + f"-{uuid.uuid4().hex[:8]}"
 
 
 def q_result_roundtrip(spark, sf_dir):
