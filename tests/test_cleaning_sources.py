@@ -87,3 +87,20 @@ def test_sinks_round_trip(spark, tmp_path):
         path = write(df, sinks.run_folder(str(tmp_path), write.__name__))
         assert "run=" in path and ":" not in path.rsplit("/", 1)[-1]
         assert [tuple(r) for r in read(spark, path, schema).collect()] == [("08-2015", 9)]
+
+
+def test_headerless_blocks_feed_miners_and_overhead(spark, tmp_path):
+    from chainscope.operators import blocks, overhead
+    hexes = ["0x" + "1" * 64, "0x" + "0" * 512, "0x" + "a" * 64, "0x" + "b" * 64, "0x" + "c" * 64]
+    lines = []
+    for i, (miner, size) in enumerate([("0x9558", 897), ("0x2a65", 2000), ("0x2a65", 570), ("0x52bc", 3712)]):
+        fields = [str(46000 + i), "0xh", "0xp", "0x01"] + hexes + [miner, "17", "17", str(size),
+                  "0x" + "d" * 48, "5000", "0", "1438919175", "0", ""]
+        lines += [",".join(fields), ""]
+    path = tmp_path / "blocks.csv"
+    path.write_text("\n".join(lines) + "\n")
+    df = readers.read_ledger_csv(spark, str(path), "blocks", header=False)
+    assert dict(df.dtypes)["size"] == "bigint" and dict(df.dtypes)["difficulty"] == "decimal(38,0)"
+    top = [(r.miner, r.total_size) for r in blocks.top_miners(blocks.miner_block_size(df), 10).collect()]
+    assert top == [("0x52bc", 3712), ("0x2a65", 2570), ("0x9558", 897)]
+    assert overhead.hex_overhead(df).collect()[0].bit_count == 4 * 816 * 4
