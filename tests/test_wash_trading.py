@@ -1,7 +1,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from chainscope.operators import detect, graph, scc, transfers
 from conftest import SAMPLE_TX, WASHED_TX, typed
