@@ -22,7 +22,7 @@ peeling level) cost the rounds of the deepest one, not their sum.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -58,7 +58,8 @@ def _trim(edges: DataFrame, rounds: int) -> DataFrame:
 
 def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None,
                 max_rounds: int = DEFAULT_MAX_ROUNDS,
-                local_edge_limit: int = LOCAL_EDGE_LIMIT, materialize: bool = True) -> DataFrame:
+                local_edge_limit: int = LOCAL_EDGE_LIMIT, materialize: bool = True,
+                known_total: int | None = None) -> DataFrame:
     """SCC membership of ``edges(lvl, src, dst)`` (BIGINT vertex ids).
 
     Returns ``(lvl, v, root)`` for every vertex in an SCC of two or more
@@ -70,7 +71,9 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     ``local_edge_limit`` edges is finished in one task (Tarjan over its
     pandas batch); larger groups run the distributed colouring rounds, so
     a large graph never meets a single task. ``local_edge_limit=0`` sends
-    everything through the distributed rounds.
+    everything through the distributed rounds. ``known_total`` is an upper
+    bound on the number of edges the caller has already measured; when it is
+    within the limit no group can exceed it and the measuring job is skipped.
     """
     scratch = scratch or Scratch(spark, "scc")
     # Callers pass unique edges (collapsed per account pair); a repeated edge
@@ -80,8 +83,11 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
         return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds, 0), "scc")
     # One row per level whose graph is too large for one task; the number of
     # levels is bounded (see peel_levels), so this summary is small.
-    big_levels = [r["lvl"] for r in e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n"))
-                  .filter(F.col("n") > local_edge_limit).select("lvl").collect()]
+    if known_total is not None and known_total <= local_edge_limit:
+        big_levels = []
+    else:
+        big_levels = [r["lvl"] for r in e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n"))
+                      .filter(F.col("n") > local_edge_limit).select("lvl").collect()]
     if not big_levels:
         local = e.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
         return scratch.save(local, "scc") if materialize else local
@@ -201,15 +207,24 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Dense BIGINT ids for the addresses of ``edges(src, dst)``.
+def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
+               measure_weight: bool = False) -> tuple[DataFrame, dict]:
+    """Dense BIGINT ids for the addresses of ``edges(src, dst)``, and the
+    edge list's size (``n`` edges, ``w`` total weight) observed during the
+    same job.
 
     Ids come from ``monotonically_increasing_id`` and are fixed by writing
     the table once; joins and shuffles then move 8-byte keys instead of
     42-character addresses.
     """
-    ends = edges.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
-    return scratch.save(ends.withColumn("vid", F.monotonically_increasing_id()), "ids")
+    size = Observation("edge_size")
+    metrics = [F.count(F.lit(1)).alias("n")]
+    if measure_weight:
+        metrics.append(F.sum("weight").alias("w"))
+    observed = edges.observe(size, *metrics)
+    ends = observed.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
+    ids = scratch.save(ends.withColumn("vid", F.monotonically_increasing_id()), "ids")
+    return ids, size.get
 
 
 def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS,
@@ -221,9 +236,9 @@ def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFA
     """
     scratch = Scratch(spark, "components")
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    ids = vertex_ids(spark, edges, scratch)
+    ids, size = vertex_ids(spark, edges, scratch)
     e = _id_edges(edges, ids).select(F.lit(1).alias("lvl"), "src", "dst")
-    m = scc_members(spark, e, scratch, max_rounds, local_edge_limit)
+    m = scc_members(spark, e, scratch, max_rounds, local_edge_limit, known_total=size["n"])
     edges.unpersist()
     named = m.join(ids.withColumnRenamed("vid", "v"), "v")
     sets = named.groupBy("root").agg(F.min("address").alias("component"), F.count(F.lit(1)).alias("n_members"))
@@ -262,17 +277,19 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
     # cached so ids, the id-mapped edges and the levels read it once. Ids
     # are written (they must not change if a partition is recomputed).
     edges = edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    ids = vertex_ids(spark, edges, scratch)
+    ids, size = vertex_ids(spark, edges, scratch, measure_weight=True)
     e = _id_edges(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [edges, e]
+    total_weight = size.get("w") or 0
 
-    # Pruning pass, skipped when the whole level expansion is already small.
-    size = e.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()[0]
-    if local_edge_limit > 0 and (size["w"] or 0) <= local_edge_limit:
+    # Pruning pass, skipped when the whole level expansion (at most the total
+    # weight in rows) is already small.
+    small = local_edge_limit > 0 and total_weight <= local_edge_limit
+    if small:
         inner = e
     else:
         base = scc_members(spark, e.select(F.lit(1).alias("lvl"), "src", "dst"), scratch, max_rounds,
-                           local_edge_limit)
+                           local_edge_limit, known_total=size["n"])
         rs = base.select(F.col("v").alias("src"), F.col("root").alias("rs"))
         rd = base.select(F.col("v").alias("dst"), F.col("root").alias("rd"))
         inner = scratch.save(e.join(rs, "src").join(rd, "dst").filter(F.col("rs") == F.col("rd"))
@@ -286,7 +303,8 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
     cached.append(levels)
     ranked = inner.join(F.broadcast(levels.select("weight", F.col("lvl").alias("top"))), "weight")
     expanded = ranked.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias("lvl"), "src", "dst")
-    m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False)
+    m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False,
+                    known_total=total_weight)
     out = scratch.save(
         m.join(F.broadcast(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity")), "lvl")
          .join(ids.withColumnRenamed("vid", "v"), "v")
