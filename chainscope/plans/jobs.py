@@ -119,6 +119,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> dict[str, str]:
 
 
 def main() -> None:
+    parse_args(sys.argv[1:])  # usage errors and --help before any session starts
     spark = SparkSession.builder.appName("chainscope-jobs").getOrCreate()
     for name, path in run(spark, sys.argv[1:]).items():
         print(f"{name}\t{path}")
