@@ -29,6 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from chainscope.operators import (blocks, cleaning, contracts, detect, graph, overhead, scc,  # noqa: E402
                                   timeseries, transfers)
+from chainscope.operators.lineage import Scratch  # noqa: E402
 from chainscope.sources import readers, schemas, sinks  # noqa: E402
 
 WRITERS = {"json": sinks.write_json, "csv": sinks.write_csv, "text": sinks.write_text}
@@ -68,10 +69,16 @@ def job_results(spark: SparkSession, args) -> dict[str, DataFrame]:
         blk = read_input(spark, args.blocks, "blocks", args.format, args.header)
         return {"data_overhead": overhead.hex_overhead(blk)}
     if args.job == "wash-trading":
-        tx = _transactions(spark, args)
+        # Six results are written as six actions: the cleaned transfers (only
+        # the columns used) and the edge list are landed once as Parquet, so
+        # the raw export is read and parsed a single time.
+        scratch = Scratch(spark, "wash-job")
+        tx = scratch.save(_transactions(spark, args).select(
+            "hash", "from_address", "to_address", "value", "block_timestamp"), "transactions")
         kept = transfers.without_self_trades(tx)
         net, stats = transfers.net_positions(kept), transfers.transfer_stats(kept)
-        levels = scc.peel_levels(spark, graph.graph_edges(kept))
+        edges = scratch.save(graph.graph_edges(kept), "edges")
+        levels = scc.peel_levels(spark, edges)
         occ = detect.scc_occurrences(levels)
         members = detect.set_members(levels)
         sets = detect.volume_match(occ, members, net).withColumn(
@@ -85,7 +92,7 @@ def job_results(spark: SparkSession, args) -> dict[str, DataFrame]:
             "wash_set_members": members.join(sets.filter("is_candidate").select("set_key", "n_members"),
                                              ["set_key", "n_members"], "left_semi"),
             "wash_suspects": detect.wash_suspects(matched),
-            "top_wash_traders": detect.top_wash_trader(matched, graph.graph_edges(kept), k=args.k),
+            "top_wash_traders": detect.top_wash_trader(matched, edges, k=args.k),
         }
     raise ValueError(f"unknown job {args.job}")
 
