@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, scc,
                                   timeseries, transfers)
+from chainscope.operators.lineage import Scratch
 from chainscope.session import checkpoint_dir
 from chainscope.sources import bindings as b
 from chainscope.sources import sinks
@@ -213,9 +214,11 @@ def q_wash_set_volume(spark, sf_dir):
 
 
 def _matched_members(spark, sf_dir):
+    """Members of volume-matched candidate sets, written once: the set-edge
+    join reads them for both ends of every edge."""
     matched, members = _matched(spark, sf_dir)
     ok = matched.filter("volume_matched").select("set_key", "n_members")
-    return members.join(ok, ["set_key", "n_members"], "left_semi")
+    return Scratch(spark, "matched").save(members.join(ok, ["set_key", "n_members"], "left_semi"), "members")
 
 
 def q_wash_suspects(spark, sf_dir):
