@@ -21,6 +21,9 @@ INT_TEXT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
 SECONDS_PER_DAY = 86400
 
+# Fixed value: the month label of the reports, e.g. '08-2015'.
+MONTH_LABEL_FORMAT = "MM-yyyy"
+
 
 def is_int_text(c: Column) -> Column:
     """True when ``c`` holds a whole number as text; NULL counts as false."""
@@ -65,7 +68,7 @@ def month_start(c: Column, dtype: DataType) -> Column:
 
 def month_label(month_first_day: Column) -> Column:
     """'MM-yyyy' label of a month (the report format of the ledger study)."""
-    return F.date_format(month_first_day, "MM-yyyy")
+    return F.date_format(month_first_day, MONTH_LABEL_FORMAT)
 
 
 def not_same_address(a: Column, b: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chainscope.functions.columns import hex_nibbles
 from chainscope.sources.schemas import REMOVABLE_HEX_COLUMNS
 
+# Fixed value: each hex digit after '0x' is counted as 4 bits.
 BITS_PER_HEX_CHAR = 4
 
 

@@ -30,7 +30,7 @@ BLOCK_COLUMNS = [
     "total_difficulty", "size", "extra_data", "gas_limit", "gas_used",
     "timestamp", "transaction_count", "base_fee_per_gas",
 ]
-# Hex columns the overhead study treats as removable (default set).
+# Hex columns the overhead study treats as removable (default set).
 REMOVABLE_HEX_COLUMNS = [
     "sha3_uncles", "logs_bloom", "transactions_root", "state_root",
     "receipts_root", "extra_data",
