@@ -42,6 +42,14 @@ TRIM_ROUNDS = 2
 # MB of pandas); larger groups use the distributed rounds.
 LOCAL_EDGE_LIMIT = 1_000_000
 LOCAL_SCHEMA = "lvl INT, v BIGINT, root BIGINT"
+# Largest level table broadcast to every task (rows of a few bytes each);
+# beyond it the joins fall back to a shuffle.
+MAX_BROADCAST_LEVELS = 2_000_000
+
+
+def _small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint only for a side whose row count was checked."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_LEVELS else df
 
 
 class RoundLimitExceeded(RuntimeError):
@@ -91,9 +99,9 @@ def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
     if not big_levels:
         local = e.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
         return scratch.save(local, "scc") if materialize else local
-    big_df = spark.createDataFrame([(int(x),) for x in big_levels], "lvl INT")
-    small = e.join(F.broadcast(big_df), "lvl", "left_anti")
-    big = scratch.save(e.join(F.broadcast(big_df), "lvl", "left_semi"), "big_edges")
+    big_df = _small_side(spark.createDataFrame([(int(x),) for x in big_levels], "lvl INT"), len(big_levels))
+    small = e.join(big_df, "lvl", "left_anti")
+    big = scratch.save(e.join(big_df, "lvl", "left_semi"), "big_edges")
     local = small.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
     dist = _distributed_members(spark, big, scratch, max_rounds, local_edge_limit)
     return scratch.save(local.unionByName(dist), "scc")
@@ -301,12 +309,14 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
               .withColumn("multiplicity", F.col("weight") - F.coalesce(F.lag("weight").over(by_weight), F.lit(0)))
               .persist(StorageLevel.MEMORY_AND_DISK))
     cached.append(levels)
-    ranked = inner.join(F.broadcast(levels.select("weight", F.col("lvl").alias("top"))), "weight")
+    n_levels = levels.count()
+    ranked = inner.join(_small_side(levels.select("weight", F.col("lvl").alias("top")), n_levels), "weight")
     expanded = ranked.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias("lvl"), "src", "dst")
     m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False,
                     known_total=total_weight)
     out = scratch.save(
-        m.join(F.broadcast(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity")), "lvl")
+        m.join(_small_side(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity"), n_levels),
+               "lvl")
          .join(ids.withColumnRenamed("vid", "v"), "v")
          .select("lvl", "level_weight", "multiplicity", "root", "address"), "level_members")
     for df in cached:
