@@ -223,7 +223,9 @@ def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
 
     Ids come from ``monotonically_increasing_id`` and are fixed by writing
     the table once; joins and shuffles then move 8-byte keys instead of
-    42-character addresses.
+    42-character addresses. The size only chooses between exact execution
+    paths: if a lost executor makes a stage run twice and the observation
+    over-counts, the general path is taken, never a wrong one.
     """
     size = Observation("edge_size")
     metrics = [F.count(F.lit(1)).alias("n")]
