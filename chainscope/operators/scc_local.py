@@ -21,48 +21,54 @@ def tarjan_members(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.nda
     s, d = inv[: len(src)], inv[len(src):]
     order = np.argsort(s, kind="stable")
     s, d = s[order], d[order]
-    start = np.searchsorted(s, np.arange(n + 1))
-    index = np.full(n, -1, dtype=np.int64)
-    low = np.zeros(n, dtype=np.int64)
-    on_stack = np.zeros(n, dtype=bool)
-    comp = np.full(n, -1, dtype=np.int64)
+    # Plain lists: the loop below touches single elements, where numpy
+    # scalar access would dominate the run time.
+    start = np.searchsorted(s, np.arange(n + 1)).tolist()
+    dst = d.tolist()
+    index = [-1] * n
+    low = [0] * n
+    on_stack = [False] * n
+    comp_of = [-1] * n
     stack: list[int] = []
     counter = 0
     n_comp = 0
     for root in range(n):
         if index[root] >= 0:
             continue
-        work = [(root, start[root])]
+        work = [[root, start[root]]]
         index[root] = low[root] = counter
         counter += 1
         stack.append(root)
         on_stack[root] = True
         while work:
-            v, pos = work[-1]
+            frame = work[-1]
+            v, pos = frame
             if pos < start[v + 1]:
-                work[-1] = (v, pos + 1)
-                w = d[pos]
+                frame[1] = pos + 1
+                w = dst[pos]
                 if index[w] < 0:
                     index[w] = low[w] = counter
                     counter += 1
                     stack.append(w)
                     on_stack[w] = True
-                    work.append((w, start[w]))
-                elif on_stack[w]:
-                    low[v] = min(low[v], index[w])
+                    work.append([w, start[w]])
+                elif on_stack[w] and index[w] < low[v]:
+                    low[v] = index[w]
                 continue
             work.pop()
             if work:
                 u = work[-1][0]
-                low[u] = min(low[u], low[v])
+                if low[v] < low[u]:
+                    low[u] = low[v]
             if low[v] == index[v]:
                 while True:
                     w = stack.pop()
                     on_stack[w] = False
-                    comp[w] = n_comp
+                    comp_of[w] = n_comp
                     if w == v:
                         break
                 n_comp += 1
+    comp = np.asarray(comp_of, dtype=np.int64)
     sizes = np.bincount(comp, minlength=n_comp)
     keep = sizes[comp] >= 2
     mins = np.full(n_comp, np.iinfo(np.int64).max, dtype=np.int64)
