@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from chainscope.session import checkpoint_dir
 
@@ -29,6 +30,19 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def save_counted(self, df: DataFrame, name: str, flag: Column | None = None) -> tuple[DataFrame, int]:
+        """Write like :meth:`save` and return the number of rows written
+        (or of rows where ``flag`` holds), observed during the write itself
+        instead of by a second job. A stage re-run after an executor loss can
+        only over-count, which costs a loop one extra round, never a wrong
+        result."""
+        self._n += 1
+        obs = Observation(f"{name}-{self._n}")
+        metric = F.count(F.lit(1)) if flag is None else F.count(F.when(flag, F.lit(1)))
+        path = f"{self.base}/{self._n:05d}-{name}"
+        df.observe(obs, metric.alias("n")).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path), int(obs.get["n"] or 0)
+
     def drop(self, df: DataFrame) -> None:
         """Delete the files behind a saved table that is no longer read."""
         for path in df.inputFiles()[:1]:

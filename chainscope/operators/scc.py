@@ -128,6 +128,11 @@ class _Rounds:
         self.kept.append(out)
         return out
 
+    def keep_counted(self, df: DataFrame, name: str, flag=None) -> tuple[DataFrame, int]:
+        out, n = self.scratch.save_counted(df, name, flag)
+        self.kept.append(out)
+        return out, n
+
     def release(self):
         for df in self.kept:
             self.scratch.drop(df)
@@ -140,8 +145,8 @@ def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, ma
     found: list[DataFrame] = []
     while True:
         rounds.tick()
-        e = rounds.keep(_trim(e, TRIM_ROUNDS), "trimmed")
-        if e.isEmpty():
+        e, n_edges = rounds.keep_counted(_trim(e, TRIM_ROUNDS), "trimmed")
+        if n_edges == 0:
             break
 
         # Forward colouring: colour(v) = min id among vertices reaching v.
@@ -152,13 +157,14 @@ def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, ma
             rounds.tick()
             msgs = (e.join(frontier.select("lvl", F.col("v").alias("src"), "color"), ["lvl", "src"])
                     .groupBy("lvl", F.col("dst").alias("v")).agg(F.min("color").alias("m")))
-            updated = rounds.keep(colour.join(msgs, ["lvl", "v"], "left").select(
+            updated, n_changed = rounds.keep_counted(colour.join(msgs, ["lvl", "v"], "left").select(
                 "lvl", "v",
                 F.least(F.col("color"), F.coalesce(F.col("m"), F.col("color"))).alias("color"),
-                F.coalesce(F.col("m") < F.col("color"), F.lit(False)).alias("changed")), "colour")
+                F.coalesce(F.col("m") < F.col("color"), F.lit(False)).alias("changed")), "colour",
+                flag=F.col("changed"))
             colour = updated.select("lvl", "v", "color")
             frontier = updated.filter("changed").select("lvl", "v", "color")
-            if frontier.isEmpty():
+            if n_changed == 0:
                 break
 
         # Edges inside one colour; the rest can never close a cycle.
@@ -188,8 +194,8 @@ def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, ma
             step = (inner.join(frontier.select("lvl", F.col("v").alias("dst"), "color"), ["lvl", "dst", "color"])
                     .select("lvl", F.col("src").alias("v"), "color").distinct()
                     .join(reached.select("lvl", "v"), ["lvl", "v"], "left_anti"))
-            step = rounds.keep(step, "reached")
-            if step.isEmpty():
+            step, n_step = rounds.keep_counted(step, "reached")
+            if n_step == 0:
                 break
             reached = rounds.keep(reached.unionByName(step), "members")
             frontier = step
