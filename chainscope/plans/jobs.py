@@ -46,15 +46,16 @@ def read_input(spark: SparkSession, path: str, kind: str, fmt: str, header: bool
     return readers.read_ledger_csv(spark, path, kind, header=header)
 
 
-def _transactions(spark, args) -> DataFrame:
-    return cleaning.clean_transactions(read_input(spark, args.transactions, "transactions", args.format,
-                                                  args.header))
+def _transactions(spark, args, require_value: bool = True) -> DataFrame:
+    """Transactions whose time (and, unless counting only, value) parse."""
+    raw = read_input(spark, args.transactions, "transactions", args.format, args.header)
+    return cleaning.clean_transactions(raw, value_col="value" if require_value else None)
 
 
 def job_results(spark: SparkSession, args) -> dict[str, DataFrame]:
     """The result tables of one job, by name."""
     if args.job == "monthly-count":
-        return {"monthly_transactions": timeseries.monthly_count(_transactions(spark, args))}
+        return {"monthly_transactions": timeseries.monthly_count(_transactions(spark, args, require_value=False))}
     if args.job == "monthly-average":
         return {"avg_monthly_transactions": timeseries.monthly_average(_transactions(spark, args))}
     if args.job == "top-contracts":

@@ -217,3 +217,9 @@ SELECT c.*, vol.inner_volume, worst.max_member_net,
   FROM cand c LEFT JOIN vol USING (set_key, n_members) LEFT JOIN worst USING (set_key, n_members)"""
 
 ORACLE["monthly_stream_count_sum"] = ORACLE["monthly_count_sum"]
+
+ORACLE["monthly_raw_count"] = _with(raw=b.TX_RAW_SQL) + f"""
+SELECT strftime(date_trunc('month', make_timestamp(CAST(trim(block_timestamp) AS BIGINT) * 1000000)), '%m-%Y') AS month,
+  CAST(date_trunc('month', make_timestamp(CAST(trim(block_timestamp) AS BIGINT) * 1000000)) AS DATE) AS month_start,
+  CAST(count(*) AS BIGINT) AS n_transactions
+  FROM raw WHERE regexp_matches(block_timestamp, {INT_RE}) GROUP BY 1, 2"""

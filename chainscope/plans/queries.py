@@ -41,6 +41,12 @@ def q_monthly_avg_value(spark, sf_dir):
     return timeseries.monthly_average(b.tx_orders(spark, sf_dir))
 
 
+def q_monthly_raw_count(spark, sf_dir):
+    """Count per month needs only a parsable time (a bad value still counts)."""
+    raw = cleaning.clean_transactions(b.tx_raw(spark, sf_dir), value_col=None)
+    return timeseries.monthly_count(raw)
+
+
 def q_monthly_raw_count_sum(spark, sf_dir):
     raw = cleaning.clean_transactions(b.tx_raw(spark, sf_dir))
     return timeseries.monthly_count_sum(raw)
@@ -288,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "monthly_tx_count": q_monthly_tx_count,
     "monthly_count_sum": q_monthly_count_sum,
     "monthly_avg_value": q_monthly_avg_value,
+    "monthly_raw_count": q_monthly_raw_count,
     "monthly_raw_count_sum": q_monthly_raw_count_sum,
     "value_received": q_value_received,
     "contract_value_join": q_contract_value_join,
