@@ -51,3 +51,19 @@ class Scratch:
                 jvm = self.spark.sparkContext._jvm
                 hpath = jvm.org.apache.hadoop.fs.Path(folder)
                 hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every intermediate table this package wrote under the
+    checkpoint folder (call once the results that read them are written).
+    Returns the number of folders removed."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    base = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = base.getFileSystem(sc._jsc.hadoopConfiguration())
+    removed = 0
+    for status in fs.listStatus(base):
+        if status.getPath().getName().startswith("chainscope-"):
+            fs.delete(status.getPath(), True)
+            removed += 1
+    return removed

@@ -64,7 +64,7 @@ def typed_transactions(df: DataFrame) -> DataFrame:
         elif name in _TX_BIGINT:
             cols.append(int_text_or_null(c).alias(name))
         elif name in _TX_INT:
-            cols.append(int_text_or_null(c).cast("int").alias(name))
+            cols.append(int_text_or_null(c).try_cast("int").alias(name))
         elif name in ("to_address", "from_address"):
             cols.append(_empty_to_null(c).alias(name))
         else:

@@ -104,3 +104,12 @@ def test_headerless_blocks_feed_miners_and_overhead(spark, tmp_path):
     top = [(r.miner, r.total_size) for r in blocks.top_miners(blocks.miner_block_size(df), 10).collect()]
     assert top == [("0x52bc", 3712), ("0x2a65", 2570), ("0x9558", 897)]
     assert overhead.hex_overhead(df).collect()[0].bit_count == 4 * 816 * 4
+
+
+def test_out_of_range_index_becomes_null(spark):
+    from chainscope.sources.schemas import TRANSACTIONS_TEXT, typed_transactions
+    row = {c: None for c in TRANSACTIONS_TEXT.fieldNames()}
+    row.update(hash="h", transaction_index="99999999999", value="1", block_timestamp="1")
+    df = typed_transactions(spark.createDataFrame([row], TRANSACTIONS_TEXT))
+    r = df.collect()[0]
+    assert r.transaction_index is None and r.value == 1
