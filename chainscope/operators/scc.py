@@ -22,6 +22,8 @@ peeling level) cost the rounds of the deepest one, not their sum.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -317,7 +319,10 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
               .withColumn("multiplicity", F.col("weight") - F.coalesce(F.lag("weight").over(by_weight), F.lit(0)))
               .persist(StorageLevel.MEMORY_AND_DISK))
     cached.append(levels)
-    n_levels = levels.count()
+    # Distinct positive weights summing to at most W number at most sqrt(2W):
+    # a proven bound; count only when the bound alone does not settle it.
+    bound = math.isqrt(2 * int(total_weight)) + 1
+    n_levels = bound if bound <= MAX_BROADCAST_LEVELS else levels.count()
     ranked = inner.join(_small_side(levels.select("weight", F.col("lvl").alias("top")), n_levels), "weight")
     expanded = ranked.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias("lvl"), "src", "dst")
     m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False,
