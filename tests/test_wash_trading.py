@@ -169,3 +169,18 @@ def test_random_multilevel_graph_same_on_every_path(spark):
     results = [_occurrences(spark, edges, limit) for limit in (1_000_000, 0, 12)]
     assert results[0] == results[1] == results[2]
     assert results[0]
+
+
+def test_member_volume_match(spark):
+    # set {a, b}: balanced both ways; set {c, d}: c sends far more than it gets back
+    rows = []
+    for i in range(3):
+        rows += [(f"ab{i}", "a", "b", "100", "1"), (f"ba{i}", "b", "a", "100", "1"),
+                 (f"cd{i}", "c", "d", "1000", "1"), (f"dc{i}", "d", "c", "10", "1")]
+    kept = transfers.without_self_trades(typed(spark, rows))
+    edges = graph.graph_edges(kept)
+    lv = scc.peel_levels(spark, edges)
+    cands = detect.scc_candidates(detect.scc_occurrences(lv))
+    got = {r.set_key: (int(r.inner_volume), int(r.max_member_net), r.member_matched)
+           for r in detect.member_volume_match(cands, detect.set_members(lv), edges).collect()}
+    assert got == {"a": (600, 0, True), "c": (3030, 2970, False)}
