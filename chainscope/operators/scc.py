@@ -2,9 +2,12 @@
 SCC peeling used for wash-trading candidate sets.
 
 All work is DataFrame joins and aggregations that Spark partitions by
-vertex; the driver only runs the loop and reads one count per round.
+vertex; the driver only runs the loop and reads one count per round
+(observed while the round is written).
 
-SCC per group (``lvl``) of a directed graph, exact, by colouring:
+Groups (``lvl``) whose edge count is within a checked bound are finished
+in one task each (Tarjan over the group's pandas batch, see scc_local).
+Larger groups use the distributed rounds, exact, by colouring:
 
 1. *trim*: a vertex without an in-edge or without an out-edge lies on no
    cycle; its edges go (a few rounds per phase).
@@ -13,7 +16,8 @@ SCC per group (``lvl``) of a directed graph, exact, by colouring:
 3. *backward*: the vertex whose id equals its colour is the root; walking
    edges backwards inside the colour from the root reaches exactly the
    root's SCC.
-4. edges between different colours cannot lie in one SCC and are dropped,
+4. edges between different colours cannot lie in one SCC and are dropped;
+   colour classes that are now within the bound are finished in one task,
    the found SCCs are removed, and the next phase runs on what is left.
 
 Every group advances in the same Spark rounds, so many graphs (one per
