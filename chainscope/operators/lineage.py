@@ -41,7 +41,11 @@ class Scratch:
         metric = F.count(F.lit(1)) if flag is None else F.count(F.when(flag, F.lit(1)))
         path = f"{self.base}/{self._n:05d}-{name}"
         df.observe(obs, metric.alias("n")).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path), int(obs.get["n"] or 0)
+        out = self.spark.read.parquet(path)
+        got = observed(obs)
+        if got is None:  # nothing was processed, so no metrics: count the (small) table
+            got = {"n": out.count() if flag is None else out.filter(flag).count()}
+        return out, int(got["n"] or 0)
 
     def drop(self, df: DataFrame) -> None:
         """Delete the files behind a saved table that is no longer read."""
@@ -67,3 +71,12 @@ def clear_scratch(spark: SparkSession) -> int:
             fs.delete(status.getPath(), True)
             removed += 1
     return removed
+
+
+def observed(obs: Observation) -> dict | None:
+    """Metrics of an observation, or None when the observed plan processed
+    no partition (an empty input produces no metrics row)."""
+    try:
+        return obs.get
+    except Exception:  # noqa: BLE001 - Spark raises a JVM assertion error here
+        return None

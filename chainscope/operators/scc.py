@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark import StorageLevel, cloudpickle
 
 from chainscope.operators import scc_local
-from chainscope.operators.lineage import Scratch
+from chainscope.operators.lineage import Scratch, observed
 from chainscope.operators.scc_local import scc_group
 
 # The per-group helper travels inside the task (pickled by value), so
@@ -243,10 +243,13 @@ def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
     metrics = [F.count(F.lit(1)).alias("n")]
     if measure_weight:
         metrics.append(F.sum("weight").alias("w"))
-    observed = edges.observe(size, *metrics)
-    ends = observed.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
+    watched = edges.observe(size, *metrics)
+    ends = watched.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
     ids = scratch.save(ends.withColumn("vid", F.monotonically_increasing_id()), "ids")
-    return ids, size.get
+    got = observed(size)
+    if got is None:  # no partition processed: measure directly
+        got = edges.agg(*metrics).collect()[0].asDict()
+    return ids, got
 
 
 def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS,

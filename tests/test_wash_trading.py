@@ -184,3 +184,12 @@ def test_member_volume_match(spark):
     got = {r.set_key: (int(r.inner_volume), int(r.max_member_net), r.member_matched)
            for r in detect.member_volume_match(cands, detect.set_members(lv), edges).collect()}
     assert got == {"a": (600, 0, True), "c": (3030, 2970, False)}
+
+
+def test_empty_graph(spark):
+    rows = [("h1", "a", "a", "5", "1"), ("h2", "b", "b", "7", "2")]  # self-trades only
+    kept = transfers.without_self_trades(typed(spark, rows))
+    edges = graph.graph_edges(kept)
+    assert scc.peel_levels(spark, edges).count() == 0
+    assert scc.scc_components(spark, edges).count() == 0
+    assert detect.scc_occurrences(scc.peel_levels(spark, edges)).count() == 0
