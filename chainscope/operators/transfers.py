@@ -18,9 +18,9 @@ NET_NEUTRAL_TOLERANCE = 0.15
 
 
 def self_trades(tx: DataFrame, time_col: str = "block_timestamp") -> DataFrame:
-    """Transfers whose sender is also the receiver."""
-    return (tx.filter(F.col("from_address").isNotNull()
-                      & F.col("from_address").eqNullSafe(F.col("to_address")))
+    """Transfers whose sender is also the receiver (null-safe: exactly the
+    rows :func:`without_self_trades` removes)."""
+    return (tx.filter(~not_same_address(F.col("from_address"), F.col("to_address")))
             .select("hash", F.col("from_address").alias("address"), "value", F.col(time_col).alias("ts")))
 
 

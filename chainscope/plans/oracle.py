@@ -78,10 +78,10 @@ SELECT strftime(date_trunc('month', make_timestamp(block_timestamp * 1000000)),
   + (CASE WHEN starts_with(extra_data, '0x') THEN length(extra_data) - 2 ELSE 0 END)), 0) AS BIGINT) AS hex_chars FROM blk)
 SELECT hex_chars, hex_chars * 4 AS bit_count, CAST(hex_chars * 4 AS DOUBLE) / 8 AS byte_count FROM n""",
     "self_trades": DAY + """SELECT hash, from_address AS address, value, block_timestamp AS ts FROM tx
-  WHERE from_address IS NOT NULL AND from_address IS NOT DISTINCT FROM to_address""",
+  WHERE from_address IS NOT DISTINCT FROM to_address""",
     "self_trade_summary": DAY + """SELECT from_address AS address, CAST(count(*) AS BIGINT) AS n_self_trades,
   CAST(sum(value) AS DECIMAL(38,0)) AS self_value, min(block_timestamp) AS first_ts, max(block_timestamp) AS last_ts
-  FROM tx WHERE from_address IS NOT NULL AND from_address IS NOT DISTINCT FROM to_address GROUP BY from_address""",
+  FROM tx WHERE from_address IS NOT DISTINCT FROM to_address GROUP BY from_address""",
     "without_self_trades": DAY + "SELECT hash, from_address, to_address, value FROM tx WHERE from_address IS DISTINCT FROM to_address",
     "avg_transfer_value": DAY + ", " + NET + "SELECT * FROM stats",
     "net_positions": DAY + ", " + NET + "SELECT * FROM net",
