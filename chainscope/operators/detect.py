@@ -42,9 +42,16 @@ def scc_occurrences(level_members: DataFrame) -> DataFrame:
 
 
 def set_members(level_members: DataFrame) -> DataFrame:
-    """(set_key, n_members, address) for every distinct set."""
+    """(set_key, n_members, address) for every distinct set.
+
+    A set has the same members at every level where it appears, so its
+    members are read at its first level only: the selection goes through the
+    per-set table (one row per set), and member rows are never deduplicated
+    across levels."""
     sets = level_sets(level_members).select("lvl", "root", "set_key", "n_members")
-    return level_members.join(sets, ["lvl", "root"]).select("set_key", "n_members", "address").distinct()
+    first = sets.groupBy("set_key", "n_members").agg(F.min("lvl").alias("lvl"))
+    chosen = sets.join(first, ["set_key", "n_members", "lvl"])
+    return level_members.join(chosen, ["lvl", "root"]).select("set_key", "n_members", "address")
 
 
 def scc_candidates(occurrences: DataFrame, threshold: int = SCC_OCCURRENCE_THRESHOLD) -> DataFrame:
