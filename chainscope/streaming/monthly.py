@@ -31,11 +31,14 @@ def monthly_totals(stream: DataFrame, time_col: str = "block_timestamp", value_c
 def run_monthly_snapshot(spark: SparkSession, source_dir: str, schema: StructType | str, output_dir: str,
                          checkpoint_location: str, time_col: str = "block_timestamp",
                          value_col: str = "value", available_now: bool = True,
-                         max_files_per_trigger: int | None = None):
+                         max_files_per_trigger: int | None = None, state_partitions: int = 4):
     """Start (and with ``available_now`` finish) the streaming job.
 
     ``checkpoint_location`` keeps offsets and state; it must be on shared
-    storage so the job resumes after a driver or executor loss.
+    storage so the job resumes after a driver or executor loss. The state is
+    one row per month whatever the input size (rows are combined per task
+    before the shuffle), so it lives in ``state_partitions`` partitions; the
+    number is fixed when the query first starts and kept by its checkpoint.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -48,7 +51,12 @@ def run_monthly_snapshot(spark: SparkSession, source_dir: str, schema: StructTyp
     writer = (totals.writeStream.outputMode("complete").foreachBatch(publish)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    query = writer.start()
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if available_now:
         query.awaitTermination()
     return query
