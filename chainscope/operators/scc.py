@@ -53,6 +53,13 @@ LOCAL_SCHEMA = "lvl INT, v BIGINT, root BIGINT"
 MAX_BROADCAST_LEVELS = 2_000_000
 
 
+# An address with more edges than this on one side is a hot join key; hot
+# addresses number at most 2 * edges / HOT_KEY_EDGES, so their ids can be
+# broadcast (checked against MAX_BROADCAST_HOT_KEYS as well).
+HOT_KEY_EDGES = 100_000
+MAX_BROADCAST_HOT_KEYS = 1_000_000
+
+
 def _small_side(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint only for a side whose row count was checked."""
     return F.broadcast(df) if rows <= MAX_BROADCAST_LEVELS else df
@@ -229,14 +236,15 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
                measure_weight: bool = False) -> tuple[DataFrame, dict]:
-    """Dense BIGINT ids for the addresses of ``edges(src, dst)``, and the
-    edge list's size (``n`` edges, ``w`` total weight) observed during the
-    same job.
+    """Dense BIGINT ids for the addresses of ``edges(src, dst)`` with their
+    out- and in-edge counts, and the edge list's size (``n`` edges, ``w``
+    total weight, ``hot`` addresses with more than ``HOT_KEY_EDGES`` edges on
+    one side) observed during the same job.
 
     Ids come from ``monotonically_increasing_id`` and are fixed by writing
     the table once; joins and shuffles then move 8-byte keys instead of
-    42-character addresses. The size only chooses between exact execution
-    paths: if a lost executor makes a stage run twice and the observation
+    42-character addresses. The sizes only choose between exact execution
+    paths: if a lost executor makes a stage run twice and an observation
     over-counts, the general path is taken, never a wrong one.
     """
     size = Observation("edge_size")
@@ -244,11 +252,19 @@ def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
     if measure_weight:
         metrics.append(F.sum("weight").alias("w"))
     watched = edges.observe(size, *metrics)
-    ends = watched.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
-    ids = scratch.save(ends.withColumn("vid", F.monotonically_increasing_id()), "ids")
+    ends = watched.select(F.explode(F.array(
+        F.struct(F.col("src").alias("address"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+        F.struct(F.col("dst").alias("address"), F.lit(0).alias("o"), F.lit(1).alias("i")),
+    )).alias("x")).groupBy("x.address").agg(F.sum("x.o").alias("n_out"), F.sum("x.i").alias("n_in"))
+    hot = Observation("hot_keys")
+    is_hot = (F.col("n_out") > HOT_KEY_EDGES) | (F.col("n_in") > HOT_KEY_EDGES)
+    ids = scratch.save(ends.withColumn("vid", F.monotonically_increasing_id())
+                       .observe(hot, F.count(F.when(is_hot, F.lit(1))).alias("hot")), "ids")
     got = observed(size)
     if got is None:  # no partition processed: measure directly
         got = edges.agg(*metrics).collect()[0].asDict()
+    hot_got = observed(hot)
+    got["hot"] = int(hot_got["hot"] or 0) if hot_got else ids.filter(is_hot).count()
     return ids, got
 
 
@@ -262,7 +278,7 @@ def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFA
     scratch = Scratch(spark, "components")
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     ids, size = vertex_ids(spark, edges, scratch)
-    e = _id_edges(edges, ids).select(F.lit(1).alias("lvl"), "src", "dst")
+    e = _id_edges(edges, ids, size["hot"]).select(F.lit(1).alias("lvl"), "src", "dst")
     m = scc_members(spark, e, scratch, max_rounds, local_edge_limit, known_total=size["n"])
     edges.unpersist()
     named = m.join(ids.withColumnRenamed("vid", "v"), "v")
@@ -270,11 +286,28 @@ def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFA
     return named.join(sets, "root").select("address", "component", "n_members")
 
 
-def _id_edges(edges: DataFrame, ids: DataFrame) -> DataFrame:
-    s = ids.select(F.col("address").alias("src"), F.col("vid").alias("s"))
-    d = ids.select(F.col("address").alias("dst"), F.col("vid").alias("d"))
+def _id_edges(edges: DataFrame, ids: DataFrame, n_hot: int = 0) -> DataFrame:
+    """Replace both addresses of every edge by their ids.
+
+    A hub address can own a large share of all edges. When the id table
+    marks such hot addresses (``n_hot`` of them, at most 2 * edges /
+    HOT_KEY_EDGES), their edges join a broadcast of the hot ids, with no
+    shuffle of the hub's rows; only the remaining edges take the shuffle
+    join. Without hot addresses this is a plain pair of joins.
+    """
     cols = [c for c in edges.columns if c not in ("src", "dst")]
-    return edges.join(s, "src").join(d, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
+    split = 0 < n_hot <= MAX_BROADCAST_HOT_KEYS
+
+    def map_end(df: DataFrame, end: str, hot_col: str, alias: str) -> DataFrame:
+        table = ids.select(F.col("address").alias(end), F.col("vid").alias(alias), F.col(hot_col).alias("_deg"))
+        if not split:
+            return df.join(table.drop("_deg"), end)
+        hot = F.broadcast(table.filter(F.col("_deg") > HOT_KEY_EDGES).drop("_deg"))
+        cold = table.filter(F.col("_deg") <= HOT_KEY_EDGES).drop("_deg")
+        return df.join(hot, end).unionByName(df.join(hot.select(end), end, "left_anti").join(cold, end))
+
+    out = map_end(map_end(edges, "src", "n_out", "s"), "dst", "n_in", "d")
+    return out.select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
 
 
 def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS,
@@ -303,7 +336,7 @@ def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT
     # are written (they must not change if a partition is recomputed).
     edges = edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     ids, size = vertex_ids(spark, edges, scratch, measure_weight=True)
-    e = _id_edges(edges, ids).persist(StorageLevel.MEMORY_AND_DISK)
+    e = _id_edges(edges, ids, size["hot"]).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [edges, e]
     total_weight = size.get("w") or 0
 

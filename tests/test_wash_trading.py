@@ -193,3 +193,27 @@ def test_empty_graph(spark):
     assert scc.peel_levels(spark, edges).count() == 0
     assert scc.scc_components(spark, edges).count() == 0
     assert detect.scc_occurrences(scc.peel_levels(spark, edges)).count() == 0
+
+
+def test_hot_key_split_gives_same_sets(spark, monkeypatch):
+    import random
+    rng = random.Random(21)
+    verts = [f"k{i:02d}" for i in range(20)]
+    triples = {}
+    for _ in range(50):
+        a, b = rng.sample(verts, 2)
+        triples[(a, b)] = rng.randint(1, 3)
+    for v in verts[1:]:  # k00 is a hub on both sides
+        triples[("k00", v)] = 2
+        triples[(v, "k00")] = rng.randint(1, 3)
+    edges = [(a, b, w) for (a, b), w in triples.items()]
+
+    def components():
+        return sorted(tuple(r) for r in scc.scc_components(spark, _edges(spark, edges)).collect())
+
+    plain, plain_comp = _occurrences(spark, edges, 1_000_000), components()
+    monkeypatch.setattr(scc, "HOT_KEY_EDGES", 2)
+    _, size = scc.vertex_ids(spark, _edges(spark, edges), scc.Scratch(spark, "t"), measure_weight=True)
+    assert size["hot"] > 0
+    assert _occurrences(spark, edges, 1_000_000) == plain
+    assert components() == plain_comp and plain_comp
