@@ -32,6 +32,21 @@ CLUSTER_CONF = {
 }
 
 
+def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool = False) -> dict[str, str]:
+    """Session settings for an S3-compatible object store at ``endpoint``
+    (host[:port]); paths are then plain ``s3a://bucket/key`` URIs.
+
+    Credentials are deliberately not part of this: the cluster's credential
+    provider chain (instance roles, environment, credential files) supplies
+    them, so none appear in code or job arguments.
+    """
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "chainscope") -> SparkSession:
     """Local session for tests and the bench; clusters build their own."""

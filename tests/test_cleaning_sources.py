@@ -113,3 +113,12 @@ def test_out_of_range_index_becomes_null(spark):
     df = typed_transactions(spark.createDataFrame([row], TRANSACTIONS_TEXT))
     r = df.collect()[0]
     assert r.transaction_index is None and r.value == 1
+
+
+def test_object_store_conf_has_no_credentials():
+    from chainscope.session import object_store_conf
+    conf = object_store_conf("store.example:8080")
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "store.example:8080"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("key" in k for k in conf)
