@@ -40,7 +40,11 @@ def run_monthly_snapshot(spark: SparkSession, source_dir: str, schema: StructTyp
     before the shuffle), so it lives in ``state_partitions`` partitions; the
     number is fixed when the query first starts and kept by its checkpoint.
     """
-    reader = spark.readStream.schema(schema)
+    # A child session (same SparkContext, own SQL settings) fixes the state
+    # partitioning for this query without touching the caller's settings.
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    reader = session.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     totals = monthly_totals(reader.parquet(source_dir), time_col, value_col)
@@ -51,12 +55,7 @@ def run_monthly_snapshot(spark: SparkSession, source_dir: str, schema: StructTyp
     writer = (totals.writeStream.outputMode("complete").foreachBatch(publish)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        query = writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    query = writer.start()
     if available_now:
         query.awaitTermination()
     return query
