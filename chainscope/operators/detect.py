@@ -100,7 +100,7 @@ def wash_suspects(matched_members: DataFrame) -> DataFrame:
 def wash_volume_by_account(matched_members: DataFrame, edges: DataFrame) -> DataFrame:
     """Per suspect account: value it sent or received on edges inside a
     matched set (each edge once, even when sets nest), its total volume over
-    all edges, and the share."""
+    all edges, and the share (NULL when the account moved no value)."""
     wash_edges = set_edges(matched_members, edges).select("src", "dst", "value").distinct()
 
     def by_account(e: DataFrame, name: str) -> DataFrame:
@@ -113,7 +113,8 @@ def wash_volume_by_account(matched_members: DataFrame, edges: DataFrame) -> Data
     wash = by_account(wash_edges, "wash_volume")
     total = by_account(edges.select("src", "dst", "value"), "total_volume")
     return (wash.join(total, "address", "left")
-            .withColumn("wash_share", F.col("wash_volume").cast("double") / F.col("total_volume").cast("double")))
+            .withColumn("wash_share", F.try_divide(F.col("wash_volume").cast("double"),
+                                                   F.col("total_volume").cast("double"))))
 
 
 def top_wash_trader(matched_members: DataFrame, edges: DataFrame, k: int = 1) -> DataFrame:

@@ -181,7 +181,7 @@ wv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS wash_volume FROM (
 tv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS total_volume FROM (
   SELECT src AS address, value AS v FROM e UNION ALL SELECT dst, value FROM e) GROUP BY address)
 SELECT wv.address, wv.wash_volume, tv.total_volume,
-  CAST(wv.wash_volume AS DOUBLE) / CAST(tv.total_volume AS DOUBLE) AS wash_share
+  CAST(wv.wash_volume AS DOUBLE) / NULLIF(CAST(tv.total_volume AS DOUBLE), 0) AS wash_share
   FROM wv LEFT JOIN tv USING (address) ORDER BY wash_volume DESC, address LIMIT 1""",
     "vertex_scc_counts": R20 + LEVELS + """SELECT m.address, CAST(sum(lv.multiplicity) AS BIGINT) AS n_rounds,
   count(DISTINCT (m.set_key, m.n_members)) AS n_sets FROM mem m JOIN lv USING (level_weight) GROUP BY m.address""",

@@ -217,3 +217,14 @@ def test_hot_key_split_gives_same_sets(spark, monkeypatch):
     assert size["hot"] > 0
     assert _occurrences(spark, edges, 1_000_000) == plain
     assert components() == plain_comp and plain_comp
+
+
+def test_zero_value_loop_has_null_share(spark):
+    rows = [(f"z{i}", s_, d_, "0", "1") for i, (s_, d_) in enumerate([("p", "q"), ("q", "p")] * 3)]
+    kept = transfers.without_self_trades(typed(spark, rows))
+    edges = graph.graph_edges(kept)
+    lv = scc.peel_levels(spark, edges)
+    members = detect.set_members(lv)
+    got = {r.address: (int(r.wash_volume), r.wash_share)
+           for r in detect.wash_volume_by_account(members, edges).collect()}
+    assert got == {"p": (0, None), "q": (0, None)}
