@@ -47,3 +47,13 @@ def test_jobs_end_to_end(spark, tmp_path):
         [("3f2f38", 3, 1, False)]
     assert len(read(w["net_neutral_accounts"])) == 5
     assert [r["address"] for r in read(w["self_trades"])] == ["c8ebcc"]
+
+
+def test_jobs_read_parquet_exports(spark, tmp_path):
+    from conftest import TX_TEXT_SCHEMA
+    text = spark.createDataFrame(WASHED_TX, TX_TEXT_SCHEMA)
+    text_path = str(tmp_path / "tx_text")
+    text.write.parquet(text_path)  # an all-text Parquet export is typed like the CSV
+    out = str(tmp_path / "out")
+    w = jobs.run(spark, ["monthly-average", "--transactions", text_path, "--format", "parquet", "--out", out])
+    assert spark.read.json(w["avg_monthly_transactions"]).collect()[0]["avg_value"] == 1.1711105604518186e+20

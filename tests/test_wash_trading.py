@@ -228,3 +228,9 @@ def test_zero_value_loop_has_null_share(spark):
     got = {r.address: (int(r.wash_volume), r.wash_share)
            for r in detect.wash_volume_by_account(members, edges).collect()}
     assert got == {"p": (0, None), "q": (0, None)}
+
+
+def test_round_budget_raises_instead_of_partial_result(spark):
+    ring = [(f"v{i}", f"v{(i + 1) % 6}", 1) for i in range(6)]
+    with pytest.raises(scc.RoundLimitExceeded):
+        scc.peel_levels(spark, _edges(spark, ring), max_rounds=2, local_edge_limit=0)
