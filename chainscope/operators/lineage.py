@@ -57,10 +57,21 @@ class Scratch:
                 hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+# Callbacks that drop in-process references to scratch tables (e.g. the
+# query registry's cache of peeling results) before the files go.
+_ON_CLEAR: list = []
+
+
+def on_clear(callback) -> None:
+    _ON_CLEAR.append(callback)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete every intermediate table this package wrote under the
     checkpoint folder (call once the results that read them are written).
     Returns the number of folders removed."""
+    for callback in _ON_CLEAR:
+        callback()
     sc = spark.sparkContext
     jvm = sc._jvm
     base = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))

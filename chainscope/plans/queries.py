@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, scc,
                                   timeseries, transfers)
+from chainscope.operators import lineage
 from chainscope.operators.lineage import Scratch
 from chainscope.session import checkpoint_dir
 from chainscope.sources import bindings as b
@@ -127,6 +128,7 @@ def q_net_neutral_count(spark, sf_dir):
 # Peeling results are written under the checkpoint folder; queries of one
 # session over the same input reuse them instead of recomputing the loop.
 _PEEL_CACHE: dict[tuple, DataFrame] = {}
+lineage.on_clear(_PEEL_CACHE.clear)
 
 
 def _mod_transfers(spark, sf_dir, accounts):

@@ -37,3 +37,12 @@ def test_empty_graph_paths(spark):
 def test_no_cycles_on_distributed_path(spark):
     e = spark.createDataFrame([("a", "b", 2, Decimal(1)), ("b", "c", 1, Decimal(1))], EDGE_SCHEMA)
     assert scc.peel_levels(spark, e, local_edge_limit=0).count() == 0
+
+
+def test_clear_scratch_then_query_again(spark):
+    from chainscope.operators.lineage import clear_scratch
+    from chainscope.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    first = sorted(tuple(r) for r in QUERIES["scc_occurrences"](spark, sf).collect())
+    assert clear_scratch(spark) >= 1
+    assert sorted(tuple(r) for r in QUERIES["scc_occurrences"](spark, sf).collect()) == first
