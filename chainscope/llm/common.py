@@ -30,3 +30,14 @@ def byte_words(text: str) -> list[bytes]:
     six separators.
     """
     return text.encode("utf-8", "replace").lower().split()
+
+
+def filter_computed(df: DataFrame, condition) -> DataFrame:
+    """Filter on costly computed columns without recomputing them.
+
+    The optimizer pushes a plain filter below the projections it reads and
+    writes their expressions out in full, once per mention and, inside
+    lambdas, once per element. A row number in the condition stops that.
+    """
+    row = "_computed_row"
+    return df.withColumn(row, F.monotonically_increasing_id()).filter(condition & (F.col(row) >= 0)).drop(row)

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chainscope.llm.common import filter_computed
+
 # Fixed values of the rules.
 BOILERPLATE = ["all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
                "we use cookies", "accept cookies", "enable javascript", "lorem ipsum", "sign up for our newsletter",
@@ -87,7 +89,7 @@ def annotate(docs: DataFrame, *, min_words: int = 50, max_repeat_pct: int = 50,
 def clean(docs: DataFrame, **params) -> DataFrame:
     """The kept documents with failing lines removed, columns of ``docs``."""
     q = "_q9out_"
-    df = annotate(docs, prefix=q, **params).filter(F.col(q + "kept"))
+    df = filter_computed(annotate(docs, prefix=q, **params), F.col(q + "kept"))
     out = []
     for name in docs.columns:
         if name == "text":

@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.llm.common import id_text
+from chainscope.llm.common import filter_computed, id_text
 from chainscope.operators.lineage import Scratch
 
 SAMPLE = 20_000
@@ -46,12 +46,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     words = id_text(docs).withColumn("w", F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
     hit = F.expr(r"""filter(sequence(0, size(w)), i -> i < size(w) AND length(get(w, i)) >= 16
                      AND get(w, i) rlike '[A-Za-z0-9_+/=.-]{16,}' AND get(w, i) rlike '[0-9]')""")
-    rows = words.withColumn("i", hit).filter(F.size("i") > 0)
+    rows = words.withColumn("i", hit)
     rows = rows.withColumn("f", F.expr("""transform(i, i -> struct(CAST(i AS BIGINT) AS pos, get(w, i) AS raw,
         concat_ws(' ', get(w, i - 2), get(w, i - 1)) AS before, coalesce(get(w, i + 1), '') AS after))"""))
+    rows = filter_computed(rows.select("doc_id", "f"), F.size("f") > 0)
     rows = rows.select("doc_id", F.explode("f").alias("f")).select("doc_id", "f.*")
     return rows.withColumn("word", F.regexp_extract("raw", r"([A-Za-z0-9_+/=.-]{16,512})", 1)) \
-        .filter("word rlike '[0-9]'")
+        .transform(lambda df: filter_computed(df, F.col("word").rlike("[0-9]")))
 
 
 def _count(col, pattern: str):
