@@ -65,12 +65,13 @@ def decode_words(spark: SparkSession, encoded: DataFrame, path: str | None = Non
     """(word, token_ids) with ``decoded``, the joined token bytes in order.
 
     Word-level form of :func:`decode`: each distinct id sequence is decoded
-    once."""
+    once, and one grouping by word puts ids and bytes back in order (its
+    partitioning serves the join that follows)."""
     table = F.broadcast(token_bytes(spark, path))
     pieces = encoded.select("word", F.posexplode("token_ids").alias("pos", "id")).join(table, "id")
-    got = pieces.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("pos", "bytes"))).alias("p"))
-    return encoded.join(got, "word").select(
-        "word", "token_ids", F.aggregate("p.bytes", F.lit(b""), lambda acc, x: F.concat(acc, x)).alias("decoded"))
+    got = pieces.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("pos", "id", "bytes"))).alias("p"))
+    return got.select("word", F.col("p.id").alias("token_ids"),
+                      F.aggregate("p.bytes", F.lit(b""), lambda acc, x: F.concat(acc, x)).alias("decoded"))
 
 
 def decode(spark: SparkSession, ids: DataFrame, path: str | None = None) -> DataFrame:
@@ -93,8 +94,7 @@ def _round_trip(spark: SparkSession, docs: DataFrame, path: str | None = None) -
 
     blocks = word_blocks.build(id_text(docs), scratch, split)
     words = word_blocks.block_words(blocks).select("block", "i", "word")
-    vocab = scratch.save(encode_words(words.select("word").distinct(), path), "vocab")
-    vocab = decode_words(spark, vocab, path)
+    vocab = decode_words(spark, encode_words(words.select("word").distinct(), path), path)
     values = words.join(vocab, "word").select("block", "i", F.struct("token_ids", "decoded").alias("v"))
     return word_blocks.with_dictionary(blocks, values)
 

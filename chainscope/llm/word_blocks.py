@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from chainscope.operators.lineage import Scratch
 
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 12_000_000
 SCHEMA = "block string, ids array<long>, sizes array<long>, extra array<long>, notes array<double>, codes binary, words array<binary>, " \
          "counts array<long>"
 
