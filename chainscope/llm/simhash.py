@@ -143,6 +143,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     apart. ``fps`` has one row per distinct ``fp``."""
     if max_bits > MAX_BITS:
         raise ValueError("the three-segment pigeonhole holds up to 3 bits")
+    # Keys multiply the rows, so the narrow table is dealt out first.
+    fps = fps.select("fp").repartition("fp")
     probe = fps.select("fp").mapInPandas(lambda it: _keys(it, False), "key long, fp long")
     index = fps.select("fp").mapInPandas(lambda it: _keys(it, True), "key long, fp long")
     x, y = probe.withColumnRenamed("fp", "x"), index.withColumnRenamed("fp", "y")
