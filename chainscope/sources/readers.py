@@ -42,11 +42,12 @@ def read_ledger_csv(spark: SparkSession, path: str, kind: str, header: bool = Tr
 
 
 def read_ledger_text_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Plain comma split of each text line (no quoting), by column name."""
+    """Plain comma split of each text line (no quoting), by column name; the
+    fields a short line lacks are null, and cleaning then drops the row."""
     names = _TEXT_SCHEMAS[kind].fieldNames()
     parts = F.split(F.col("value"), ",")
     lines = spark.read.text(path).filter(F.length(F.trim(F.col("value"))) > 0)
-    return lines.select(*[parts.getItem(i).alias(n) for i, n in enumerate(names)])
+    return lines.select(*[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
 def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
