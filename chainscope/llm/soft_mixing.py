@@ -5,11 +5,13 @@
    predicts every document's posterior p_d over the domains ``DOMAINS``.
 2. Each document i of n_i tokens gets a rate r_i >= 0. The expected tokens
    of domain d are sum_i n_i p_id r_i; the rates minimise
-   sum_d (expected_d / target_d - 1)^2 under r >= 0, starting from one, by
-   projected gradient in the token-weighted metric. A step needs only the
-   domain totals (one partial aggregation into one row), and a document's
-   rate is a function of its posterior and the gradients so far, so the table
-   of documents is never rewritten.
+   sum_d (expected_d - target_d)^2 under r >= 0, starting from one, by
+   projected gradient in the token-weighted metric, each step scaled by the
+   domains' Gram matrix over the rows whose rate is positive, and halved
+   until it lowers the largest relative miss. A step needs only the domain
+   totals (one partial aggregation into one row), and a document's rate is a
+   function of its posterior and the steps so far, so the table of documents
+   is never rewritten.
 3. Rates become copies: the whole part, plus one more when a hash of the
    doc_id falls below the fraction. A rate within ``SNAP`` of a whole number
    counts as that number.
@@ -35,6 +37,7 @@ DOMAINS = ("good", "poor", "toxic")
 TARGETS = (0.86, 0.10, 0.04)
 SAMPLE = 4000
 ROUNDS = 60
+TOLERANCE = 1e-4
 SNAP = 0.1
 
 
@@ -98,22 +101,27 @@ def fit_rates(predicted: DataFrame, targets=TARGETS, rounds: int = ROUNDS) -> li
         v = np.array([x or 0.0 for x in got])
         return v[:k], v[k:].reshape(k, k)
 
-    start, _ = totals([])
-    if start[0] <= 0:
+    t, m = totals([])
+    if t[0] <= 0:
         return []
-    goal = np.array(targets) * start[0] / targets[0]
+    goal = np.array(targets) * t[0] / targets[0]
+
+    def miss(t: np.ndarray) -> float:
+        return np.abs((t - goal) / goal).max()
+
     steps: list[np.ndarray] = []
+    scale = 1.0
     for _ in range(rounds):
-        t, m = totals(steps)
-        residual = (t - goal) / goal
-        if np.abs(residual).max() < 1e-4:
-            break
-        # Step length: inverse of the largest eigenvalue of the Hessian on
-        # the rows that are still positive.
-        top = np.abs(np.linalg.eigvals(m / np.outer(goal, goal))).max()
-        if top <= 0:
+        if miss(t) < TOLERANCE or scale < 1e-3:
             break
-        steps.append(residual / goal / top)
+        # The pseudo-inverse holds where a domain has no rows left to change.
+        step = scale * np.linalg.lstsq(m, t - goal, rcond=1e-9)[0]
+        t_new, m_new = totals([*steps, step])
+        if miss(t_new) < miss(t):
+            steps.append(step)
+            t, m, scale = t_new, m_new, min(1.0, 2 * scale)
+        else:
+            scale /= 2
     return steps
 
 
