@@ -1,199 +1,274 @@
-"""Probabilistic suffix tree over UTF-8 bytes.
-
-Symbols are the bytes of the text (A-Z lowered) and one end symbol. Training
-counts every window of ``DEPTH`` context symbols and the next symbol: tasks
-pre-aggregate with numpy, a grouped sum merges them, and shorter contexts are
-sums over longer ones. A context is a state when
-
-* its share of all positions is at least ``p_min`` (so one depth has at most
-  ``1/p_min`` states: the model is at most ``DEPTH/p_min + 1`` states of 257
-  numbers whatever the corpus, the proven bound for its broadcast), and
-* the divergence of its next-symbol distribution from its longest proper
-  suffix's, in nats, weighted by its count, is at least ``min_gain``.
-
-Next-symbol distributions are smoothed by ``alpha`` added to each of the 257
-symbols. Scoring uses the longest suffix that is a state (the empty context
-always is one) for every symbol; no text is cut.
-
-Base score: add-0.1 unigram over words and one end per text, from exact
-counts of all training words. Counts come from blocks of documents
-(:mod:`word_blocks`), so a word that fills a third of the corpus is one row
-per block in the shuffle.
+"""Probabilistic suffix tree over words.
+
+Symbols are the words of a text (A-Z lowered), one start and one end. A
+context of up to ``DEPTH`` preceding symbols is a state when it was seen at
+least ``MIN_COUNT`` times and passes the divergence test: the gain, in nats,
+of its smoothed next-symbol distribution over its longest proper suffix's,
+summed over its training occurrences with each one left out of the counts
+that predict it, is at least ``MIN_GAIN``. The empty context is always a
+state and has the base distribution (0.1 added to every count). The others
+are smoothed by ``STRENGTH`` pseudo-symbols of their suffix's distribution.
+Scoring uses the longest suffix that is a state at every symbol; no text is
+cut, and the score is over the same tokens as the base score. The number of
+states grows with the corpus.
+
+How it runs. Tasks pack documents into blocks of about ``BLOCK_CHARS`` code
+points (a longer text is a block of its own), a committed table: per block
+its distinct words' hashes once and every text as indices into them. One
+*exchange* per level sends each block's distinct keys with their partial sums
+to ``bucket``, a range of the key, where equal keys of all blocks are added
+up and the sums return to the blocks that asked. A word, or a passage, that
+fills a third of the corpus is one key per block, so no bucket is hot; buckets
+grow in number with the blocks. Level m counts the m-grams whose context was
+seen ``MIN_COUNT`` times (the others can't be states, so nothing is lost),
+then partial gains travel the same way. Nothing is gathered but five totals.
+
+Keys are 64-bit hashes: n distinct keys have n^2 / 2^65 colliding pairs to be
+expected (below 0.001 for 100 million).
 
 A null or empty text is its end symbol alone. Repeated rows are scored alike
 and each counts in training when it falls there; a null doc_id is trained on
-like crc32 of the empty text; with no training rows the model is uniform and
-the base counts are zero.
+like crc32 of the empty text; with no training rows the counts are zero and
+both scores are the base formula's; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 import zlib
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.llm import word_blocks
 from chainscope.llm.common import byte_words, id_text
 from chainscope.operators.lineage import Scratch
 
-DEPTH = 3
-END, START, RADIX, SYMBOLS = 256, 257, 258, 257
-P_MIN = 1e-4
-MIN_GAIN = 10.0
-ALPHA = 0.02
+DEPTH = 2
+MIN_COUNT = 2
+MIN_GAIN = 3.0
+STRENGTH = 5.0
+ADD = 0.1
+BLOCK_CHARS = 8_000_000
+# Separators can't be part of a word, so these collide with none.
+START, END = xxhash.xxh64_intdigest(b" "), xxhash.xxh64_intdigest(b"\n")
+
+BLOCK_SCHEMA = "block string, ids array<long>, no_id array<boolean>, sizes array<long>, train array<boolean>, codes binary, hashes binary"
+KEY_SCHEMA = "kind string, bucket long, block string, keys binary, sums binary"
+REPLY_SCHEMA = "block string, kind string, bucket long, sums binary, seen long"
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def _symbols(text: str) -> np.ndarray:
-    raw = np.frombuffer(text.encode("utf-8", "replace").lower(), dtype=np.uint8)
-    out = np.empty(len(raw) + DEPTH + 1, dtype=np.int64)
-    out[:DEPTH], out[DEPTH:-1], out[-1] = START, raw, END
-    return out
-
-
-def _windows(sym: np.ndarray) -> np.ndarray:
-    """Code of DEPTH context symbols and the next one, per position."""
-    n = len(sym) - DEPTH
-    code = np.zeros(n, dtype=np.int64)
-    for i in range(DEPTH + 1):
-        code = code * RADIX + sym[i:i + n]
-    return code
-
-
-def _merge(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(codes, kind="stable")
-    codes, counts = codes[order], counts[order]
-    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, dtype=np.int64)
-    return codes[first], (np.add.reduceat(counts, first) if len(codes) else counts)
-
-
-def window_counts(docs: DataFrame) -> DataFrame:
-    """(code, n) over the training documents of (doc_id, text)."""
+def build_blocks(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Blocks of (doc_id, text). Their ids are random, so only the committed
+    rows may be used."""
     def run(batches):
-        codes, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        pending, size = [], 0
-
-        def fold():
-            new, n = np.unique(np.concatenate(pending), return_counts=True)
-            return _merge(np.concatenate([codes, new]), np.concatenate([counts, n]))
-
-        for b in batches:
-            for doc_id, text in zip(b["doc_id"].astype(object), b["text"]):
-                if held_out(None if pd.isna(doc_id) else int(doc_id)):
-                    continue
-                pending.append(_windows(_symbols(text)))
-                size += len(pending[-1])
-                if size > 4_000_000:
-                    codes, counts = fold()
-                    pending, size = [], 0
-                if len(codes) > 2_000_000:  # bounded memory; the grouped sum merges parts
-                    yield pd.DataFrame({"code": codes, "n": counts})
-                    codes, counts = codes[:0], counts[:0]
-        if pending:
-            codes, counts = fold()
-        yield pd.DataFrame({"code": codes, "n": counts})
-    return docs.mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, p_min: float = P_MIN,
-          min_gain: float = MIN_GAIN) -> DataFrame:
-    """Model rows (len, ctx, sym, n, total): next-symbol counts of the states."""
-    windows = scratch.save(window_counts(docs), "windows")
-    full, sym = F.floor(F.col("code") / RADIX).cast("long"), (F.col("code") % RADIX).cast("int")
-    per_len = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("len"), F.pmod(full, F.lit(RADIX ** k)).alias("ctx")) for k in range(DEPTH + 1)]))
-    counts = windows.select(per_len.alias("c"), sym.alias("sym"), "n") \
-        .groupBy("c.len", "c.ctx", "sym").agg(F.sum("n").alias("n"))
-    counts = scratch.save(counts, "counts")
-    totals = counts.groupBy("len", "ctx").agg(F.sum("n").alias("total"))
-    whole = counts.filter("len = 0").agg(F.sum("n").alias("whole"))
-    # Contexts frequent enough: at most 1/p_min per depth, so this table and
-    # the parents it joins are bounded.
-    often = totals.join(F.broadcast(whole)).filter(F.col("total") >= p_min * F.col("whole")).drop("whole")
-    cand = scratch.save(counts.join(F.broadcast(often), ["len", "ctx"]), "frequent")
-    parent = cand.select((F.col("len") + 1).alias("len"), F.col("ctx").alias("pctx"), "sym", F.col("n").alias("pn"),
-                         F.col("total").alias("ptotal"))
-    child = cand.filter("len > 0").withColumn("pctx", F.expr(
-        "ctx % CASE len " + " ".join(f"WHEN {k} THEN {RADIX ** (k - 1)}" for k in range(1, DEPTH + 1)) + " END"))
-    gain = child.join(parent, ["len", "pctx", "sym"]).groupBy("len", "ctx").agg(
-        F.sum(F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("pn") / F.col("ptotal")))).alias("gain"))
-    states = gain.filter(F.col("gain") >= min_gain).select("len", "ctx")
-    return scratch.save(cand.filter("len = 0").unionByName(cand.join(states, ["len", "ctx"], "left_semi")), "model")
-
-
-def load(model: DataFrame) -> tuple[np.ndarray, ...]:
-    """The bounded model as arrays (len, ctx, sym, n, total)."""
-    pdf = model.select("len", "ctx", "sym", "n", "total").toPandas()
-    return tuple(pdf[c].to_numpy(dtype=np.int64) for c in ("len", "ctx", "sym", "n", "total"))
-
-
-class Scorer:
-    """Longest-suffix lookup tables of a model, built once per task."""
-
-    def __init__(self, rows: tuple[np.ndarray, ...], alpha: float = ALPHA):
-        length, ctx, sym, n, total = rows
-        key = length * RADIX ** DEPTH + ctx
-        states, first, at = np.unique(key, return_index=True, return_inverse=True)
-        self.logp = np.full((max(len(states), 1), SYMBOLS), -math.log10(SYMBOLS), dtype=np.float32)
-        if len(states):
-            denom = total[first] + SYMBOLS * alpha
-            self.logp[:] = np.log10(alpha / denom)[:, None]
-            self.logp[at, sym] = np.log10((n + alpha) / denom[at])
-        of = np.zeros(1, dtype=np.int32)  # the empty context
+        def close(index, ids, codes):
+            flat = np.concatenate(codes)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, index), dtype="<u8", count=len(index))
+            return pd.DataFrame({
+                "block": [uuid.uuid4().hex], "ids": [[i or 0 for i in ids]], "no_id": [[i is None for i in ids]], "sizes": [[len(c) for c in codes]],
+                "train": [[not held_out(i) for i in ids]], "codes": [zlib.compress(flat.tobytes(), 1)],
+                "hashes": [hashes.tobytes()]})
+
+        index, ids, codes, chars = {}, [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
+                ids.append(None if pd.isna(doc_id) else int(doc_id))
+                codes.append(np.array([index.setdefault(w, len(index)) for w in byte_words(text)], dtype="<u4"))
+                chars += len(text) + 64
+                if chars >= block_chars:
+                    yield close(index, ids, codes)
+                    index, ids, codes, chars = {}, [], [], 0
+        if ids:
+            yield close(index, ids, codes)
+    return scratch.save(docs.mapInPandas(run, BLOCK_SCHEMA), "blocks")
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Key of a sequence from its prefix's key and its last symbol."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    """The value at the position before each."""
+    return np.concatenate([np.zeros(1, dtype=x.dtype), x[:-1]])
+
+
+class Positions:
+    """Every symbol of a block, in order, with what is known so far.
+
+    ``replies`` maps a kind ("count1", "gain1", ...) to the sums over all
+    blocks, in the order of the keys that :meth:`ask` gave for it.
+    """
+
+    def __init__(self, row, replies: dict[str, np.ndarray], totals: dict | None = None):
+        n = np.asarray(row.sizes, dtype=np.int64) + 2
+        self.first = np.cumsum(n) - n
+        self.sym = np.empty(int(n.sum()), dtype=np.uint64)
+        word = np.ones(len(self.sym), dtype=bool)
+        for at, mark in ((self.first, START), (self.first + n - 1, END)):
+            word[at] = False
+            self.sym[at] = mark
+        codes = np.frombuffer(zlib.decompress(row.codes), dtype="<u4")
+        self.sym[word] = np.frombuffer(row.hashes, dtype="<u8")[codes]
+        self.offset = np.arange(len(self.sym)) - np.repeat(self.first, n)
+        self.train = np.repeat(np.asarray(row.train, dtype=bool), n)
+        self.replies, self.totals, self.asked = replies, totals, {}
+        self._walk()
+
+    def _sums(self, kind: str, at: np.ndarray, keys: np.ndarray, weights: np.ndarray) -> np.ndarray | None:
+        """The sums over all blocks at positions ``at``, or None when they
+        aren't known yet; then the question is kept."""
+        found, inverse = np.unique(keys, return_inverse=True)
+        if kind not in self.replies:
+            self.asked[kind] = found, np.bincount(inverse, weights=weights, minlength=len(found))
+            return None
+        out = np.zeros(len(self.sym))
+        out[at] = self.replies[kind][inverse]
+        return out
+
+    def _walk(self) -> None:
+        """Counts level by level, then each level's states, as far as the
+        replies reach."""
+        key = self.sym
+        count = self._sums("count1", np.arange(len(key)), key, self.train)
+        if count is None:
+            return
+        self.known = count > 0
+        t = self.totals
+        self.base = self.p = (count + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
         for k in range(1, DEPTH + 1):
-            table = np.tile(of, RADIX)  # falls back to the suffix of length k - 1
-            mine = np.flatnonzero(length[first] == k) if len(states) else []
-            table[ctx[first][mine]] = mine
-            of = table
-        self.state = of
-
-    def score(self, text: str) -> float:
-        sym, total = _symbols(text), 0.0
-        for at in range(0, len(sym) - DEPTH, 1_000_000):
-            code = _windows(sym[at:at + 1_000_000 + DEPTH])
-            total += float(self.logp[self.state[code // RADIX], code % RADIX].sum(dtype=np.float64))
-        return total
-
-
-def score(spark: SparkSession, docs: DataFrame, p_min: float = P_MIN, min_gain: float = MIN_GAIN) -> DataFrame:
+            context, seen = _before(key), _before(count)
+            at = np.flatnonzero((self.offset >= k) & (seen >= MIN_COUNT))
+            key = _mix(context, self.sym)
+            count = self._sums(f"count{k + 1}", at, key[at], self.train[at])
+            if count is None:
+                return
+            p, y, x = self.p[at], count[at], seen[at]
+            left_out = (np.maximum(y - 1, 0) + STRENGTH * p) / (x - 1 + STRENGTH)
+            gain = self._sums(f"gain{k}", at, context[at], np.where(self.train[at], np.log(left_out / p), 0.0))
+            if gain is None:
+                self._ahead(k, key, count)
+                return
+            state = gain[at] >= MIN_GAIN
+            self.p = self.p.copy()
+            self.p[at] = np.where(state, (y + STRENGTH * p) / (x + STRENGTH), p)
+
+    def _ahead(self, k: int, key: np.ndarray, count: np.ndarray) -> None:
+        """The next level's counts need no states: ask along with the gains."""
+        if k < DEPTH:
+            at = np.flatnonzero((self.offset >= k + 1) & (_before(count) >= MIN_COUNT))
+            self._sums(f"count{k + 2}", at, _mix(_before(key), self.sym)[at], self.train[at])
+
+    def per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the symbols after each text's start."""
+        values = np.where(self.offset > 0, values, 0)
+        return np.add.reduceat(values, self.first)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    return zlib.compress(values.astype("<f8").tobytes(), 1)
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), dtype="<f8")
+
+
+def _replies(row) -> dict[str, np.ndarray]:
+    """Sums by kind: buckets are ranges of the sorted keys, so their sums
+    follow each other in the order of the keys."""
+    parts: dict[str, list] = {}
+    for r in sorted(row.replies if row.replies is not None else [], key=lambda r: (r["kind"], r["bucket"])):
+        parts.setdefault(r["kind"], []).append(_unpack(r["sums"]))
+    out = {k: np.concatenate(v) for k, v in parts.items()}
+    # A block with nothing to ask at a level has an empty reply to it.
+    return {**{k: np.empty(0) for k in row.kinds}, **out}
+
+
+def with_replies(blocks: DataFrame, replies: list[DataFrame], kinds: list[str]) -> DataFrame:
+    """Blocks with all replies to them (a block's keys are bounded by its
+    code points, and so are its replies)."""
+    if not replies:
+        return blocks.withColumn("replies", F.lit(None).cast("array<struct<kind:string,bucket:long,sums:binary>>")) \
+            .withColumn("kinds", F.array().cast("array<string>"))
+    every = replies[0]
+    for r in replies[1:]:
+        every = every.unionByName(r)
+    got = every.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "sums")).alias("replies"))
+    return blocks.join(got, "block", "left").withColumn("kinds", F.array(*[F.lit(k) for k in kinds]))
+
+
+def exchange(asking: DataFrame, buckets: int, totals: dict | None) -> DataFrame:
+    """One round: the blocks' next questions, added up and answered."""
+    def ask(batches):
+        for b in batches:
+            for row in b.itertuples(index=False):
+                for kind, (keys, sums) in Positions(row, _replies(row), totals).asked.items():
+                    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                    cut = np.flatnonzero(np.diff(bucket, prepend=bucket[:1])) if len(keys) else []
+                    edges = [0, *cut, len(keys)] if len(keys) else [0]
+                    chunks = list(zip(edges[:-1], edges[1:]))
+                    yield pd.DataFrame({
+                        "kind": kind, "bucket": [int(bucket[a]) for a, _ in chunks], "block": row.block,
+                        "keys": [keys[a:z].tobytes() for a, z in chunks], "sums": [_pack(sums[a:z]) for a, z in chunks]})
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.frombuffer(k, dtype="<u8") for k in group["keys"]]
+        found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(inverse, weights=np.concatenate([_unpack(s) for s in group["sums"]]), minlength=len(found))
+        answers = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
+        return pd.DataFrame({"block": group["block"], "kind": group["kind"], "bucket": group["bucket"],
+                             "sums": [_pack(a) for a in answers],
+                             "seen": [int((sums > 0).sum()), *[0] * (len(group) - 1)]})
+
+    return asking.mapInPandas(ask, KEY_SCHEMA).groupBy("kind", "bucket").applyInPandas(add, REPLY_SCHEMA)
+
+
+def grow(spark: SparkSession, blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
+    """The tree, as every block's part of it, and the corpus totals."""
+    n_blocks, n_docs, n_words = blocks.select(F.count(F.lit(1)), *[F.coalesce(F.sum(F.aggregate(
+        F.arrays_zip("train", "sizes"), F.lit(0).cast("long"),
+        lambda a, x: a + F.when(x["train"], one(x)).otherwise(0))), F.lit(0)) for one in (
+            lambda x: F.lit(1).cast("long"), lambda x: x["sizes"])]).first()
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 4, 1)
+    totals = {"n": n_docs + n_words, "docs": n_docs, "v": 0}  # one end per training text
+    replies, kinds = [], []
+    # Round 0 asks for words; round k + 1 for the gains of level k and the
+    # counts two levels on.
+    rounds = [["count1"], ["count2"]] + [[f"gain{k}"] + [f"count{k + 2}"] * (k < DEPTH) for k in range(1, DEPTH + 1)]
+    for n, new in enumerate(rounds):
+        replies.append(scratch.save(exchange(with_replies(blocks, replies, kinds), buckets, totals), f"replies{n}"))
+        kinds = kinds + new
+        if n == 0:
+            seen = replies[0].agg(F.sum("seen")).first()[0] or 0
+            totals["v"] = seen - (1 if n_docs else 0)  # the start is no token
+    return with_replies(blocks, replies, kinds), totals
+
+
+def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     scratch = Scratch(spark, "pst")
-    docs = id_text(docs)
-    model = spark.sparkContext.broadcast(load(train(spark, docs, scratch, p_min, min_gain)))
-
-    def noter():
-        return Scorer(model.value).score  # the tree's score of each whole text, in the same pass
-
-    blocks = word_blocks.build(docs, scratch, byte_words, lambda doc_id: int(not held_out(doc_id)), noter)
-    words = word_blocks.block_words(blocks)
-    vocab = scratch.save(words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "vocab")
-    n_words, v_words = vocab.agg(F.sum("c"), F.count(F.lit(1))).first()
-    n_docs = blocks.select(F.sum(F.aggregate("extra", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    big_n = (n_words or 0) + n_docs  # one end per training text
-    denom = max(big_n + 0.1 * (v_words + (1 if n_docs else 0) + 1), 1e-9)
-    values = words.join(vocab, "word", "left").select("block", "i", F.coalesce("c", F.lit(0).cast("long")).alias("v"))
-    end = math.log10((n_docs + 0.1) / denom)
+    tree, totals = grow(spark, build_blocks(id_text(docs), scratch), scratch)
 
     def run(batches):
         for b in batches:
             for row in b.itertuples(index=False):
-                c = np.asarray([] if row.dict is None else row.dict, dtype=np.float64)
-                logs = np.log10((c + 0.1) / denom)
-                out = []
-                for doc_id, train_row, note, code in zip(row.ids, row.extra, row.notes, word_blocks.doc_codes(row)):
-                    out.append((doc_id, train_row == 0, len(code) + 1,
-                                int((c[code] > 0).sum()) + int(n_docs > 0), big_n, float(logs[code].sum()) + end, note))
-                df = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
-                                                "base_score", "score"])
-                df["doc_id"] = df["doc_id"].astype("Int64")
-                yield df
-    return word_blocks.with_dictionary(blocks, values).mapInPandas(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-             "score double")
+                at = Positions(row, _replies(row), totals)
+                df = pd.DataFrame({
+                    "doc_id": pd.Series(row.ids, dtype="Int64").mask(row.no_id), "held_out": ~np.asarray(row.train, dtype=bool),
+                    "n_tokens": np.asarray(row.sizes, dtype=np.int64) + 1, "n_known": at.per_text(at.known.astype(np.int64)),
+                    "train_tokens": totals["n"], "base_score": at.per_text(np.log10(at.base)),
+                    "score": at.per_text(np.log10(at.p))})
+                for i in range(0, len(df), 10_000):
+                    yield df.iloc[i:i + 10_000]
+    return tree.mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                                 "base_score double, score double")

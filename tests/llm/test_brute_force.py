@@ -206,6 +206,31 @@ def test_bpe(spark, docs, texts):
     assert back == {900008: dict(EDGE)[900008], 900002: ""}
 
 
+def brute_tree(texts):
+    """Score per row by the tree of all contexts, from plain counts."""
+    mark = {"^": (" ",), "$": ("\n",)}
+    seqs = [(i, mark["^"] + tuple(words(lower(t or ""))) + mark["$"]) for i, t in texts]
+    train = [s for i, s in seqs if not suffix_tree.held_out(i)]
+    grams = Counter(s[j:j + m] for s in train for m in range(1, suffix_tree.DEPTH + 2) for j in range(len(s) - m + 1))
+    n = sum(len(s) - 1 for s in train)
+    denom = n + 0.1 * (len({x for s in train for x in s[1:]}) + 1)
+    gain = Counter()
+
+    def chain(s, i, depth):
+        p = (grams[s[i:i + 1]] + 0.1) / denom
+        for k in range(1, min(depth, i) + 1):
+            if gain[s[i - k:i]] >= suffix_tree.MIN_GAIN:
+                p = (grams[s[i - k:i + 1]] + suffix_tree.STRENGTH * p) / (grams[s[i - k:i]] + suffix_tree.STRENGTH)
+        return p
+    for k in range(1, suffix_tree.DEPTH + 1):
+        for s in train:
+            for i in range(k, len(s)):
+                x, y, q = grams[s[i - k:i]], grams[s[i - k:i + 1]], chain(s, i, k - 1)
+                if x >= suffix_tree.MIN_COUNT:
+                    gain[s[i - k:i]] += math.log((y - 1 + suffix_tree.STRENGTH * q) / (x - 1 + suffix_tree.STRENGTH) / q)
+    return Counter((i, round(sum(math.log10(chain(s, j, suffix_tree.DEPTH)) for j in range(1, len(s))), 4)) for i, s in seqs)
+
+
 def test_suffix_tree(spark, docs, texts):
     train, n_docs = Counter(), 0
     for i, t in texts:
@@ -223,17 +248,24 @@ def test_suffix_tree(spark, docs, texts):
         assert r.base_score == pytest.approx(base, rel=1e-9)
         assert (r.n_tokens, r.train_tokens, r.n_known) == (len(w) + 1, n, sum(train[x] > 0 for x in w) + 1)
         assert r.held_out == (zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0)
-        assert r.score < 0
+    want = brute_tree(texts)
+    assert Counter((r.doc_id, round(r.score, 4)) for r in got) == want
     held = [r for r in got if r.held_out]
-    bits = -sum(r.score for r in held) / math.log10(2) / sum(len((dict(texts)[r.doc_id] or "").encode()) + 1 for r in held)
-    assert bits < 4.5  # bits per byte on held-out texts; uniform is 8
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_suffix_tree_blocks_do_not_matter(spark, docs):
+    small = suffix_tree.Scratch(spark, "pst-test")
+    tree, totals = suffix_tree.grow(spark, suffix_tree.build_blocks(suffix_tree.id_text(docs), small, 3000), small)
+    whole, same = suffix_tree.grow(spark, suffix_tree.build_blocks(suffix_tree.id_text(docs), small), small)
+    assert totals == same and tree.count() > whole.count()
 
 
-def test_suffix_tree_counts_match_direct_count(spark):
-    rows = spark.createDataFrame([(1, "abab"), (2, "AB")], "doc_id long, text string")
-    rows = rows.filter(~rows.doc_id.isin([i for i in (1, 2) if suffix_tree.held_out(i)]))
-    want = Counter(c for r in rows.collect() for c in suffix_tree._windows(suffix_tree._symbols(r.text)).tolist())
-    assert {r.code: r.n for r in suffix_tree.window_counts(rows).collect()} == want
+def test_suffix_tree_keeps_telling_contexts_only(spark):
+    # "a" is always followed by "b"; "x" by something new every time.
+    rows = [(i, f"a b x n{i}") for i in range(1, 40)]
+    got = suffix_tree.score(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.score > r.base_score for r in got)
 
 
 def test_digest(spark, docs, texts):
