@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, NumericType, StringType
+from pyspark.sql.types import DataType, DecimalType, NumericType, StringType, TimestampType
 
 # Wei amounts exceed BIGINT (1e21 already in the first blocks) and their
 # sums exceed 2^69, so every amount is an exact 38-digit decimal.
@@ -54,18 +54,26 @@ def month_start(c: Column, dtype: DataType) -> Column:
     """First day of the UTC month of a time column.
 
     ``dtype`` is the column's type: integral values are unix seconds (the
-    ledger export), text is unix seconds as text, timestamps/dates are used
-    as they are.
+    ledger export), text is unix seconds as text, a timestamp is an instant
+    and its UTC date counts in any session zone, dates and zoneless
+    timestamps are used as they are.
     """
     if isinstance(dtype, StringType):
         day = epoch_to_date(int_text_or_null(c))
     elif isinstance(dtype, NumericType):
         day = epoch_to_date(c)
+    elif isinstance(dtype, TimestampType):
+        day = epoch_to_date(F.unix_seconds(c))
     else:
         day = F.to_date(c)
     return F.trunc(day, "MM")
 
 
+def month_of_label(label: Column) -> Column:
+    """First day of the month of an 'MM-yyyy' label; NULL for other text."""
+    return F.try_to_date(F.concat(F.lit("01-"), label), "dd-MM-yyyy")
+
+
 def month_label(month_first_day: Column) -> Column:
     """'MM-yyyy' label of a month (the report format of the ledger study)."""
     return F.date_format(month_first_day, MONTH_LABEL_FORMAT)

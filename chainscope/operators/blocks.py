@@ -9,10 +9,12 @@ from chainscope.operators.ranking import sum_by_key, top_k
 
 
 def miner_block_size(blocks: DataFrame, miner_col: str = "miner", size_col: str = "size") -> DataFrame:
-    """Total block size per miner (miner, total_size)."""
+    """Total block size per miner (miner, total_size); blocks without a miner
+    are a group of their own, and a size that is no integer fails the job."""
     sized = blocks.select(miner_col, F.col(size_col).cast("bigint").alias(size_col)).filter(
         F.col(size_col).isNotNull())
-    return sum_by_key(sized, miner_col, size_col, out_key="miner", out_value="total_size")
+    return sum_by_key(sized, miner_col, size_col, out_key="miner", out_value="total_size",
+                      keep_null=True)
 
 
 def top_miners(per_miner: DataFrame, k: int = 10, ascending: bool = False) -> DataFrame:

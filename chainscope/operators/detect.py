@@ -10,6 +10,8 @@ gathering its members into one row.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,13 @@ def scc_candidates(occurrences: DataFrame, threshold: int = SCC_OCCURRENCE_THRES
     return occurrences.filter(F.col("occurrences") >= F.lit(threshold))
 
 
+def within(part, whole, tolerance: float):
+    """``part <= tolerance * whole`` in whole numbers: a wei sum is beyond
+    what a double holds exactly."""
+    share = Fraction(str(tolerance))
+    return part * F.lit(share.denominator) <= whole * F.lit(share.numerator)
+
+
 def volume_match(sets: DataFrame, members: DataFrame, net: DataFrame,
                  tolerance: float = VOLUME_TOLERANCE) -> DataFrame:
     """Net-position balance of each set.
@@ -73,7 +82,7 @@ def volume_match(sets: DataFrame, members: DataFrame, net: DataFrame,
                     F.coalesce(F.sum(F.abs(F.col("net_value"))), F.lit(0)).cast(WEI).alias("abs_sum")))
     return (sets.join(per_set, ["set_key", "n_members"], "left")
             .withColumn("volume_matched",
-                        F.abs(F.col("net_sum")) <= F.lit(tolerance) * F.col("abs_sum")))
+                        within(F.abs(F.col("net_sum")), F.col("abs_sum"), tolerance)))
 
 
 def set_edges(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -161,4 +170,4 @@ def member_volume_match(sets: DataFrame, members: DataFrame, edges: DataFrame,
         F.max(F.abs(F.col("inner_net"))).cast(WEI).alias("max_member_net"))
     return (sets.join(volume, ["set_key", "n_members"], "left").join(worst, ["set_key", "n_members"], "left")
             .withColumn("member_matched",
-                        F.col("max_member_net") <= F.lit(tolerance) * F.col("inner_volume")))
+                        within(F.col("max_member_net"), F.col("inner_volume"), tolerance)))

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def sum_by_key(df: DataFrame, key: str, value: str, out_key: str | None = None,
-               out_value: str = "total") -> DataFrame:
+               out_value: str = "total", keep_null: bool = False) -> DataFrame:
     """Sum ``value`` per ``key`` (partial aggregation before the shuffle, so
-    a key holding a third of the rows still sends one row per partition)."""
-    return (df.filter(F.col(key).isNotNull())
-            .groupBy(F.col(key).alias(out_key or key))
+    a key holding a third of the rows still sends one row per partition).
+    Rows without a key are dropped, or one group with ``keep_null``."""
+    rows = df if keep_null else df.filter(F.col(key).isNotNull())
+    return (rows.groupBy(F.col(key).alias(out_key or key))
             .agg(F.sum(value).alias(out_value)))
 
 

@@ -62,13 +62,13 @@ SELECT strftime(date_trunc('month', make_timestamp(block_timestamp * 1000000)),
     "top10_contract_addresses": TXC + f"""SELECT address FROM (SELECT address, total_value FROM ({RECEIVED}) r
   WHERE address IN (SELECT address FROM contracts) ORDER BY total_value DESC, address LIMIT 10)""",
     "miner_block_size": _with(blk=b.BLOCKS_SIZE_SQL)
-    + "SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE miner IS NOT NULL AND size IS NOT NULL GROUP BY miner",
+    + "SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE size IS NOT NULL GROUP BY miner",
     "top10_miners": _with(blk=b.BLOCKS_SIZE_SQL)
-    + """SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE miner IS NOT NULL AND size IS NOT NULL
-  GROUP BY miner ORDER BY total_size DESC, miner LIMIT 10""",
+    + """SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE size IS NOT NULL
+  GROUP BY miner ORDER BY total_size DESC, miner NULLS FIRST LIMIT 10""",
     "bottom10_miners": _with(blk=b.BLOCKS_SIZE_SQL)
-    + """SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE miner IS NOT NULL AND size IS NOT NULL
-  GROUP BY miner ORDER BY total_size ASC, miner LIMIT 10""",
+    + """SELECT miner, CAST(sum(size) AS BIGINT) AS total_size FROM blk WHERE size IS NOT NULL
+  GROUP BY miner ORDER BY total_size ASC, miner NULLS FIRST LIMIT 10""",
     "hex_overhead": _with(blk=b.BLOCKS_HEX_SQL) + """, n AS (SELECT CAST(coalesce(sum(
     (CASE WHEN starts_with(sha3_uncles, '0x') THEN length(sha3_uncles) - 2 ELSE 0 END)
   + (CASE WHEN starts_with(logs_bloom, '0x') THEN length(logs_bloom) - 2 ELSE 0 END)
@@ -142,7 +142,7 @@ ps AS (SELECT m.set_key, m.n_members, CAST(coalesce(sum(n.net_value), 0) AS DECI
        CAST(coalesce(sum(abs(n.net_value)), 0) AS DECIMAL(38,0)) AS abs_sum
        FROM members m LEFT JOIN net n ON m.address = n.address GROUP BY 1, 2),
 vm AS (SELECT c.*, ps.net_sum, ps.abs_sum,
-       CAST(abs(ps.net_sum) AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(ps.abs_sum AS DOUBLE) AS volume_matched
+       100 * CAST(abs(ps.net_sum) AS HUGEINT) <= CAST(ps.abs_sum AS HUGEINT) AS volume_matched
        FROM cand c LEFT JOIN ps USING (set_key, n_members)),
 matched_members AS (SELECT m.* FROM members m JOIN vm USING (set_key, n_members) WHERE vm.volume_matched),
 cand_members AS (SELECT m.* FROM members m JOIN cand USING (set_key, n_members))
@@ -169,7 +169,7 @@ ORACLE.update({
     "scc_set_members": R20 + LEVELS + "SELECT set_key, n_members, address FROM members",
     "scc_volume_match": R20 + LEVELS + "SELECT * FROM vm",
     "wash_sets": R20 + LEVELS + """SELECT o.*, ps.net_sum, ps.abs_sum,
-  CAST(abs(ps.net_sum) AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(ps.abs_sum AS DOUBLE) AS volume_matched,
+  100 * CAST(abs(ps.net_sum) AS HUGEINT) <= CAST(ps.abs_sum AS HUGEINT) AS volume_matched,
   o.occurrences >= 3 AS is_candidate FROM occ o LEFT JOIN ps USING (set_key, n_members)""",
     "wash_set_volume": R20 + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")})
 SELECT set_key, n_members, count(*) AS n_edges, CAST(sum(weight) AS BIGINT) AS n_transfers,
@@ -213,9 +213,13 @@ pm AS (SELECT set_key, n_members, address, sum(amount) AS inner_net FROM inner_l
 vol AS (SELECT set_key, n_members, CAST(sum(value) AS DECIMAL(38,0)) AS inner_volume FROM se GROUP BY 1, 2),
 worst AS (SELECT set_key, n_members, CAST(max(abs(inner_net)) AS DECIMAL(38,0)) AS max_member_net FROM pm GROUP BY 1, 2)
 SELECT c.*, vol.inner_volume, worst.max_member_net,
-  CAST(worst.max_member_net AS DOUBLE) <= CAST(0.01 AS DOUBLE) * CAST(vol.inner_volume AS DOUBLE) AS member_matched
+  100 * CAST(worst.max_member_net AS HUGEINT) <= CAST(vol.inner_volume AS HUGEINT) AS member_matched
   FROM cand c LEFT JOIN vol USING (set_key, n_members) LEFT JOIN worst USING (set_key, n_members)"""
 
+ORACLE["read_ledger_csv"] = ORACLE["read_ledger_csv_no_header"] = ORACLE["clean_transactions"]
+ORACLE["read_ledger_lines"] = f"SELECT * FROM ({ORACLE['clean_transactions']}) WHERE CAST(hash AS BIGINT) % 23 <> 0"
+ORACLE["first_months"] = f"SELECT * FROM ({ORACLE['monthly_tx_count']}) ORDER BY month_start LIMIT 12"
+
 ORACLE["monthly_stream_count_sum"] = ORACLE["monthly_count_sum"]
 
 ORACLE["monthly_raw_count"] = _with(raw=b.TX_RAW_SQL) + f"""

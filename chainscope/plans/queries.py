@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, scc,
                                   timeseries, transfers)
+from chainscope.functions.columns import month_of_label
 from chainscope.operators import lineage
 from chainscope.operators.lineage import Scratch
 from chainscope.session import checkpoint_dir
 from chainscope.sources import bindings as b
-from chainscope.sources import sinks
+from chainscope.sources import readers, sinks
 from chainscope.streaming import monthly as streaming_monthly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +280,39 @@ def q_result_roundtrip_text(spark, sf_dir):
     return sinks.read_text_result(spark, path, MONTHLY_SCHEMA)
 
 
+def q_first_months(spark, sf_dir):
+    """The first 12 months, stored, read back and ordered by their labels."""
+    path = sinks.write_json(q_monthly_tx_count(spark, sf_dir), _result_folder(spark, "first"), limit=12)
+    return sinks.read_json_result(spark, path, MONTHLY_SCHEMA).orderBy(month_of_label(F.col("month")))
+
+
+# --- ledger files -----------------------------------------------------------
+
+def _cleaned(ledger):
+    return cleaning.clean_transactions(ledger, to_col="to_address").select(
+        "hash", "from_address", "to_address", "value", "block_timestamp")
+
+
+def _read_csv(spark, sf_dir, header):
+    path = sinks.write_csv(b.ledger_rows(spark, sf_dir), _result_folder(spark, "ledger"), header=header)
+    return _cleaned(readers.read_ledger_csv(spark, path, "transactions", header=header))
+
+
+def q_read_ledger_csv(spark, sf_dir):
+    return _read_csv(spark, sf_dir, True)
+
+
+def q_read_ledger_csv_no_header(spark, sf_dir):
+    return _read_csv(spark, sf_dir, False)
+
+
+def q_read_ledger_lines(spark, sf_dir):
+    """Comma split of text lines, some of them too short (dropped)."""
+    path = _result_folder(spark, "ledger_lines")
+    b.ledger_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return _cleaned(readers.read_ledger_text_lines(spark, path, "transactions"))
+
+
 def q_monthly_stream_count_sum(spark, sf_dir):
     """The monthly count/sum as a streaming job: the ledger view is landed as
     files, streamed to completion (availableNow) and its snapshot read back."""
@@ -332,6 +366,10 @@ QUERIES: dict[str, Query] = {
     "reciprocal_pairs": q_reciprocal_pairs,
     "cycles_3": q_cycles_3,
     "cycles_4": q_cycles_4,
+    "first_months": q_first_months,
+    "read_ledger_csv": q_read_ledger_csv,
+    "read_ledger_csv_no_header": q_read_ledger_csv_no_header,
+    "read_ledger_lines": q_read_ledger_lines,
     "result_roundtrip": q_result_roundtrip,
     "result_roundtrip_csv": q_result_roundtrip_csv,
     "result_roundtrip_text": q_result_roundtrip_text,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainscope.functions.columns import WEI
+from chainscope.sources.schemas import TRANSACTION_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,24 +41,22 @@ TX_ORDERS_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS hash, CAST(o_custkey AS
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MACHINERY customers as contracts (address, bytecode)."""
+    """Customers as contracts (address, bytecode)."""
     c = table(spark, sf_dir, "customer")
-    return (c.filter(F.col("c_mktsegment") == "MACHINERY")
-            .select(F.col("c_custkey").cast("string").alias("address"), F.col("c_name").alias("bytecode")))
+    return c.select(F.col("c_custkey").cast("string").alias("address"), F.col("c_name").alias("bytecode"))
 
 
-CONTRACTS_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS address, c_name AS bytecode FROM customer
-  WHERE c_mktsegment = 'MACHINERY'"""
+CONTRACTS_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS address, c_name AS bytecode FROM customer"""
 
 
 def blocks_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as blocks: miner = supplier, size = quantity."""
+    """Line items as blocks: miner = supplier (some without one), size = quantity."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_suppkey").cast("string").alias("miner"),
+    return li.select(F.when(F.col("l_orderkey") % 29 != 0, F.col("l_suppkey").cast("string")).alias("miner"),
                      F.col("l_quantity").cast("bigint").alias("size"))
 
 
-BLOCKS_SIZE_SQL = """SELECT CAST(l_suppkey AS VARCHAR) AS miner, CAST(l_quantity AS BIGINT) AS size FROM lineitem"""
+BLOCKS_SIZE_SQL = """SELECT CASE WHEN l_orderkey % 29 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS miner, CAST(l_quantity AS BIGINT) AS size FROM lineitem"""
 
 
 def blocks_hex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +106,22 @@ TX_RAW_SQL = r"""SELECT CAST(event_id AS VARCHAR) AS hash, 'a' || CAST(user_id A
   FROM events"""
 
 
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`tx_raw` in the column order of the export; the fields it lacks
+    are empty."""
+    raw = tx_raw(spark, sf_dir)
+    return raw.select(*[F.col(n) if n in raw.columns else F.lit("").alias(n) for n in TRANSACTION_COLUMNS])
+
+
+def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`ledger_rows` as comma-separated text; the lines of hashes
+    divisible by 23 break off after three fields."""
+    rows = ledger_rows(spark, sf_dir)
+    fields = [F.coalesce(F.col(n), F.lit("")) for n in rows.columns]
+    return rows.select(F.when(F.col("hash").cast("bigint") % 23 == 0, F.concat_ws(",", *fields[:3]))
+                       .otherwise(F.concat_ws(",", *fields)).alias("value"))
+
+
 def transfers_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as transfers between per-day accounts (many accounts, some
     self-trades)."""
