@@ -113,74 +113,83 @@ class Positions:
     def __init__(self, row, replies: dict[str, np.ndarray], totals: dict | None = None):
         n = np.asarray(row.sizes, dtype=np.int64) + 2
         self.first = np.cumsum(n) - n
-        self.sym = np.empty(int(n.sum()), dtype=np.uint64)
-        word = np.ones(len(self.sym), dtype=bool)
-        for at, mark in ((self.first, START), (self.first + n - 1, END)):
-            word[at] = False
-            self.sym[at] = mark
-        codes = np.frombuffer(zlib.decompress(row.codes), dtype="<u4")
-        self.sym[word] = np.frombuffer(row.hashes, dtype="<u8")[codes]
+        hashes = np.concatenate([np.frombuffer(row.hashes, dtype="<u8"), np.array([START, END], dtype=np.uint64)])
+        index = np.full(int(n.sum()), -1, dtype=np.int64)
+        index[self.first], index[self.first + n - 1] = len(hashes) - 2, len(hashes) - 1
+        index[index < 0] = np.frombuffer(zlib.decompress(row.codes), dtype="<u4")
+        self.words, rank = np.unique(hashes, return_inverse=True)
+        self.ids, self.sym = rank[index], hashes[index]
         self.offset = np.arange(len(self.sym)) - np.repeat(self.first, n)
         self.train = np.repeat(np.asarray(row.train, dtype=bool), n)
         self.replies, self.totals, self.asked = replies, totals, {}
         self._walk()
 
-    def _sums(self, kind: str, at: np.ndarray, keys: np.ndarray, weights: np.ndarray) -> np.ndarray | None:
-        """The sums over all blocks at positions ``at``, or None when they
-        aren't known yet; then the question is kept."""
-        found, inverse = np.unique(keys, return_inverse=True)
+    def _count(self, kind: str, found: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray | None:
+        """Training counts over all blocks at positions ``at``, whose keys
+        are ``found[ids]``; None when they aren't known yet, and the question
+        is kept."""
         if kind not in self.replies:
-            self.asked[kind] = found, np.bincount(inverse, weights=weights, minlength=len(found))
+            self.asked[kind] = found, np.bincount(ids, weights=self.train[at], minlength=len(found))
             return None
         out = np.zeros(len(self.sym))
-        out[at] = self.replies[kind][inverse]
+        out[at] = self.replies[kind][ids]
         return out
 
+    def _level(self, k: int, key: np.ndarray, count: np.ndarray):
+        """Positions whose context of ``k`` symbols was seen often enough,
+        with the keys of context and symbol, sorted, and their indices."""
+        at = np.flatnonzero((self.offset >= k) & (_before(count) >= MIN_COUNT))
+        key = _mix(_before(key), self.sym)
+        return (at, key, *np.unique(key[at], return_inverse=True))
+
     def _walk(self) -> None:
         """Counts level by level, then each level's states, as far as the
         replies reach."""
-        key = self.sym
-        count = self._sums("count1", np.arange(len(key)), key, self.train)
+        key, found, ids = self.sym, self.words, self.ids
+        count = self._count("count1", found, ids, np.arange(len(key)))
         if count is None:
             return
         self.known = count > 0
         t = self.totals
         self.base = self.p = (count + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
         for k in range(1, DEPTH + 1):
-            context, seen = _before(key), _before(count)
-            at = np.flatnonzero((self.offset >= k) & (seen >= MIN_COUNT))
-            key = _mix(context, self.sym)
-            count = self._sums(f"count{k + 1}", at, key[at], self.train[at])
+            seen, contexts = _before(count), found
+            at, key, found, new = self._level(k, key, count)
+            count = self._count(f"count{k + 1}", found, new, at)
             if count is None:
                 return
+            context = _before(ids)[at]
+            ids = np.zeros(len(key), dtype=np.int64)
+            ids[at] = new
+            used = np.bincount(context, minlength=len(contexts)) > 0
+            slot = (np.cumsum(used) - 1)[context]
             p, y, x = self.p[at], count[at], seen[at]
-            left_out = (np.maximum(y - 1, 0) + STRENGTH * p) / (x - 1 + STRENGTH)
-            gain = self._sums(f"gain{k}", at, context[at], np.where(self.train[at], np.log(left_out / p), 0.0))
-            if gain is None:
-                self._ahead(k, key, count)
+            if f"gain{k}" not in self.replies:
+                left_out = (np.maximum(y - 1, 0) + STRENGTH * p) / (x - 1 + STRENGTH)
+                gain = np.where(self.train[at], np.log(left_out / p), 0.0)
+                self.asked[f"gain{k}"] = contexts[used], np.bincount(slot, weights=gain, minlength=int(used.sum()))
+                if k < DEPTH:  # the next level's counts need no states
+                    at, _, found, new = self._level(k + 1, key, count)
+                    self._count(f"count{k + 2}", found, new, at)
                 return
-            state = gain[at] >= MIN_GAIN
+            state = self.replies[f"gain{k}"][slot] > 0
             self.p = self.p.copy()
             self.p[at] = np.where(state, (y + STRENGTH * p) / (x + STRENGTH), p)
 
-    def _ahead(self, k: int, key: np.ndarray, count: np.ndarray) -> None:
-        """The next level's counts need no states: ask along with the gains."""
-        if k < DEPTH:
-            at = np.flatnonzero((self.offset >= k + 1) & (_before(count) >= MIN_COUNT))
-            self._sums(f"count{k + 2}", at, _mix(_before(key), self.sym)[at], self.train[at])
-
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums over the symbols after each text's start."""
         values = np.where(self.offset > 0, values, 0)
         return np.add.reduceat(values, self.first)
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return zlib.compress(values.astype("<f8").tobytes(), 1)
+def _pack(values: np.ndarray, whole: bool) -> bytes:
+    """Counts in the fewest bytes that hold them, others as 32-bit floats."""
+    kind = np.min_scalar_type(int(values.max(initial=0))) if whole else np.dtype("<f4")
+    return kind.str.encode() + zlib.compress(values.astype(kind).tobytes(), 1)
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), dtype="<f8")
+    return np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode()).astype(np.float64)
 
 
 def _replies(row) -> dict[str, np.ndarray]:
@@ -208,7 +217,8 @@ def with_replies(blocks: DataFrame, replies: list[DataFrame], kinds: list[str])
 
 
 def exchange(asking: DataFrame, buckets: int, totals: dict | None) -> DataFrame:
-    """One round: the blocks' next questions, added up and answered."""
+    """One round: the blocks' next questions, added up and answered. Gains
+    are answered by the verdict, 1 for a state."""
     def ask(batches):
         for b in batches:
             for row in b.itertuples(index=False):
@@ -217,17 +227,20 @@ def exchange(asking: DataFrame, buckets: int, totals: dict | None) -> DataFrame:
                     cut = np.flatnonzero(np.diff(bucket, prepend=bucket[:1])) if len(keys) else []
                     edges = [0, *cut, len(keys)] if len(keys) else [0]
                     chunks = list(zip(edges[:-1], edges[1:]))
+                    whole = kind.startswith("count")
                     yield pd.DataFrame({
                         "kind": kind, "bucket": [int(bucket[a]) for a, _ in chunks], "block": row.block,
-                        "keys": [keys[a:z].tobytes() for a, z in chunks], "sums": [_pack(sums[a:z]) for a, z in chunks]})
+                        "keys": [keys[a:z].tobytes() for a, z in chunks], "sums": [_pack(sums[a:z], whole) for a, z in chunks]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(k, dtype="<u8") for k in group["keys"]]
         found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(inverse, weights=np.concatenate([_unpack(s) for s in group["sums"]]), minlength=len(found))
+        if group["kind"].iloc[0].startswith("gain"):
+            sums = (sums >= MIN_GAIN).astype(np.float64)
         answers = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
         return pd.DataFrame({"block": group["block"], "kind": group["kind"], "bucket": group["bucket"],
-                             "sums": [_pack(a) for a in answers],
+                             "sums": [_pack(a, True) for a in answers],
                              "seen": [int((sums > 0).sum()), *[0] * (len(group) - 1)]})
 
     return asking.mapInPandas(ask, KEY_SCHEMA).groupBy("kind", "bucket").applyInPandas(add, REPLY_SCHEMA)
