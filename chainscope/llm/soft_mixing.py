@@ -5,10 +5,11 @@
    predicts every document's posterior p_d over the domains ``DOMAINS``.
 2. Each document i of n_i tokens gets a rate r_i >= 0. The expected tokens
    of domain d are sum_i n_i p_id r_i; the rates minimise
-   sum_d (expected_d - target_d)^2 under r >= 0, starting from one, by
+   sum_d (expected_d / target_d - 1)^2 under r >= 0, starting from one, by
    projected gradient in the token-weighted metric, each step scaled by the
    domains' Gram matrix over the rows whose rate is positive, and halved
-   until it lowers the largest relative miss. A step needs only the domain
+   until it lowers that sum, so a domain that the documents barely hold pulls
+   the others no further than it gains. A step needs only the domain
    totals (one partial aggregation into one row), and a document's rate is a
    function of its posterior and the steps so far, so the table of documents
    is never rewritten.
@@ -38,6 +39,7 @@ TARGETS = (0.86, 0.10, 0.04)
 SAMPLE = 4000
 ROUNDS = 60
 TOLERANCE = 1e-4
+SPAN = 1e-3  # least share of the largest Gram eigenvalue that a step uses
 SNAP = 0.1
 
 
@@ -106,18 +108,18 @@ def fit_rates(predicted: DataFrame, targets=TARGETS, rounds: int = ROUNDS) -> li
         return []
     goal = np.array(targets) * t[0] / targets[0]
 
-    def miss(t: np.ndarray) -> float:
-        return np.abs((t - goal) / goal).max()
+    def loss(t: np.ndarray) -> float:
+        return float((((t - goal) / goal) ** 2).sum())
 
     steps: list[np.ndarray] = []
     scale = 1.0
     for _ in range(rounds):
-        if miss(t) < TOLERANCE or scale < 1e-3:
+        if np.abs(t / goal - 1).max() < TOLERANCE or scale < 1e-3:
             break
-        # The pseudo-inverse holds where a domain has no rows left to change.
-        step = scale * np.linalg.lstsq(m, t - goal, rcond=1e-9)[0]
+        # The pseudo-inverse leaves out directions that the rows hardly span.
+        step = scale * np.linalg.lstsq(m / np.outer(goal, goal), (t - goal) / goal, rcond=SPAN)[0] / goal
         t_new, m_new = totals([*steps, step])
-        if miss(t_new) < miss(t):
+        if loss(t_new) < loss(t) * (1 - 1e-6):
             steps.append(step)
             t, m, scale = t_new, m_new, min(1.0, 2 * scale)
         else:

@@ -297,6 +297,19 @@ def test_mixing(spark, docs):
     assert soft_mixing.mix(spark, docs, labels).columns == docs.columns
 
 
+def test_mixing_leaves_rates_near_one_when_a_target_is_out_of_reach(spark):
+    # Hardly any poor or toxic tokens: reaching their targets would multiply the good ones.
+    rng = np.random.default_rng(3)
+    poor, toxic = 0.01 + 0.002 * rng.random(300), 0.002 + 0.001 * rng.random(300)
+    rows = [(i, 100, float(1 - a - b), float(a), float(b)) for i, (a, b) in enumerate(zip(poor, toxic))]
+    steps = soft_mixing.fit_rates(spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double, p2 double"))
+    p = np.array([x[2:] for x in rows])
+    loss = [(((100 * r) @ p / (np.array(soft_mixing.TARGETS) * 100 * p[:, 0].sum() / 0.86) - 1) ** 2).sum()
+            for r in (np.ones(300), soft_mixing._rates(p, steps))]
+    assert loss[1] <= loss[0]
+    assert abs(soft_mixing._rates(p, steps).mean() - 1) < 0.3
+
+
 def test_weak_quality(spark, docs):
     rows = weak_quality.score(spark, docs).toPandas()
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
