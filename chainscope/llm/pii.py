@@ -4,8 +4,9 @@ Base detectors run on the source text. Then transducers rewrite disguises
 (homoglyphs and full-width forms, spelled digits, at/dot words) into plain
 characters while keeping, for every output character, the source span it came
 from; the same detectors run on the rewritten text and their spans are mapped
-back. A found span is added when it overlaps no base span of its kind; base
-spans always stay.
+back. A found span is added unless it equals or lies within a base span of its
+kind, so an identifier of which the base detectors see a part is listed whole
+as well; base spans always stay, and redaction merges overlaps.
 
 Every detector and transducer is linear in the text length. Null and empty
 texts have no spans; repeated rows get equal results; a null doc_id passes
@@ -14,6 +15,7 @@ through; an empty table gives an empty result. All work is per row.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -114,7 +116,8 @@ _DISGUISE = re.compile(
     rf"(?P<at>{_AT}|[\x20]at[\x20]|@)(?P<domain>{_LABEL}(?:(?:\.|{_WORD_DOT}){_LABEL}){{0,4}}"
     rf"(?:\.|{_WORD_DOT})(?:{TLDS}))(?![A-Za-z0-9])")
 _DOT_WORD = re.compile(_WORD_DOT, re.I)
-_AT_HINT = re.compile(rf"(?i){_AT}|[\x20]at[\x20]{_LABEL}(?:\.|{_WORD_DOT})|@{_LABEL}{_WORD_DOT}")
+_AT_HINT = re.compile(rf"(?i){_AT}|[\x20]at[\x20]{_LABEL}(?:\.|{_WORD_DOT})|@{_LABEL}(?:\.{_LABEL})*{_WORD_DOT}"
+                      rf"|{_WORD_DOT}[A-Za-z0-9._%+-]{{1,64}}@")
 
 
 class Mapped:
@@ -183,10 +186,14 @@ def find(text: str) -> tuple[dict, dict]:
     m = normalise(text)
     if m is not None:
         for kind, spans in detect(m.text).items():
+            # Base spans ascend and are disjoint: only the last one that
+            # starts no later can hold the found one.
             have = base[kind]
+            starts = [x for x, _ in have]
             for a, b in spans:
                 s, e = m.start[a], max(m.end[a:b])
-                if not any(s < y and x < e for x, y in have):
+                i = bisect.bisect_right(starts, s) - 1
+                if i < 0 or e > have[i][1]:
                     every[kind].append((s, e))
             every[kind] = sorted(set(every[kind]))
     return base, every

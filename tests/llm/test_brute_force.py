@@ -187,6 +187,17 @@ def test_pii_disguises(text, kind, inner):
     assert pii.redact_text(text) == text.replace(inner, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("inner,kind", [
+    ("jоe@example.com", "email"), ("joe@mail.cоm", "email"), ("john [dot] doe@mail.com", "email"),
+    ("joe@mail.example dot com", "email"), ("10.0.0.1２", "ip")])
+def test_pii_disguise_around_a_base_span(inner, kind):
+    text = f"ask {inner} or plain.a@b.org now"
+    base, every = pii.find(text)
+    assert text.index(inner) in [a for a, _ in every[kind]]
+    assert set(base[kind]) <= set(every[kind])
+    assert pii.redact_text(text) == f"ask [{kind.upper()}] or [EMAIL] now"
+
+
 @pytest.mark.parametrize("text", ["Look at example.com and dot the page.", "one two three go", "at noon dot", LONG])
 def test_pii_leaves_prose(text):
     assert pii.redact_text(text) == text
