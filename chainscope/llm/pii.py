@@ -8,6 +8,16 @@ back. A found span is added unless it equals or lies within a base span of its
 kind, so an identifier of which the base detectors see a part is listed whole
 as well; base spans always stay, and redaction merges overlaps.
 
+What counts as a disguise: after a bracketed at any dot, and after a plain @ or
+a bare " at " a bracketed dot, may lead to any last label of two or more
+letters; only where prose could read the same (bare " at " with plain or bare
+dots, @ with a bare " dot ") must it be one of ``TLDS``. A bare " at " before
+a plainly dotted host counts only if the name holds a digit or a dot: "jane at
+gmail.com" reads like "look at example.com" and is left. A dot disguise
+between digits is a dot. Runs of four or more digit words, and shorter ones
+beside digits, are digits, so a number word right after a phone number joins
+its span.
+
 Every detector and transducer is linear in the text length. Null and empty
 texts have no spans; repeated rows get equal results; a null doc_id passes
 through; an empty table gives an empty result. All work is per row.
@@ -96,25 +106,34 @@ HOMOGLYPHS = {
 HOMOGLYPHS |= {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}
 HOMOGLYPHS |= {chr(0x0660 + d): str(d) for d in range(10)} | {chr(0x06F0 + d): str(d) for d in range(10)}
 
-# Digit words and common top-level domains.
+# Digit words, and the top-level domains taken for one in
+# forms that could be prose.
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
                "seven": "7", "eight": "8", "nine": "9"}
 TLDS = "com|org|net|edu|gov|info|io|co|de|fr|es|uk|eu|us|example|test"
 
 _GLYPH = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + "]")
 _D = "(?:" + "|".join(DIGIT_WORDS) + ")"
-# Runs of four or more digit words, "plus" and "point"/"dot" allowed inside.
-_SPELLED = re.compile(rf"(?i)\b(?:plus[\x20-])?{_D}(?:[\x20-](?:(?:dot|point)[\x20-])?{_D}){{3,}}\b")
-_SPELLED_TOKEN = re.compile(r"(?i)[a-z]+|[\x20-]")
 _AT = r"[\x20]{0,3}[\[({<][\x20]?(?:at|@)[\x20]?[\])}>][\x20]{0,3}"
 _DOT = r"[\x20]{0,3}[\[({<][\x20]?(?:dot|\.)[\x20]?[\])}>][\x20]{0,3}"
 _WORD_DOT = rf"(?:{_DOT}|[\x20]dot[\x20])"
+_DIGIT_DOT = rf"(?:{_DOT}|[\x20-](?:dot|point)[\x20-])"
+# Runs of digit words, "plus" before and "point"/"dot" allowed inside: taken
+# as digits when of four or more words, or beside digits.
+_SPELLED = re.compile(rf"(?i)\b(?:plus[\x20-])?{_D}(?:(?:{_DIGIT_DOT}|[\x20-]){_D})*\b")
+_SPELLED_TOKEN = re.compile(r"(?i)[a-z]+|[^a-z]")
+_DIGITS_BEFORE = re.compile(rf"(?i)[0-9](?:[\x20().-]{{1,3}}|{_DIGIT_DOT})\Z")
+_DIGITS_AFTER = re.compile(rf"(?i)(?:[\x20().-]{{1,3}}|{_DIGIT_DOT})[0-9]")
+_DOT_IN_DIGITS = re.compile(rf"(?i)[0-9]({_DIGIT_DOT})(?=[0-9])")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
-# "x [at] y [dot] com", "x at y dot com", "x [at] y.com", "x@y dot com".
+_SEP = rf"(?:\.|{_WORD_DOT})"
+_TOP = r"(?:xn--[A-Za-z0-9-]{1,59}|[A-Za-z]{2,63})"
+# "x [at] y [dot] it", "x at y dot com", "x [at] y.it", "x@y dot com".
 _DISGUISE = re.compile(
-    rf"(?i)(?<![A-Za-z0-9])(?P<local>[A-Za-z0-9_%+-]{{1,64}}(?:(?:\.|{_WORD_DOT})[A-Za-z0-9_%+-]{{1,64}}){{0,4}})"
-    rf"(?P<at>{_AT}|[\x20]at[\x20]|@)(?P<domain>{_LABEL}(?:(?:\.|{_WORD_DOT}){_LABEL}){{0,4}}"
-    rf"(?:\.|{_WORD_DOT})(?:{TLDS}))(?![A-Za-z0-9])")
+    rf"(?i)(?<![A-Za-z0-9])(?P<local>[A-Za-z0-9_%+-]{{1,64}}(?:{_SEP}[A-Za-z0-9_%+-]{{1,64}}){{0,4}})"
+    rf"(?P<at>(?P<marked>{_AT})|(?P<sign>@)|[\x20]at[\x20])(?P<domain>{_LABEL}(?:{_SEP}{_LABEL}){{0,4}}"
+    rf"(?:{_DOT}{_TOP}|(?(marked){_SEP}{_TOP}|(?(sign)(?:\.{_TOP}|[\x20]dot[\x20](?:{TLDS}))|{_SEP}(?:{TLDS})))))"
+    rf"(?![A-Za-z0-9])")
 _DOT_WORD = re.compile(_WORD_DOT, re.I)
 _AT_HINT = re.compile(rf"(?i){_AT}|[\x20]at[\x20]{_LABEL}(?:\.|{_WORD_DOT})|@{_LABEL}(?:\.{_LABEL})*{_WORD_DOT}"
                       rf"|{_WORD_DOT}[A-Za-z0-9._%+-]{{1,64}}@")
@@ -146,11 +165,16 @@ class Mapped:
         self.text, self.start, self.end = "".join(parts), start, end
 
 
-def _spelled(run: str, at: int) -> list[tuple[int, int, str]]:
+def _spelled(text: str, found: re.Match) -> list[tuple[int, int, str]]:
+    run, at = found.group(), found.start()
+    words = [w for w in _SPELLED_TOKEN.findall(run) if w.lower() in DIGIT_WORDS]
+    if len(words) < 4 and not (_DIGITS_BEFORE.search(text[max(0, at - 20):at])
+                               or _DIGITS_AFTER.match(text, found.end())):
+        return []
     subs = []
     for m in _SPELLED_TOKEN.finditer(run):
         word = m.group().lower()
-        new = {"plus": "+", "dot": ".", "point": "."}.get(word) or DIGIT_WORDS.get(word, "")
+        new = {"plus": "+", "dot": ".", "point": ".", ".": "."}.get(word) or DIGIT_WORDS.get(word, "")
         subs.append((at + m.start(), at + m.end(), new))
     return subs
 
@@ -160,7 +184,8 @@ def normalise(text: str) -> Mapped | None:
     m = Mapped(text)
     if not text.isascii():
         m.rewrite([(g.start(), g.end(), HOMOGLYPHS[g.group()]) for g in _GLYPH.finditer(m.text)])
-    m.rewrite([s for run in _SPELLED.finditer(m.text) for s in _spelled(run.group(), run.start())])
+    m.rewrite([s for run in _SPELLED.finditer(m.text) for s in _spelled(m.text, run)])
+    m.rewrite([(*g.span(1), ".") for g in _DOT_IN_DIGITS.finditer(m.text)])
     subs, last = [], 0
     for hint in _AT_HINT.finditer(m.text):
         # A disguised address starts within its local part, at most a few

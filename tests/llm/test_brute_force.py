@@ -198,6 +198,26 @@ def test_pii_disguise_around_a_base_span(inner, kind):
     assert pii.redact_text(text) == f"ask [{kind.upper()}] or [EMAIL] now"
 
 
+@pytest.mark.parametrize("inner,kind", [
+    *[(f"john [at] firma [dot] {top}", "email") for top in ("it", "ca", "nl", "ch", "ru", "cn", "jp", "br", "museum")],
+    ("john [at] firma.it", "email"), ("john (at) firma dot it", "email"), ("john at firma [dot] it", "email"),
+    ("joe@firma [dot] it", "email"), ("john [dot] doe@firma.it", "email"),
+    ("10[.]0[.]0[.]7", "ip"), ("10 dot 0 dot 0 dot 7", "ip"), ("10 (dot) zero [.] 0 point 7", "ip"),
+    ("+49 30 one two three 4567", "phone"), ("+49 30 1234 five six", "phone"), ("plus four nine 30 1234567", "phone"),
+    ("4111 one one one 1 1111 1111", "card")])
+def test_pii_disguises_beyond_listed_forms(inner, kind):
+    text = f"ask {inner}, please"
+    _, every = pii.find(text)
+    assert [text[a:b] for a, b in every[kind] if a == 4] == [inner]
+    assert pii.redact_text(text) == f"ask [{kind.upper()}], please"
+
+
+@pytest.mark.parametrize("text", ["look at firma.it or at noon dot it", "3 dot 5 of 10 one two", "in 2020 one of 7 [.] 5",
+                                  "we met at home dot then we left"])
+def test_pii_leaves_prose_near_disguises(text):
+    assert pii.redact_text(text) == text
+
+
 @pytest.mark.parametrize("text", ["Look at example.com and dot the page.", "one two three go", "at noon dot", LONG])
 def test_pii_leaves_prose(text):
     assert pii.redact_text(text) == text
