@@ -14,8 +14,7 @@
    function of its posterior and the steps so far, so the table of documents
    is never rewritten.
 3. Rates become copies: the whole part, plus one more when a hash of the
-   doc_id falls below the fraction. A rate within ``SNAP`` of a whole number
-   counts as that number.
+   doc_id falls below the fraction, so the expected copies are the rate.
 
 The target token total is the one at which the ``good`` domain keeps its
 expected tokens. Null and empty texts have no tokens: their posterior is the
@@ -40,7 +39,6 @@ SAMPLE = 4000
 ROUNDS = 60
 TOLERANCE = 1e-4
 SPAN = 1e-3  # least share of the largest Gram eigenvalue that a step uses
-SNAP = 0.1
 
 
 def domain_of(quality, toxic):
@@ -143,11 +141,10 @@ def rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets=TARGE
     return got.mapInPandas(run, got.schema.simpleString()[7:-1].replace(":", " ") + ", rate double")
 
 
-def copies(rate, doc_id, snap: float = SNAP):
+def copies(rate, doc_id):
     """Whole number of copies of a rate, by a hash of the id."""
-    near = F.round(rate)
     u = F.pmod(F.xxhash64(doc_id, F.lit("mix")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    return F.when(F.abs(rate - near) <= snap, near).otherwise(F.floor(rate + u)).cast("int")
+    return F.floor(rate + u).cast("int")
 
 
 def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:

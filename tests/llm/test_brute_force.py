@@ -341,6 +341,20 @@ def test_mixing_leaves_rates_near_one_when_a_target_is_out_of_reach(spark):
     assert abs(soft_mixing._rates(p, steps).mean() - 1) < 0.3
 
 
+def test_mixing_copies_reach_the_targets(spark):
+    # Poor needs a rate of about 0.92: the copies must bring it, not only the rates.
+    kinds = [0 if i % 1000 < 845 else 1 if i % 1000 < 952 else 2 for i in range(4000)]
+    rows = [(i, " ".join(f"{'gpt'[d]}{(i * 7 + j * j) % 40}" for j in range(50))) for i, d in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(d == 0), int(d == 2)) for i, d in enumerate(kinds)],
+                                   "doc_id long, quality int, toxic int")
+    p = soft_mixing.rates(spark, docs, labels).toPandas().set_index("doc_id")
+    p = p[["p0", "p1", "p2"]].mul(p.n_tokens, axis=0)
+    out = [r.doc_id for r in soft_mixing.mix(spark, docs, labels).select("doc_id").collect()]
+    goal = np.array(soft_mixing.TARGETS) * p.p0.sum() / soft_mixing.TARGETS[0]
+    assert np.abs(p.loc[out].sum().to_numpy() / goal - 1).max() < 0.05
+
+
 def test_weak_quality(spark, docs):
     rows = weak_quality.score(spark, docs).toPandas()
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
