@@ -23,6 +23,13 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def keyed_text(docs: DataFrame) -> DataFrame:
+    """(key string, text string never null): ids travel through Python as
+    text, since a pandas column of numbers with a null among them is of
+    doubles, which change ids above 2^53."""
+    return docs.select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def byte_words(text: str) -> list[bytes]:
     """UTF-8 words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.
 

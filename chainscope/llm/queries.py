@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chainscope.llm import (byte_bpe, language_id, pii, quality_rules, quartile_digest, secret_forest, simhash, soft_mixing,
-                            suffix_tree, weak_quality)
+from chainscope.llm import (byte_bpe, conversation_repair, language_id, pii, piece_bpe, quality_rules, quartile_digest,
+                            secret_forest, simhash, soft_mixing, suffix_tree, token_alignment, weak_quality)
 from chainscope.llm.common import table
 from chainscope.llm.oracle import ORACLE  # noqa: F401 - read by the entry
 
@@ -53,6 +53,19 @@ def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.digests(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark, sf_dir):
+    return piece_bpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_soft_mixing, op2_quartile_digest, op3_suffix_tree, op4_weak_quality, op5_language_id, op6_secret_forest,
-    op7_golay_simhash, op8_pii_spans, op9_line_quality, op10_byte_bpe)}
+    op7_golay_simhash, op8_pii_spans, op9_line_quality, op10_byte_bpe, op11_piece_bpe,
+    op12_token_alignment, op13_conversation_repair)}
