@@ -38,3 +38,12 @@ def vertices_with_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Vertices that are the end of at least one edge."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
     return vertices.join(ends, "address", "left_semi")
+
+
+def component_edges(components: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges with both ends in one component of (address, component,
+    n_members): (component, n_members, src, dst, weight, value)."""
+    c = components.select("component", "n_members", F.col("address").alias("src"))
+    d = components.select(F.col("component").alias("_other"), F.col("address").alias("dst"))
+    return (edges.join(c, "src").join(d, "dst").filter(F.col("component") == F.col("_other"))
+            .select("component", "n_members", "src", "dst", "weight", "value"))

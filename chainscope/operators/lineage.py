@@ -28,7 +28,11 @@ class Scratch:
         self._n += 1
         path = f"{self.base}/{self._n:05d}-{name}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._read(df, path)
+
+    def _read(self, df: DataFrame, path: str) -> DataFrame:
+        # The schema is known: no job to look it up in the files.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def save_counted(self, df: DataFrame, name: str, flag: Column | None = None) -> tuple[DataFrame, int]:
         """Write like :meth:`save` and return the number of rows written
@@ -41,37 +45,54 @@ class Scratch:
         metric = F.count(F.lit(1)) if flag is None else F.count(F.when(flag, F.lit(1)))
         path = f"{self.base}/{self._n:05d}-{name}"
         df.observe(obs, metric.alias("n")).write.mode("overwrite").parquet(path)
-        out = self.spark.read.parquet(path)
+        out = self._read(df, path)
         got = observed(obs)
         if got is None:  # nothing was processed, so no metrics: count the (small) table
             got = {"n": out.count() if flag is None else out.filter(flag).count()}
         return out, int(got["n"] or 0)
 
+    def save_measured(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """Write like :meth:`save` and return aggregates over the rows written.
+        A re-run stage can make counts too large and leaves maxima as they
+        are, so callers use them only to choose a path."""
+        self._n += 1
+        obs = Observation(f"{name}-{self._n}")
+        named = [c.alias(n) for n, c in metrics.items()]
+        path = f"{self.base}/{self._n:05d}-{name}"
+        df.observe(obs, *named).write.mode("overwrite").parquet(path)
+        out = self._read(df, path)
+        got = observed(obs)
+        if got is None:  # nothing was processed, so no metrics: ask the (small) table
+            got = out.agg(*named).collect()[0].asDict()
+        return out, got
+
+    @staticmethod
+    def _place(path: str) -> str:
+        # "file:/x" and "file:///x" are the same folder.
+        return "/" + path.split(":", 1)[-1].strip("/")
+
     def drop(self, df: DataFrame) -> None:
         """Delete the files behind a saved table that is no longer read."""
         for path in df.inputFiles()[:1]:
             folder = path.rsplit("/", 1)[0]
-            if folder.startswith(self.base) or self.base in folder:
+            if self._place(self.base) in self._place(folder):
                 jvm = self.spark.sparkContext._jvm
                 hpath = jvm.org.apache.hadoop.fs.Path(folder)
                 hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-# Callbacks that drop in-process references to scratch tables (e.g. the
-# query registry's cache of peeling results) before the files go.
-_ON_CLEAR: list = []
-
-
-def on_clear(callback) -> None:
-    _ON_CLEAR.append(callback)
+def snapshot(spark: SparkSession, path: str) -> tuple:
+    """The files of a table with their lengths and modification times."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(hpath)
+    return (path, *sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def clear_scratch(spark: SparkSession) -> int:
     """Delete every intermediate table this package wrote under the
     checkpoint folder (call once the results that read them are written).
     Returns the number of folders removed."""
-    for callback in _ON_CLEAR:
-        callback()
     sc = spark.sparkContext
     jvm = sc._jvm
     base = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))

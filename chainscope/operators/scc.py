@@ -1,377 +1,214 @@
-"""Strongly connected components of the transfer graph, and the iterated
-SCC peeling used for wash-trading candidate sets.
-
-All work is DataFrame joins and aggregations that Spark partitions by
-vertex; the driver only runs the loop and reads one count per round
-(observed while the round is written).
-
-Groups (``lvl``) whose edge count is within a checked bound are finished
-in one task each (Tarjan over the group's pandas batch, see scc_local).
-Larger groups use the distributed rounds, exact, by colouring:
-
-1. *trim*: a vertex without an in-edge or without an out-edge lies on no
-   cycle; its edges go (a few rounds per phase).
-2. *forward colour*: every vertex takes the smallest id that reaches it
-   (min-label propagation from the vertices whose colour changed).
-3. *backward*: the vertex whose id equals its colour is the root; walking
-   edges backwards inside the colour from the root reaches exactly the
-   root's SCC.
-4. edges between different colours cannot lie in one SCC and are dropped;
-   colour classes that are now within the bound are finished in one task,
-   the found SCCs are removed, and the next phase runs on what is left.
-
-Every group advances in the same Spark rounds, so many graphs (one per
-peeling level) cost the rounds of the deepest one, not their sum.
+"""Strongly connected components of the transfer graph.
+
+All work is DataFrame joins and aggregations that Spark partitions by vertex,
+whatever the size of the graph; the driver runs the loop and reads counts
+observed while a round is written. Many graphs (``lvl``) are solved in the
+same rounds.
+
+1. *Shrink.* Vertices joined by edges both ways are one vertex. A vertex
+   without an in-edge or without an out-edge lies on no cycle and goes with
+   its edges.
+2. *Colour.* Every vertex takes the smallest id that reaches it and the
+   smallest id it reaches. Both spread along edges from the vertices that
+   changed, and jump: what reaches the id that reaches a vertex reaches the
+   vertex, so a colour's way grows by jumps, not by single edges, and a ring
+   of n vertices takes about log(n) rounds. Where the two ids are equal, the
+   vertex is in that id's component; an edge between vertices of different
+   pairs lies in none.
+3. Repeat on the edges that are left, then put back the vertices made one, the
+   last first.
+
+Every table that a later round reads is written under the checkpoint folder,
+so plans stay small and a lost executor costs one round.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel, cloudpickle
+from chainscope.operators.lineage import Scratch
 
-from chainscope.operators import scc_local
-from chainscope.operators.lineage import Scratch, observed
-from chainscope.operators.scc_local import scc_group
+DEFAULT_MAX_ROUNDS = 100_000
+# The graph is shrunk again while that takes more than a tenth of its edges.
+SHRINK_SHARE = 10
+MEMBERS = "lvl BIGINT, v BIGINT, root BIGINT"
 
-# The per-group helper travels inside the task (pickled by value), so
-# executors need no copy of this package on their Python path.
-cloudpickle.register_pickle_by_value(scc_local)
 
-DEFAULT_MAX_ROUNDS = 100_000
-TRIM_ROUNDS = 2
-# Groups up to this many edges are finished inside one task (a few tens of
-# MB of pandas); larger groups use the distributed rounds.
-LOCAL_EDGE_LIMIT = 1_000_000
-LOCAL_SCHEMA = "lvl INT, v BIGINT, root BIGINT"
-# Largest level table broadcast to every task (rows of a few bytes each);
-# beyond it the joins fall back to a shuffle.
-MAX_BROADCAST_LEVELS = 2_000_000
+class RoundLimitExceeded(RuntimeError):
+    """The fixpoint was not reached within the round budget (no partial result is returned)."""
 
 
-# An address with more edges than this on one side is a hot join key; hot
-# addresses number at most 2 * edges / HOT_KEY_EDGES, so their ids can be
-# broadcast (checked against MAX_BROADCAST_HOT_KEYS as well).
-HOT_KEY_EDGES = 100_000
-MAX_BROADCAST_HOT_KEYS = 1_000_000
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint only for a side whose row count was checked."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST_LEVELS else df
+# Ids are mixed (one to one) before they are compared as colours: along a path
+# of ascending ids a smallest id would have nothing to jump to.
+_MIX = ((13, True), (7, False), (17, True)) * 3
 
 
-class RoundLimitExceeded(RuntimeError):
-    """The fixpoint was not reached within the round budget (no partial result is returned)."""
+def _shift(c: Column, n: int, left: bool) -> Column:
+    return F.shiftleft(c, n) if left else F.shiftrightunsigned(c, n)
 
 
-def _trim(edges: DataFrame, rounds: int) -> DataFrame:
-    for _ in range(rounds):
-        has_in = edges.select("lvl", F.col("dst").alias("src")).distinct()
-        has_out = edges.select("lvl", F.col("src").alias("dst")).distinct()
-        edges = edges.join(has_in, ["lvl", "src"], "left_semi").join(has_out, ["lvl", "dst"], "left_semi")
-    return edges
+def _mix(df: DataFrame, names: list[str], back: bool = False) -> DataFrame:
+    """Columns with their ids mixed, or as they were; a step a projection,
+    since each step reads its value more than once."""
+    for n, left in reversed(_MIX) if back else _MIX:
+        def step(c: Column) -> Column:
+            out = c.bitwiseXOR(_shift(c, n, left))
+            for k in range(2 * n, 64, n) if back else ():
+                out = out.bitwiseXOR(_shift(c, k, left))
+            return out
+        df = df.withColumns({name: step(F.col(name)) for name in names})
+    return df
 
 
-def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None,
-                max_rounds: int = DEFAULT_MAX_ROUNDS,
-                local_edge_limit: int = LOCAL_EDGE_LIMIT, materialize: bool = True,
-                known_total: int | None = None) -> DataFrame:
-    """SCC membership of ``edges(lvl, src, dst)`` (BIGINT vertex ids).
+class _Solver:
+    def __init__(self, spark: SparkSession, scratch: Scratch, max_rounds: int):
+        self.spark, self.scratch, self.limit, self.n = spark, scratch, max_rounds, 0
+        self.found: list[DataFrame] = []   # (lvl, v, root)
+        self.merged: list[DataFrame] = []  # (lvl, v, u): v was made one with u
 
-    Returns ``(lvl, v, root)`` for every vertex in an SCC of two or more
-    vertices; ``root`` is the smallest vertex id of its SCC. With
-    ``materialize`` the result is written once (callers that read it more
-    than once); otherwise a one-task-finish result stays lazy.
-
-    The edge count of every group is measured first. A group of at most
-    ``local_edge_limit`` edges is finished in one task (Tarjan over its
-    pandas batch); larger groups run the distributed colouring rounds, so
-    a large graph never meets a single task. ``local_edge_limit=0`` sends
-    everything through the distributed rounds. ``known_total`` is an upper
-    bound on the number of edges the caller has already measured; when it is
-    within the limit no group can exceed it and the measuring job is skipped.
-    """
-    scratch = scratch or Scratch(spark, "scc")
-    # Callers pass unique edges (collapsed per account pair); a repeated edge
-    # would only cost work, never change the components.
-    e = edges.select("lvl", "src", "dst").filter(F.col("src") != F.col("dst"))
-    if local_edge_limit <= 0:
-        return scratch.save(_distributed_members(spark, scratch.save(e, "edges"), scratch, max_rounds, 0), "scc")
-    # One row per level whose graph is too large for one task; the number of
-    # levels is bounded (see peel_levels), so this summary is small.
-    if known_total is not None and known_total <= local_edge_limit:
-        big_levels = []
-    else:
-        big_levels = [r["lvl"] for r in e.groupBy("lvl").agg(F.count(F.lit(1)).alias("n"))
-                      .filter(F.col("n") > local_edge_limit).select("lvl").collect()]
-    if not big_levels:
-        local = e.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
-        return scratch.save(local, "scc") if materialize else local
-    big_df = _small_side(spark.createDataFrame([(int(x),) for x in big_levels], "lvl INT"), len(big_levels))
-    small = e.join(big_df, "lvl", "left_anti")
-    big = scratch.save(e.join(big_df, "lvl", "left_semi"), "big_edges")
-    local = small.groupBy("lvl").applyInPandas(scc_group, LOCAL_SCHEMA)
-    dist = _distributed_members(spark, big, scratch, max_rounds, local_edge_limit)
-    return scratch.save(local.unionByName(dist), "scc")
-
-
-class _Rounds:
-    """Round bookkeeping. Every kept table is written under the checkpoint
-    folder: the loop reads each table more than once per round, so without
-    a real cut the plan tree would double every round; the write also makes
-    a lost executor cost at most one round."""
-
-    def __init__(self, scratch: Scratch, max_rounds: int):
-        self.scratch, self.limit = scratch, max_rounds
-        self.n = 0
-        self.kept: list[DataFrame] = []
-
-    def tick(self):
+    def tick(self) -> None:
         self.n += 1
         if self.n > self.limit:
             raise RoundLimitExceeded(f"SCC did not converge in {self.limit} rounds")
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        out = self.scratch.save(df, name)
-        self.kept.append(out)
-        return out
-
-    def keep_counted(self, df: DataFrame, name: str, flag=None) -> tuple[DataFrame, int]:
-        out, n = self.scratch.save_counted(df, name, flag)
-        self.kept.append(out)
-        return out, n
-
-    def release(self):
-        for df in self.kept:
-            self.scratch.drop(df)
-        self.kept.clear()
-
-
-def _distributed_members(spark: SparkSession, e: DataFrame, scratch: Scratch, max_rounds: int,
-                         local_edge_limit: int) -> DataFrame:
-    rounds = _Rounds(scratch, max_rounds)
-    found: list[DataFrame] = []
-    while True:
-        rounds.tick()
-        e, n_edges = rounds.keep_counted(_trim(e, TRIM_ROUNDS), "trimmed")
-        if n_edges == 0:
-            break
-
-        # Forward colouring: colour(v) = min id among vertices reaching v.
-        verts = e.select("lvl", F.col("src").alias("v")).union(e.select("lvl", F.col("dst").alias("v"))).distinct()
-        colour = rounds.keep(verts.withColumn("color", F.col("v")), "colour")
-        frontier = colour
-        while True:
-            rounds.tick()
-            msgs = (e.join(frontier.select("lvl", F.col("v").alias("src"), "color"), ["lvl", "src"])
-                    .groupBy("lvl", F.col("dst").alias("v")).agg(F.min("color").alias("m")))
-            updated, n_changed = rounds.keep_counted(colour.join(msgs, ["lvl", "v"], "left").select(
-                "lvl", "v",
-                F.least(F.col("color"), F.coalesce(F.col("m"), F.col("color"))).alias("color"),
-                F.coalesce(F.col("m") < F.col("color"), F.lit(False)).alias("changed")), "colour",
-                flag=F.col("changed"))
-            colour = updated.select("lvl", "v", "color")
-            frontier = updated.filter("changed").select("lvl", "v", "color")
-            if n_changed == 0:
+    # --- shrinking ------------------------------------------------------
+
+    def shrink(self, e: DataFrame, n_edges: int) -> tuple[DataFrame, int]:
+        pairs_left = True
+        while n_edges:
+            self.tick()
+            if pairs_left:
+                back = e.select("lvl", F.col("src").alias("dst"), F.col("dst").alias("src"))
+                pairs, n_pairs = self.scratch.save_counted(e.join(back, ["lvl", "src", "dst"]), "both_ways")
+                pairs_left = n_pairs * SHRINK_SHARE > n_edges
+                if pairs_left:
+                    e, n_edges = self.merge(e, pairs)
+                    continue
+            into = e.select("lvl", F.col("dst").alias("src")).distinct()
+            out = e.select("lvl", F.col("src").alias("dst")).distinct()
+            was = n_edges
+            e, n_edges = self.scratch.save_counted(e.join(into, ["lvl", "src"], "left_semi").join(
+                out, ["lvl", "dst"], "left_semi").select("lvl", "src", "dst"), "trimmed")
+            if (was - n_edges) * SHRINK_SHARE <= was:
                 break
-
-        # Edges inside one colour; the rest can never close a cycle.
-        c_src = colour.select("lvl", F.col("v").alias("src"), F.col("color").alias("cs"))
-        c_dst = colour.select("lvl", F.col("v").alias("dst"), F.col("color").alias("cd"))
-        inner = rounds.keep(
-            e.join(c_src, ["lvl", "src"]).join(c_dst, ["lvl", "dst"])
-             .filter(F.col("cs") == F.col("cd"))
-             .select("lvl", "src", "dst", F.col("cs").alias("color")), "inner")
-
-        # Each colour class is now an independent graph. Classes within the
-        # one-task bound are finished right away; only large classes go on.
-        if local_edge_limit > 0:
-            sizes = inner.groupBy("lvl", "color").agg(F.count(F.lit(1)).alias("n"))
-            small = sizes.filter(F.col("n") <= local_edge_limit).select("lvl", "color")
-            finished = (inner.join(small, ["lvl", "color"], "left_semi")
-                        .groupBy("lvl", "color").applyInPandas(scc_group, LOCAL_SCHEMA))
-            found.append(scratch.save(finished, "class_finish"))
-            inner = rounds.keep(inner.join(small, ["lvl", "color"], "left_anti"), "inner_big")
-            colour = colour.join(inner.select("lvl", F.col("color")).distinct(), ["lvl", "color"], "left_semi")
-
-        # Backward walk from each root inside its colour.
-        reached = rounds.keep(colour.filter(F.col("v") == F.col("color")), "roots")
-        frontier = reached
+        return e, n_edges
+
+    def merge(self, e: DataFrame, pairs: DataFrame) -> tuple[DataFrame, int]:
+        """Vertices that edges both ways join become their smallest."""
+        same = self.spread(pairs.select("lvl", F.col("src").alias("at"), F.col("dst").alias("v"), F.lit(True).alias("out")))
+        same = same.select("lvl", "v", F.col("f").alias("u"))
+        self.merged.append(same)
+        ends = [same.select("lvl", F.col("v").alias(end), F.col("u").alias(f"u_{end}")) for end in ("src", "dst")]
+        e = e.join(ends[0], ["lvl", "src"], "left").join(ends[1], ["lvl", "dst"], "left").select(
+            "lvl", F.coalesce("u_src", "src").alias("src"), F.coalesce("u_dst", "dst").alias("dst"))
+        return self.scratch.save_counted(e.filter("src != dst").distinct(), "merged")
+
+    # --- colouring --------------------------------------------------------
+
+    def colour(self, e: DataFrame) -> tuple[DataFrame, int]:
+        """Components of one pass, and the edges that may lie in others."""
+        arcs = self.scratch.save(e.select("lvl", F.explode(F.array(
+            F.struct(F.col("src").alias("at"), F.col("dst").alias("v"), F.lit(True).alias("out")),
+            F.struct(F.col("dst").alias("at"), F.col("src").alias("v"), F.lit(False).alias("out")))).alias("x"))
+            .select("lvl", "x.*"), "arcs")
+        final = self.spread(arcs)
+        # A vertex may share its component with vertices shrunk away.
+        self.found.append(final.filter("f = b").select("lvl", "v", F.col("f").alias("root")))
+        open_ = final.filter("f != b")
+        ends = [open_.select("lvl", F.col("v").alias(end), F.struct("f", "b").alias(f"c_{end}")) for end in ("src", "dst")]
+        rest = e.join(ends[0], ["lvl", "src"]).join(ends[1], ["lvl", "dst"]).filter("c_src = c_dst")
+        return self.scratch.save_counted(rest.select("lvl", "src", "dst"), "left")
+
+    def spread(self, arcs: DataFrame) -> DataFrame:
+        """(lvl, v, f, b): the smallest id that reaches a vertex over ``arcs``
+        (lvl, at, v, out), and the smallest over those that are not ``out``."""
+        heard = [F.min(F.when(F.col("out"), F.col("f"))).alias("mf"), F.min(F.when(~F.col("out"), F.col("b"))).alias("mb")]
+        # Round one: every vertex hears of all its neighbours.
+        first = arcs.withColumns({"f": F.col("at"), "b": F.col("at")}).groupBy("lvl", "v").agg(*heard)
+        state = self.scratch.save(first.select("lvl", "v", F.least("v", "mf").alias("f"), F.least("v", "mb").alias("b"),
+                                               F.lit(True).alias("moved")), "colours")
         while True:
-            rounds.tick()
-            step = (inner.join(frontier.select("lvl", F.col("v").alias("dst"), "color"), ["lvl", "dst", "color"])
-                    .select("lvl", F.col("src").alias("v"), "color").distinct()
-                    .join(reached.select("lvl", "v"), ["lvl", "v"], "left_anti"))
-            step, n_step = rounds.keep_counted(step, "reached")
-            if n_step == 0:
-                break
-            reached = rounds.keep(reached.unionByName(step), "members")
-            frontier = step
-        found.append(scratch.save(reached.select("lvl", "v", F.col("color").alias("root")), "found"))
-
-        done = reached.select("lvl", "v")
-        e = (inner.join(done.withColumnRenamed("v", "src"), ["lvl", "src"], "left_anti")
-             .join(done.withColumnRenamed("v", "dst"), ["lvl", "dst"], "left_anti")
-             .select("lvl", "src", "dst"))
-    if not found:
-        rounds.release()
-        return spark.createDataFrame([], LOCAL_SCHEMA)
-    allm = scratch.save(_union(found), "found_all")
-    rounds.release()
-    big = allm.groupBy("lvl", "root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
-    return allm.join(big.select("lvl", "root"), ["lvl", "root"], "left_semi").select("lvl", "v", "root")
+            self.tick()
+            front = state.filter("moved").select("lvl", F.col("v").alias("at"), "f", "b")
+            near = arcs.join(front, ["lvl", "at"]).groupBy("lvl", "v").agg(*heard)
+            jump_f = state.filter("f < v").select("lvl", F.col("v").alias("f"), F.col("f").alias("jf"))
+            jump_b = state.filter("b < v").select("lvl", F.col("v").alias("b"), F.col("b").alias("jb"))
+            new = state.drop("moved").join(near, ["lvl", "v"], "left").join(jump_f, ["lvl", "f"], "left").join(
+                jump_b, ["lvl", "b"], "left").withColumn("nf", F.least("f", "mf", "jf")).withColumn(
+                "nb", F.least("b", "mb", "jb"))
+            moved = (F.col("nf") < F.col("f")) | (F.col("nb") < F.col("b"))
+            state, n = self.scratch.save_counted(new.select(
+                "lvl", "v", F.col("nf").alias("f"), F.col("nb").alias("b"), moved.alias("moved")), "colours", F.col("moved"))
+            if not n:
+                return state.drop("moved")
+
+    # --- the whole ----------------------------------------------------------
+
+    def unwind(self) -> DataFrame:
+        m = _union(self.found) if self.found else self.spark.createDataFrame([], MEMBERS)
+        for same in reversed(self.merged):
+            roots = m.select("lvl", F.col("v").alias("u"), F.col("root"))
+            more = same.join(roots, ["lvl", "u"], "left").select("lvl", "v", F.coalesce("root", "u").alias("root"))
+            m = self.scratch.save(m.unionByName(more).distinct(), "unwound")
+        m = _mix(m, ["v"], back=True)
+        sets = m.groupBy("lvl", "root").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        return m.join(sets, ["lvl", "root"]).select("lvl", "v", F.col("low").alias("root"))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def vertex_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch,
-               measure_weight: bool = False) -> tuple[DataFrame, dict]:
-    """Dense BIGINT ids for the addresses of ``edges(src, dst)`` with their
-    out- and in-edge counts, and the edge list's size (``n`` edges, ``w``
-    total weight, ``hot`` addresses with more than ``HOT_KEY_EDGES`` edges on
-    one side) observed during the same job.
-
-    Ids come from ``monotonically_increasing_id`` and are fixed by writing
-    the table once; joins and shuffles then move 8-byte keys instead of
-    42-character addresses. The sizes only choose between exact execution
-    paths: if a lost executor makes a stage run twice and an observation
-    over-counts, the general path is taken, never a wrong one.
+def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None,
+                max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
+    """SCC membership of ``edges(lvl, src, dst)`` (BIGINT vertex ids).
+
+    ``(lvl, v, root)`` for every vertex in an SCC of two or more vertices;
+    ``root`` is the smallest vertex id of its SCC. Loops and repeated edges
+    change nothing; the result is written once.
     """
-    size = Observation("edge_size")
-    metrics = [F.count(F.lit(1)).alias("n")]
-    if measure_weight:
-        metrics.append(F.sum("weight").alias("w"))
-    watched = edges.observe(size, *metrics)
-    ends = watched.select(F.explode(F.array(
-        F.struct(F.col("src").alias("address"), F.lit(1).alias("o"), F.lit(0).alias("i")),
-        F.struct(F.col("dst").alias("address"), F.lit(0).alias("o"), F.lit(1).alias("i")),
-    )).alias("x")).groupBy("x.address").agg(F.sum("x.o").alias("n_out"), F.sum("x.i").alias("n_in"))
-    hot = Observation("hot_keys")
-    is_hot = (F.col("n_out") > HOT_KEY_EDGES) | (F.col("n_in") > HOT_KEY_EDGES)
-    ids = scratch.save(ends.withColumn("vid", F.monotonically_increasing_id())
-                       .observe(hot, F.count(F.when(is_hot, F.lit(1))).alias("hot")), "ids")
-    got = observed(size)
-    if got is None:  # no partition processed: measure directly
-        got = edges.agg(*metrics).collect()[0].asDict()
-    hot_got = observed(hot)
-    got["hot"] = int(hot_got["hot"] or 0) if hot_got else ids.filter(is_hot).count()
-    return ids, got
-
-
-def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS,
-                   local_edge_limit: int = LOCAL_EDGE_LIMIT) -> DataFrame:
+    s = _Solver(spark, scratch or Scratch(spark, "scc"), max_rounds)
+    e = edges.select(F.col("lvl").cast("long").alias("lvl"), "src", "dst").filter("src != dst").distinct()
+    e, n_edges = s.scratch.save_counted(_mix(e, ["src", "dst"]), "edges")
+    while n_edges:
+        e, n_edges = s.shrink(e, n_edges)
+        if n_edges:
+            e, n_edges = s.colour(e)
+    if not (s.found or s.merged):
+        return spark.createDataFrame([], MEMBERS)
+    return s.scratch.save(s.unwind(), "scc")
+
+
+def vertex_ids(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(address, vid): BIGINT ids for the addresses of ``edges(src, dst)``.
+    They come from ``monotonically_increasing_id`` and are fixed by writing
+    the table once; joins then move 8-byte keys instead of addresses."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
+    return scratch.save(ends.withColumn("vid", F.monotonically_increasing_id()), "ids")
+
+
+def id_edges(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Replace both addresses of every edge by their ids (AQE splits the
+    partition of a hub on the edge side)."""
+    cols = [c for c in edges.columns if c not in ("src", "dst")]
+    s = ids.select(F.col("address").alias("src"), F.col("vid").alias("s"))
+    d = ids.select(F.col("address").alias("dst"), F.col("vid").alias("d"))
+    return edges.join(s, "src").join(d, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
+
+
+def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
     """SCCs of the whole graph ``edges(src, dst, ...)``.
 
     ``(address, component, n_members)``: one row per account in an SCC of
     two or more accounts; ``component`` is the smallest address of the SCC.
     """
     scratch = Scratch(spark, "components")
-    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    ids, size = vertex_ids(spark, edges, scratch)
-    e = _id_edges(edges, ids, size["hot"]).select(F.lit(1).alias("lvl"), "src", "dst")
-    m = scc_members(spark, e, scratch, max_rounds, local_edge_limit, known_total=size["n"])
-    edges.unpersist()
+    edges = scratch.save(edges.select("src", "dst"), "edges")
+    ids = vertex_ids(edges, scratch)
+    m = scc_members(spark, id_edges(edges, ids).withColumn("lvl", F.lit(1)), scratch, max_rounds)
     named = m.join(ids.withColumnRenamed("vid", "v"), "v")
     sets = named.groupBy("root").agg(F.min("address").alias("component"), F.count(F.lit(1)).alias("n_members"))
     return named.join(sets, "root").select("address", "component", "n_members")
-
-
-def _id_edges(edges: DataFrame, ids: DataFrame, n_hot: int = 0) -> DataFrame:
-    """Replace both addresses of every edge by their ids.
-
-    A hub address can own a large share of all edges. When the id table
-    marks such hot addresses (``n_hot`` of them, at most 2 * edges /
-    HOT_KEY_EDGES), their edges join a broadcast of the hot ids, with no
-    shuffle of the hub's rows; only the remaining edges take the shuffle
-    join. Without hot addresses this is a plain pair of joins.
-    """
-    cols = [c for c in edges.columns if c not in ("src", "dst")]
-    split = 0 < n_hot <= MAX_BROADCAST_HOT_KEYS
-
-    def map_end(df: DataFrame, end: str, hot_col: str, alias: str) -> DataFrame:
-        table = ids.select(F.col("address").alias(end), F.col("vid").alias(alias), F.col(hot_col).alias("_deg"))
-        if not split:
-            return df.join(table.drop("_deg"), end)
-        hot = F.broadcast(table.filter(F.col("_deg") > HOT_KEY_EDGES).drop("_deg"))
-        cold = table.filter(F.col("_deg") <= HOT_KEY_EDGES).drop("_deg")
-        return df.join(hot, end).unionByName(df.join(hot.select(end), end, "left_anti").join(cold, end))
-
-    out = map_end(map_end(edges, "src", "n_out", "s"), "dst", "n_in", "d")
-    return out.select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
-
-
-def peel_levels(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS,
-                local_edge_limit: int = LOCAL_EDGE_LIMIT) -> DataFrame:
-    """SCCs of every peeling round, in closed form.
-
-    Round r of the peel loop (subtract 1 from every weight, drop empty
-    edges, repeat) sees exactly the edges with ``weight >= r``. Rounds
-    between two consecutive distinct weights see the same graph, so one SCC
-    computation per distinct weight ``w_k`` stands for ``w_k - w_(k-1)``
-    rounds.
-
-    Returns ``(lvl, level_weight, multiplicity, root, address)``: the members
-    of every SCC of two or more accounts at every level.
-
-    Scale notes: a first pass on the whole graph keeps only edges inside a
-    nontrivial SCC (higher levels are subgraphs, so no cycle can use another
-    edge); only those are expanded to their levels, at most ``weight`` rows
-    each, i.e. at most one row per transfer. Distinct weights number at most
-    sqrt(2 * transfers) (distinct positive integers summing to at most the
-    transfer count), which bounds the broadcast level table.
-    """
-    scratch = Scratch(spark, "peel")
-    # The weighted edge list is an aggregation over every transfer: it is
-    # cached so ids, the id-mapped edges and the levels read it once. Ids
-    # are written (they must not change if a partition is recomputed).
-    edges = edges.select("src", "dst", "weight").persist(StorageLevel.MEMORY_AND_DISK)
-    ids, size = vertex_ids(spark, edges, scratch, measure_weight=True)
-    e = _id_edges(edges, ids, size["hot"]).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [edges, e]
-    total_weight = size.get("w") or 0
-
-    # Pruning pass, skipped when the whole level expansion (at most the total
-    # weight in rows) is already small.
-    small = local_edge_limit > 0 and total_weight <= local_edge_limit
-    if small:
-        inner = e
-    else:
-        base = scc_members(spark, e.select(F.lit(1).alias("lvl"), "src", "dst"), scratch, max_rounds,
-                           local_edge_limit, known_total=size["n"])
-        rs = base.select(F.col("v").alias("src"), F.col("root").alias("rs"))
-        rd = base.select(F.col("v").alias("dst"), F.col("root").alias("rd"))
-        inner = scratch.save(e.join(rs, "src").join(rd, "dst").filter(F.col("rs") == F.col("rd"))
-                             .select("src", "dst", "weight"), "inner_edges")
-
-    by_weight = Window.orderBy("weight")
-    levels = (inner.select("weight").distinct()
-              .withColumn("lvl", F.row_number().over(by_weight).cast("int"))
-              .withColumn("multiplicity", F.col("weight") - F.coalesce(F.lag("weight").over(by_weight), F.lit(0)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    cached.append(levels)
-    # Distinct positive weights summing to at most W number at most sqrt(2W):
-    # a proven bound; count only when the bound alone does not settle it.
-    bound = math.isqrt(2 * int(total_weight)) + 1
-    n_levels = bound if bound <= MAX_BROADCAST_LEVELS else levels.count()
-    ranked = inner.join(_small_side(levels.select("weight", F.col("lvl").alias("top")), n_levels), "weight")
-    expanded = ranked.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias("lvl"), "src", "dst")
-    m = scc_members(spark, expanded, scratch, max_rounds, local_edge_limit, materialize=False,
-                    known_total=total_weight)
-    out = scratch.save(
-        m.join(_small_side(levels.select("lvl", F.col("weight").alias("level_weight"), "multiplicity"), n_levels),
-               "lvl")
-         .join(ids.withColumnRenamed("vid", "v"), "v")
-         .select("lvl", "level_weight", "multiplicity", "root", "address"), "level_members")
-    for df in cached:
-        df.unpersist()
-    return out

@@ -27,7 +27,7 @@ if __package__ in (None, ""):
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from chainscope.operators import (blocks, cleaning, contracts, detect, graph, overhead, scc,  # noqa: E402
+from chainscope.operators import (blocks, cleaning, contracts, detect, graph, overhead, peeling,  # noqa: E402
                                   timeseries, transfers)
 from chainscope.operators.lineage import Scratch  # noqa: E402
 from chainscope.sources import readers, schemas, sinks  # noqa: E402
@@ -79,21 +79,18 @@ def job_results(spark: SparkSession, args) -> dict[str, DataFrame]:
         kept = transfers.without_self_trades(tx)
         net, stats = transfers.net_positions(kept), transfers.transfer_stats(kept)
         edges = scratch.save(graph.graph_edges(kept), "edges")
-        levels = scc.peel_levels(spark, edges)
-        occ = detect.scc_occurrences(levels)
-        members = detect.set_members(levels)
-        sets = detect.volume_match(occ, members, net).withColumn(
-            "is_candidate", F.col("occurrences") >= F.lit(args.threshold))
-        matched = members.join(sets.filter("is_candidate AND volume_matched").select("set_key", "n_members"),
-                               ["set_key", "n_members"], "left_semi")
+        tree = peeling.merge_tree(spark, edges)
+        sets = scratch.save(detect.volume_match(detect.scc_occurrences(tree), tree, net).withColumn(
+            "is_candidate", F.col("occurrences") >= F.lit(args.threshold)), "sets")
+        matched = scratch.save(detect.matched_sets(tree, net, args.threshold), "matched")
         return {
             "self_trades": transfers.self_trade_summary(tx),
             "net_neutral_accounts": transfers.net_neutral(net, stats),
             "wash_sets": sets,
-            "wash_set_members": members.join(sets.filter("is_candidate").select("set_key", "n_members"),
-                                             ["set_key", "n_members"], "left_semi"),
-            "wash_suspects": detect.wash_suspects(matched),
-            "top_wash_traders": detect.top_wash_trader(matched, edges, k=args.k),
+            "wash_set_members": detect.set_members(tree).join(
+                sets.filter("is_candidate").select(*detect.SET), detect.SET, "left_semi"),
+            "wash_suspects": detect.wash_suspects(tree, matched),
+            "top_wash_traders": detect.top_wash_trader(tree, matched, edges, k=args.k),
         }
     raise ValueError(f"unknown job {args.job}")
 

@@ -101,9 +101,9 @@ EDGES = """SELECT from_address AS src, to_address AS dst, count(*) AS weight,
   GROUP BY 1, 2"""
 
 
-def _graph(accounts: int, recursive: bool = False) -> str:
+def _graph(recursive: bool = False) -> str:
     head = "WITH RECURSIVE " if recursive else "WITH "
-    return head + f"tx AS ({b.transfers_mod_sql(accounts)}),\ne AS ({EDGES})"
+    return head + f"tx AS ({b.TRANSFERS_GROUPS_SQL}),\ne AS ({EDGES})"
 
 
 VERTICES = """, nonself AS (SELECT * FROM tx WHERE from_address IS DISTINCT FROM to_address),
@@ -139,9 +139,10 @@ legs AS (SELECT from_address AS address, -value AS amount FROM nonself
          UNION ALL SELECT to_address AS address, value AS amount FROM nonself),
 net AS (SELECT address, CAST(sum(amount) AS DECIMAL(38,0)) AS net_value FROM legs GROUP BY address),
 ps AS (SELECT m.set_key, m.n_members, CAST(coalesce(sum(n.net_value), 0) AS DECIMAL(38,0)) AS net_sum,
-       CAST(coalesce(sum(abs(n.net_value)), 0) AS DECIMAL(38,0)) AS abs_sum
+       CAST(coalesce(sum(abs(n.net_value)), 0) AS DECIMAL(38,0)) AS abs_sum,
+       CAST(sum(n.net_value) AS DOUBLE) / count(n.net_value) AS net_mean
        FROM members m LEFT JOIN net n ON m.address = n.address GROUP BY 1, 2),
-vm AS (SELECT c.*, ps.net_sum, ps.abs_sum,
+vm AS (SELECT c.*, ps.net_sum, ps.net_mean, ps.abs_sum,
        100 * CAST(abs(ps.net_sum) AS HUGEINT) <= CAST(ps.abs_sum AS HUGEINT) AS volume_matched
        FROM cand c LEFT JOIN ps USING (set_key, n_members)),
 matched_members AS (SELECT m.* FROM members m JOIN vm USING (set_key, n_members) WHERE vm.volume_matched),
@@ -152,30 +153,29 @@ SET_EDGES = """SELECT ms.set_key, ms.n_members, e.src, e.dst, e.weight, e.value
   JOIN {m} ms ON e.src = ms.address
   JOIN {m} md ON md.set_key = ms.set_key AND md.n_members = ms.n_members AND e.dst = md.address"""
 
-G20, G40 = _graph(20), _graph(40)
-R20, R40 = _graph(20, True), _graph(40, True)
+G, R = _graph(), _graph(True)
 
 ORACLE.update({
-    "graph_vertices": G20 + VERTICES + "SELECT address, token_type FROM v",
-    "graph_edges": G20 + "\nSELECT * FROM e",
-    "edge_peel": G20 + "\nSELECT src, dst, weight - 1 AS weight, value FROM e WHERE weight - 1 > 0",
-    "vertices_with_edges": G20 + VERTICES + """SELECT address, token_type FROM v WHERE address IN (
+    "graph_vertices": G + VERTICES + "SELECT address, token_type FROM v",
+    "graph_edges": G + "\nSELECT * FROM e",
+    "edge_peel": G + "\nSELECT src, dst, weight - 1 AS weight, value FROM e WHERE weight - 1 > 0",
+    "vertices_with_edges": G + VERTICES + """SELECT address, token_type FROM v WHERE address IN (
   SELECT src FROM e WHERE weight > 1 UNION SELECT dst FROM e WHERE weight > 1)""",
-    "scc_components": R40 + COMPONENTS + "SELECT address, component, n_members FROM comp",
-    "scc_edges": R40 + COMPONENTS + """SELECT c1.component, c1.n_members, e.src, e.dst, e.weight, e.value
+    "scc_components": R + COMPONENTS + "SELECT address, component, n_members FROM comp",
+    "scc_edges": R + COMPONENTS + """SELECT c1.component, c1.n_members, e.src, e.dst, e.weight, e.value
   FROM e JOIN comp c1 ON e.src = c1.address JOIN comp c2 ON e.dst = c2.address AND c1.component = c2.component""",
-    "scc_occurrences": R20 + LEVELS + "SELECT * FROM occ",
-    "scc_candidates": R20 + LEVELS + "SELECT * FROM cand",
-    "scc_set_members": R20 + LEVELS + "SELECT set_key, n_members, address FROM members",
-    "scc_volume_match": R20 + LEVELS + "SELECT * FROM vm",
-    "wash_sets": R20 + LEVELS + """SELECT o.*, ps.net_sum, ps.abs_sum,
+    "scc_occurrences": R + LEVELS + "SELECT * FROM occ",
+    "scc_candidates": R + LEVELS + "SELECT * FROM cand",
+    "scc_set_members": R + LEVELS + "SELECT set_key, n_members, address FROM members",
+    "scc_volume_match": R + LEVELS + "SELECT * FROM vm",
+    "wash_sets": R + LEVELS + """SELECT o.*, ps.net_sum, ps.net_mean, ps.abs_sum,
   100 * CAST(abs(ps.net_sum) AS HUGEINT) <= CAST(ps.abs_sum AS HUGEINT) AS volume_matched,
   o.occurrences >= 3 AS is_candidate FROM occ o LEFT JOIN ps USING (set_key, n_members)""",
-    "wash_set_volume": R20 + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")})
+    "wash_set_volume": R + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")})
 SELECT set_key, n_members, count(*) AS n_edges, CAST(sum(weight) AS BIGINT) AS n_transfers,
   CAST(sum(value) AS DECIMAL(38,0)) AS volume FROM se GROUP BY 1, 2""",
-    "wash_suspects": R20 + LEVELS + "SELECT address, count(*) AS n_sets FROM matched_members GROUP BY address",
-    "top_wash_trader": R20 + LEVELS + f""", we AS (SELECT DISTINCT src, dst, value FROM ({SET_EDGES.format(m="matched_members")})),
+    "wash_suspects": R + LEVELS + "SELECT address, count(*) AS n_sets FROM matched_members GROUP BY address",
+    "top_wash_trader": R + LEVELS + f""", we AS (SELECT DISTINCT src, dst, value FROM ({SET_EDGES.format(m="matched_members")})),
 wv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS wash_volume FROM (
   SELECT src AS address, value AS v FROM we UNION ALL SELECT dst, value FROM we) GROUP BY address),
 tv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS total_volume FROM (
@@ -183,19 +183,19 @@ tv AS (SELECT address, CAST(sum(v) AS DECIMAL(38,0)) AS total_volume FROM (
 SELECT wv.address, wv.wash_volume, tv.total_volume,
   CAST(wv.wash_volume AS DOUBLE) / NULLIF(CAST(tv.total_volume AS DOUBLE), 0) AS wash_share
   FROM wv LEFT JOIN tv USING (address) ORDER BY wash_volume DESC, address LIMIT 1""",
-    "vertex_scc_counts": R20 + LEVELS + """SELECT m.address, CAST(sum(lv.multiplicity) AS BIGINT) AS n_rounds,
+    "vertex_scc_counts": R + LEVELS + """SELECT m.address, CAST(sum(lv.multiplicity) AS BIGINT) AS n_rounds,
   count(DISTINCT (m.set_key, m.n_members)) AS n_sets FROM mem m JOIN lv USING (level_weight) GROUP BY m.address""",
-    "reciprocal_pairs": G40 + """
+    "reciprocal_pairs": G + """
 SELECT x.src AS a, x.dst AS b, x.weight AS weight_ab, x.value AS value_ab, y.weight AS weight_ba, y.value AS value_ba
   FROM e x JOIN e y ON x.src = y.dst AND x.dst = y.src WHERE x.src < x.dst""",
 })
 
 ORACLE.update({
-    "cycles_3": G40 + """
+    "cycles_3": G + """
 SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, least(e1.weight, e2.weight, e3.weight) AS min_weight
   FROM e e1 JOIN e e2 ON e1.dst = e2.src JOIN e e3 ON e2.dst = e3.src AND e3.dst = e1.src
   WHERE e1.src < e1.dst AND e1.src < e2.dst""",
-    "cycles_4": G40 + """
+    "cycles_4": G + """
 SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, e3.dst AS v4,
   least(e1.weight, e2.weight, e3.weight, e4.weight) AS min_weight
   FROM e e1 JOIN e e2 ON e1.dst = e2.src JOIN e e3 ON e2.dst = e3.src
@@ -206,7 +206,7 @@ SELECT e1.src AS v1, e1.dst AS v2, e2.dst AS v3, e3.dst AS v4,
     "result_roundtrip_text": ORACLE["monthly_tx_count"],
 })
 
-ORACLE["scc_member_match"] = R20 + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")}),
+ORACLE["scc_member_match"] = R + LEVELS + f""", se AS ({SET_EDGES.format(m="cand_members")}),
 inner_legs AS (SELECT set_key, n_members, src AS address, -value AS amount FROM se
          UNION ALL SELECT set_key, n_members, dst AS address, value AS amount FROM se),
 pm AS (SELECT set_key, n_members, address, sum(amount) AS inner_net FROM inner_legs GROUP BY 1, 2, 3),

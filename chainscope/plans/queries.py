@@ -12,12 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, scc,
-                                  timeseries, transfers)
+from chainscope.operators import (blocks, cleaning, contracts, cycles, detect, graph, overhead, peeling,
+                                  scc, timeseries, transfers)
 from chainscope.functions.columns import month_of_label
-from chainscope.operators import lineage
-from chainscope.operators.lineage import Scratch
 from chainscope.session import checkpoint_dir
+from chainscope.operators import lineage
 from chainscope.sources import bindings as b
 from chainscope.sources import readers, sinks
 from chainscope.streaming import monthly as streaming_monthly
@@ -126,132 +125,118 @@ def q_net_neutral_count(spark, sf_dir):
 
 # --- transfer graph and SCC peeling ------------------------------------
 
-# Peeling results are written under the checkpoint folder; queries of one
-# session over the same input reuse them instead of recomputing the loop.
-_PEEL_CACHE: dict[tuple, DataFrame] = {}
-lineage.on_clear(_PEEL_CACHE.clear)
+def _transfers(spark, sf_dir):
+    return b.transfers_groups(spark, sf_dir)
+
+
+def _edges(spark, sf_dir):
+    return graph.graph_edges(_transfers(spark, sf_dir))
 
 
-def _mod_transfers(spark, sf_dir, accounts):
-    return b.transfers_mod(spark, sf_dir, accounts)
+# The merge tree of a session's input, named by the input's files with their
+# sizes and times, so that a rewritten table gets a tree of its own.
+_TREES: dict[tuple, peeling.MergeTree] = {}
 
 
-def _mod_edges(spark, sf_dir, accounts):
-    return graph.graph_edges(_mod_transfers(spark, sf_dir, accounts))
+def _tree(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, lineage.snapshot(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    if key not in _TREES:
+        _TREES[key] = peeling.merge_tree(spark, _edges(spark, sf_dir))
+    return _TREES[key]
 
 
-def _levels(spark, sf_dir, accounts=20):
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, accounts)
-    if key not in _PEEL_CACHE:
-        _PEEL_CACHE[key] = scc.peel_levels(spark, _mod_edges(spark, sf_dir, accounts))
-    return _PEEL_CACHE[key]
+def _net(spark, sf_dir):
+    return transfers.net_positions(transfers.without_self_trades(_transfers(spark, sf_dir)))
 
 
-def _net(spark, sf_dir, accounts=20):
-    return transfers.net_positions(transfers.without_self_trades(_mod_transfers(spark, sf_dir, accounts)))
+def _candidates(tree):
+    return detect.scc_candidates(detect.scc_occurrences(tree))
 
 
 def q_graph_vertices(spark, sf_dir):
-    return graph.graph_vertices(transfers.without_self_trades(_mod_transfers(spark, sf_dir, 20)))
+    return graph.graph_vertices(transfers.without_self_trades(_transfers(spark, sf_dir)))
 
 
 def q_graph_edges(spark, sf_dir):
-    return _mod_edges(spark, sf_dir, 20)
+    return _edges(spark, sf_dir)
 
 
 def q_edge_peel(spark, sf_dir):
-    return graph.edge_peel(_mod_edges(spark, sf_dir, 20))
+    return graph.edge_peel(_edges(spark, sf_dir))
 
 
 def q_vertices_with_edges(spark, sf_dir):
-    verts = graph.graph_vertices(transfers.without_self_trades(_mod_transfers(spark, sf_dir, 20)))
-    return graph.vertices_with_edges(verts, graph.edge_peel(_mod_edges(spark, sf_dir, 20)))
+    return graph.vertices_with_edges(q_graph_vertices(spark, sf_dir), graph.edge_peel(_edges(spark, sf_dir)))
 
 
 def q_scc_components(spark, sf_dir):
-    return scc.scc_components(spark, _mod_edges(spark, sf_dir, 40))
+    return scc.scc_components(spark, _edges(spark, sf_dir))
 
 
 def q_scc_edges(spark, sf_dir):
-    comp = scc.scc_components(spark, _mod_edges(spark, sf_dir, 40))
-    members = comp.select(F.col("component").alias("set_key"), "n_members", "address")
-    return detect.set_edges(members, _mod_edges(spark, sf_dir, 40)).withColumnRenamed("set_key", "component")
+    return graph.component_edges(scc.scc_components(spark, _edges(spark, sf_dir)), _edges(spark, sf_dir))
 
 
 def q_scc_occurrences(spark, sf_dir):
-    return detect.scc_occurrences(_levels(spark, sf_dir))
+    return detect.scc_occurrences(_tree(spark, sf_dir))
 
 
 def q_scc_candidates(spark, sf_dir):
-    return detect.scc_candidates(detect.scc_occurrences(_levels(spark, sf_dir)))
-
-
-def _matched(spark, sf_dir):
-    lv = _levels(spark, sf_dir)
-    cands = detect.scc_candidates(detect.scc_occurrences(lv))
-    return detect.volume_match(cands, detect.set_members(lv), _net(spark, sf_dir)), detect.set_members(lv)
+    return _candidates(_tree(spark, sf_dir))
 
 
 def q_scc_volume_match(spark, sf_dir):
-    return _matched(spark, sf_dir)[0]
+    tree = _tree(spark, sf_dir)
+    return detect.volume_match(_candidates(tree), tree, _net(spark, sf_dir))
 
 
 def q_scc_member_match(spark, sf_dir):
-    lv = _levels(spark, sf_dir)
-    cands = detect.scc_candidates(detect.scc_occurrences(lv))
-    return detect.member_volume_match(cands, detect.set_members(lv), _mod_edges(spark, sf_dir, 20))
+    tree = _tree(spark, sf_dir)
+    return detect.member_volume_match(_candidates(tree), tree)
 
 
 def q_wash_sets(spark, sf_dir):
     """Flagship: every peeled set with its occurrences, volume balance and
     whether it passes the occurrence threshold."""
-    lv = _levels(spark, sf_dir)
-    occ = detect.scc_occurrences(lv)
-    out = detect.volume_match(occ, detect.set_members(lv), _net(spark, sf_dir))
+    tree = _tree(spark, sf_dir)
+    out = detect.volume_match(detect.scc_occurrences(tree), tree, _net(spark, sf_dir))
     return out.withColumn("is_candidate", F.col("occurrences") >= F.lit(detect.SCC_OCCURRENCE_THRESHOLD))
 
 
 def q_scc_set_members(spark, sf_dir):
-    return detect.set_members(_levels(spark, sf_dir))
+    return detect.set_members(_tree(spark, sf_dir))
 
 
 def q_wash_set_volume(spark, sf_dir):
-    lv = _levels(spark, sf_dir)
-    cands = detect.scc_candidates(detect.scc_occurrences(lv))
-    members = detect.set_members(lv).join(cands.select("set_key", "n_members"), ["set_key", "n_members"], "left_semi")
-    return detect.wash_set_volume(members, _mod_edges(spark, sf_dir, 20))
-
-
-def _matched_members(spark, sf_dir):
-    """Members of volume-matched candidate sets, written once: the set-edge
-    join reads them for both ends of every edge."""
-    matched, members = _matched(spark, sf_dir)
-    ok = matched.filter("volume_matched").select("set_key", "n_members")
-    return Scratch(spark, "matched").save(members.join(ok, ["set_key", "n_members"], "left_semi"), "members")
+    tree = _tree(spark, sf_dir)
+    return detect.wash_set_volume(_candidates(tree), tree)
 
 
 def q_wash_suspects(spark, sf_dir):
-    return detect.wash_suspects(_matched_members(spark, sf_dir))
+    tree = _tree(spark, sf_dir)
+    return detect.wash_suspects(tree, detect.matched_sets(tree, _net(spark, sf_dir)))
 
 
 def q_top_wash_trader(spark, sf_dir):
-    return detect.top_wash_trader(_matched_members(spark, sf_dir), _mod_edges(spark, sf_dir, 20))
+    tree = _tree(spark, sf_dir)
+    matched = detect.matched_sets(tree, _net(spark, sf_dir))
+    return detect.top_wash_trader(tree, matched, _edges(spark, sf_dir))
 
 
 def q_vertex_scc_counts(spark, sf_dir):
-    return detect.vertex_scc_counts(_levels(spark, sf_dir))
+    return detect.vertex_scc_counts(_tree(spark, sf_dir))
 
 
 def q_reciprocal_pairs(spark, sf_dir):
-    return detect.reciprocal_pairs(_mod_edges(spark, sf_dir, 40))
+    return detect.reciprocal_pairs(_edges(spark, sf_dir))
 
 
 def q_cycles_3(spark, sf_dir):
-    return cycles.cycles_3(_mod_edges(spark, sf_dir, 40))
+    return cycles.cycles_3(_edges(spark, sf_dir))
 
 
 def q_cycles_4(spark, sf_dir):
-    return cycles.cycles_4(_mod_edges(spark, sf_dir, 40))
+    return cycles.cycles_4(_edges(spark, sf_dir))
 
 
 # --- sinks: write a result and read it back ------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 # Settings the operators rely on; a cluster session should carry the same.
 DEFAULT_CONF = {
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

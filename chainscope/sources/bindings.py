@@ -123,14 +123,15 @@ def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transfers_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as transfers between per-day accounts (many accounts, some
-    self-trades)."""
+    """Events as transfers between per-day accounts of users of the same
+    hundred (accounts grow with the table, some self-trades)."""
     e = table(spark, sf_dir, "events")
     day = F.dayofmonth("ts").cast("string")
     return e.select(
         F.col("event_id").cast("string").alias("hash"),
-        F.concat(F.lit("u"), (F.col("user_id") % 100).cast("string"), F.lit("d"), day).alias("from_address"),
-        F.concat(F.lit("u"), _k(), F.lit("d"), day).alias("to_address"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("d"), day).alias("from_address"),
+        F.concat(F.lit("u"), (F.floor(F.col("user_id") / 100) * 100 + _k().cast("bigint")).cast("string"),
+                 F.lit("d"), day).alias("to_address"),
         _cents(F.col("value")).alias("value"),
         F.col("ts").alias("block_timestamp"),
         F.col("event_type").alias("token_type"),
@@ -138,28 +139,52 @@ def transfers_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRANSFERS_DAY_SQL = r"""SELECT CAST(event_id AS VARCHAR) AS hash,
-  'u' || CAST(user_id % 100 AS VARCHAR) || 'd' || CAST(day(ts) AS VARCHAR) AS from_address,
-  'u' || regexp_extract(props, '([0-9]+)', 1) || 'd' || CAST(day(ts) AS VARCHAR) AS to_address,
+  'u' || CAST(user_id AS VARCHAR) || 'd' || CAST(day(ts) AS VARCHAR) AS from_address,
+  'u' || CAST(user_id // 100 * 100 + CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS VARCHAR)
+    || 'd' || CAST(day(ts) AS VARCHAR) AS to_address,
   CAST(round(value * 100) AS DECIMAL(38,0)) AS value, ts AS block_timestamp, event_type AS token_type
   FROM events"""
 
 
-def transfers_mod(spark: SparkSession, sf_dir: str, accounts: int) -> DataFrame:
-    """Every event as a transfer among ``accounts`` accounts: a dense graph
-    whose edge weights grow with the table (many peeling levels)."""
+# Shape of the trading groups below: users side by side share a group, and
+# days a period.
+GROUP_USERS, PERIOD_DAYS, PERIODS = 5, 5, 6
+
+
+def transfers_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a transfer among accounts of one user and period, so
+    accounts, edges and components grow with the table.
+
+    Users trade within small groups, low numbers more, so edges repeat and
+    sets nest over many peeling rounds. One event in 34 goes to the next
+    group, in the first period also one to the group before: there components
+    run through many groups, elsewhere such edges close no loop. A third of
+    the groups moves a fixed amount, so balanced sets occur."""
     e = table(spark, sf_dir, "events")
+    period = F.floor(F.dayofmonth("ts") / PERIOD_DAYS) % PERIODS
+    group = F.floor(F.col("user_id") / GROUP_USERS)
+    shift = F.when(F.col("event_id") % 34 == 0, 1).when((F.col("event_id") % 34 == 17) & (period == 0), -1).otherwise(0)
+    k = _k().cast("bigint")
+    other = F.greatest(group + shift, F.lit(0)) * GROUP_USERS + F.floor(k * k * GROUP_USERS / 10000)
+
+    def account(user):
+        return F.concat(F.lit("u"), user.cast("bigint").cast("string"), F.lit("p"), period.cast("string"))
+
     return e.select(
         F.col("event_id").cast("string").alias("hash"),
-        F.concat(F.lit("a"), (F.col("user_id") % accounts).cast("string")).alias("from_address"),
-        F.concat(F.lit("a"), (_k().cast("bigint") % accounts).cast("string")).alias("to_address"),
-        _cents(F.col("value")).alias("value"),
+        account(F.col("user_id")).alias("from_address"),
+        account(other).alias("to_address"),
+        F.when(group % 3 == 1, F.lit(500).cast(WEI)).otherwise(_cents(F.col("value"))).alias("value"),
         F.col("ts").alias("block_timestamp"),
         F.col("event_type").alias("token_type"),
     )
 
 
-def transfers_mod_sql(accounts: int) -> str:
-    return rf"""SELECT CAST(event_id AS VARCHAR) AS hash, 'a' || CAST(user_id % {accounts} AS VARCHAR) AS from_address,
-  'a' || CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % {accounts} AS VARCHAR) AS to_address,
-  CAST(round(value * 100) AS DECIMAL(38,0)) AS value, ts AS block_timestamp, event_type AS token_type
-  FROM events"""
+TRANSFERS_GROUPS_SQL = rf"""SELECT CAST(event_id AS VARCHAR) AS hash,
+  'u' || user_id || 'p' || period AS from_address, 'u' || (greatest(user_id // {GROUP_USERS}
+    + CASE WHEN event_id % 34 = 0 THEN 1 WHEN event_id % 34 = 17 AND period = 0 THEN -1 ELSE 0 END, 0) * {GROUP_USERS}
+    + k * k * {GROUP_USERS} // 10000) || 'p' || period AS to_address,
+  CAST(CASE WHEN user_id // {GROUP_USERS} % 3 = 1 THEN 500 ELSE round(value * 100) END AS DECIMAL(38,0)) AS value,
+  ts AS block_timestamp, event_type AS token_type
+  FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
+        day(ts) // {PERIOD_DAYS} % {PERIODS} AS period FROM events)"""

@@ -1,64 +1,84 @@
-import numpy as np
-from hypothesis import given, settings
-from hypothesis import strategies as st
+import random
+from decimal import Decimal
 
-from chainscope.operators import scc
-from chainscope.operators.scc_local import tarjan_members
+from chainscope.operators import detect, peeling, scc
 
 
 def _brute_members(edges):
     verts = sorted({v for e in edges for v in e})
-    reach = {v: {v} for v in verts}
-    changed = True
-    while changed:
-        changed = False
-        for s, d in edges:
-            for v in verts:
-                if s in reach[v] and d not in reach[v]:
-                    reach[v].add(d)
-                    changed = True
     out = {}
+    adj = {v: {d for s, d in edges if s == v} for v in verts}
+
+    def reach(v):
+        seen, todo = {v}, [v]
+        while todo:
+            for w in adj[todo.pop()] - seen:
+                seen.add(w)
+                todo.append(w)
+        return seen
+
+    reached = {v: reach(v) for v in verts}
     for v in verts:
-        comp = [u for u in verts if u in reach[v] and v in reach[u]]
+        comp = [u for u in reached[v] if v in reached[u]]
         if len(comp) >= 2:
             out[v] = min(comp)
     return out
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 11)), max_size=40))
-def test_tarjan_matches_mutual_reachability(pairs):
-    edges = [(s, d) for s, d in pairs if s != d]
-    if not edges:
-        return
-    v, r = tarjan_members(np.array([e[0] for e in edges]), np.array([e[1] for e in edges]))
-    assert dict(zip(v.tolist(), r.tolist())) == _brute_members(edges)
+def test_components_match_mutual_reachability(spark):
+    """Many small random graphs at once, a ring and a path."""
+    rng = random.Random(4)
+    rows, want = [], {}
+    for lvl in range(60):
+        n = rng.randint(2, 14)
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(1, 2 * n))]
+        edges = [(a, b) for a, b in edges if a != b]
+        rows += [(lvl, a, b) for a, b in edges]
+        want.update({(lvl, v): r for v, r in _brute_members(edges).items()})
+    rows += [(100, i, (i + 1) % 40) for i in range(40)] + [(101, i, i + 1) for i in range(30)]
+    want.update({(100, i): 0 for i in range(40)})
+    got = scc.scc_members(spark, spark.createDataFrame(rows, "lvl LONG, src LONG, dst LONG")).collect()
+    assert {(r.lvl, r.v): r.root for r in got} == want and len(got) == len(want)
+
+
+def test_id_mix_is_one_to_one(spark):
+    ids = [0, 1, -1, 2**63 - 1, -2**63, 12345, 8589934592]
+    df = spark.createDataFrame([(i, i) for i in ids], "a LONG, b LONG")
+    back = scc._mix(scc._mix(df, ["a"]), ["a"], back=True)
+    assert all(r.a == r.b for r in back.collect())
 
 
-def test_sets_refine_from_level_to_level(spark):
-    import random
+def test_tree_matches_the_peel_loop(spark):
+    """Sets, rounds, members, edges and sums against the literal loop, with
+    weights beyond one step of the division."""
     rng = random.Random(3)
-    verts = [f"x{i:02d}" for i in range(25)]
-    triples = {}
-    for _ in range(120):
+    verts = [f"x{i:02d}" for i in range(22)]
+    weight = {}
+    for _ in range(110):
         a, b = rng.sample(verts, 2)
-        triples[(a, b)] = rng.randint(1, 6)
-    df = spark.createDataFrame([(a, b, w) for (a, b), w in triples.items()], "src STRING, dst STRING, weight BIGINT")
-    rows = scc.peel_levels(spark, df).collect()
-    by_level = {}
-    for r in rows:
-        by_level.setdefault(r.level_weight, {}).setdefault(r.root, set()).add(r.address)
-    weights = sorted(by_level)
-    assert len(weights) >= 2
-    for lo, hi in zip(weights, weights[1:]):
-        for members in by_level[hi].values():
-            assert any(members <= outer for outer in by_level[lo].values())
-    # every peel round r (edges with weight >= r) has exactly the sets of the
-    # level that stands for it: the smallest reported level weight >= r
-    for r in range(1, max(triples.values()) + 1):
-        level_edges = [(a, b) for (a, b), x in triples.items() if x >= r]
-        brute = _brute_members(level_edges)
-        stand = [w for w in weights if w >= r]
-        sets = by_level[stand[0]] if stand else {}
-        got = {a: min(members) for members in sets.values() for a in members}
-        assert got == brute, r
+        weight[a, b] = rng.choice([1, 2, 3, 5, 17, 18, 40])
+    df = spark.createDataFrame([(a, b, w, Decimal(10 * w)) for (a, b), w in weight.items()],
+                               "src STRING, dst STRING, weight BIGINT, value DECIMAL(38,0)")
+    rounds = {}
+    for r in range(1, max(weight.values()) + 1):
+        by_root = {}
+        for v, root in _brute_members([e for e, w in weight.items() if w >= r]).items():
+            by_root.setdefault(root, set()).add(v)
+        for members in by_root.values():
+            rounds.setdefault(frozenset(members), []).append(r)
+    tree = peeling.merge_tree(spark, df)
+    name = {m: (min(m), len(m)) for m in rounds}
+    occ = {(r.set_key, r.n_members): (r.occurrences, r.first_round, r.last_round) for r in detect.scc_occurrences(tree).collect()}
+    assert occ == {name[m]: (len(rs), min(rs), max(rs)) for m, rs in rounds.items()} and len(rounds) > 4
+    members = [tuple(r) for r in detect.set_members(tree).collect()]
+    assert sorted(members) == sorted((*name[m], v) for m in rounds for v in m)
+    inside = {m: [w for (a, b), w in weight.items() if a in m and b in m] for m in rounds}
+    volume = {tuple(r)[:2]: tuple(r)[2:] for r in detect.wash_set_volume(detect.scc_occurrences(tree), tree).collect()}
+    assert volume == {name[m]: (len(ws), sum(ws), Decimal(10 * sum(ws))) for m, ws in inside.items()}
+    worst = {(r.set_key, r.n_members): int(r.max_member_net)
+             for r in detect.member_volume_match(detect.scc_occurrences(tree), tree).collect()}
+    assert worst == {name[m]: max(abs(sum(10 * w * ((b == v) - (a == v)) for (a, b), w in weight.items() if a in m and b in m))
+                                  for v in m) for m in rounds}
+    counts = {r.address: (r.n_rounds, r.n_sets) for r in detect.vertex_scc_counts(tree).collect()}
+    assert counts == {v: (sum(len(rs) for m, rs in rounds.items() if v in m), sum(v in m for m in rounds))
+                      for m in rounds for v in m}

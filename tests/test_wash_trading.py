@@ -2,7 +2,7 @@ from decimal import Decimal
 
 import pytest
 
-from chainscope.operators import detect, graph, scc, transfers
+from chainscope.operators import detect, graph, peeling, scc, transfers
 from conftest import SAMPLE_TX, WASHED_TX, typed
 
 LIMIT = 1.976249070762444e19
@@ -62,14 +62,13 @@ def _edges(spark, triples):
                                  "src STRING, dst STRING, weight BIGINT, value DECIMAL(38,0)")
 
 
-def _occurrences(spark, triples, limit):
-    lv = scc.peel_levels(spark, _edges(spark, triples), local_edge_limit=limit)
-    occ = detect.scc_occurrences(lv)
-    members = detect.set_members(lv)
+def _occurrences(spark, triples):
+    tree = peeling.merge_tree(spark, _edges(spark, triples))
     sets = {}
-    for r in members.collect():
+    for r in detect.set_members(tree).collect():
         sets.setdefault((r.set_key, r.n_members), set()).add(r.address)
-    return sorted((tuple(sorted(sets[(r.set_key, r.n_members)])), r.occurrences) for r in occ.collect())
+    return sorted((tuple(sorted(sets[(r.set_key, r.n_members)])), r.occurrences)
+                  for r in detect.scc_occurrences(tree).collect())
 
 
 HAND_CASES = [
@@ -90,40 +89,25 @@ def _combined(cases):
     return triples, sorted(expected)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0, 3], ids=["one-task-finish", "distributed-rounds", "hybrid"])
-def test_peeling_hand_cases(spark, limit):
-    ring = [(f"v{i:02d}", f"v{(i + 1) % 8:02d}", 1) for i in range(8)]
-    triples, expected = _combined(HAND_CASES + [("w", ring, [({f"v{i:02d}" for i in range(8)}, 1)])])
-    assert _occurrences(spark, triples, limit) == expected
-
-
-def test_ring_of_fifty_is_one_set(spark):
+def test_peeling_hand_cases(spark):
     ring = [(f"v{i:02d}", f"v{(i + 1) % 50:02d}", 1) for i in range(50)]
-    got = _occurrences(spark, ring, 1_000_000)
-    assert got == [(tuple(f"v{i:02d}" for i in range(50)), 1)]
+    deep = [("a", "b", 40), ("b", "a", 33), ("b", "c", 20), ("c", "a", 17)]
+    triples, expected = _combined(HAND_CASES + [("w", ring, [({f"v{i:02d}" for i in range(50)}, 1)]),
+                                                ("x", deep, [({"a", "b"}, 16), ({"a", "b", "c"}, 17)])])
+    assert _occurrences(spark, triples) == expected
 
 
 def test_washed_sample_loop_occurs_once_below_threshold(spark):
     kept = transfers.without_self_trades(typed(spark, WASHED_TX))
-    lv = scc.peel_levels(spark, graph.graph_edges(kept))
-    occ = detect.scc_occurrences(lv).collect()
-    assert [(r.set_key, r.n_members, r.occurrences) for r in occ] == [("3f2f38", 3, 1)]
-    assert detect.scc_candidates(detect.scc_occurrences(lv)).count() == 0
+    occ = detect.scc_occurrences(peeling.merge_tree(spark, graph.graph_edges(kept)))
+    assert [(r.set_key, r.n_members, r.occurrences) for r in occ.collect()] == [("3f2f38", 3, 1)]
+    assert detect.scc_candidates(occ).count() == 0
 
 
 def test_sample_has_no_loops(spark):
     kept = transfers.without_self_trades(typed(spark, SAMPLE_TX))
-    assert scc.peel_levels(spark, graph.graph_edges(kept)).count() == 0
-
-
-def test_volume_match_closed_set_balances(spark):
-    # a <-> b trade 3 times each way with equal value: net 0, matched.
-    rows = [(f"h{i}", s, d, "100", str(1438919175 + i)) for i, (s, d) in enumerate([("a", "b"), ("b", "a")] * 3)]
-    kept = transfers.without_self_trades(typed(spark, rows))
-    lv = scc.peel_levels(spark, graph.graph_edges(kept))
-    cands = detect.scc_candidates(detect.scc_occurrences(lv))
-    vm = detect.volume_match(cands, detect.set_members(lv), transfers.net_positions(kept)).collect()
-    assert [(r.set_key, r.occurrences, int(r.net_sum), r.volume_matched) for r in vm] == [("a", 3, 0, True)]
+    tree = peeling.merge_tree(spark, graph.graph_edges(kept))
+    assert tree.sets.count() == tree.accounts.count() == 0
 
 
 def test_reciprocal_pairs(spark):
@@ -143,94 +127,39 @@ def test_graph_vertices_keep_min_token(spark):
     assert graph.vertices_with_edges(graph.graph_vertices(t), peeled).count() == 0
 
 
-def test_scc_result_independent_of_partitioning(spark):
-    triples = [(f"n{i}", f"n{(i * 7 + 3) % 23}", 1 + i % 3) for i in range(23)] + \
-              [(f"n{(i * 5) % 23}", f"n{i}", 2) for i in range(23)]
-    base = _occurrences(spark, triples, 1_000_000)
-    e = _edges(spark, triples).repartition(7)
-    lv = scc.peel_levels(spark, e)
-    assert sorted((r.set_key, r.occurrences) for r in detect.scc_occurrences(lv).collect()) == \
-        sorted((min(s), n) for s, n in base)
-
-
-def test_random_multilevel_graph_same_on_every_path(spark):
-    import random
-    rng = random.Random(11)
-    verts = [f"r{i:02d}" for i in range(30)]
-    triples = {}
-    for _ in range(90):
-        a, b = rng.sample(verts, 2)
-        triples[(a, b)] = rng.choice([1, 1, 2, 3, 5])
-    # a hub that sends to and receives from many accounts
-    for v in verts[1:12]:
-        triples[("r00", v)] = 4
-        triples[(v, "r00")] = rng.choice([1, 4])
-    edges = [(a, b, w) for (a, b), w in triples.items()]
-    results = [_occurrences(spark, edges, limit) for limit in (1_000_000, 0, 12)]
-    assert results[0] == results[1] == results[2]
-    assert results[0]
-
-
-def test_member_volume_match(spark):
-    # set {a, b}: balanced both ways; set {c, d}: c sends far more than it gets back
+def test_balance_and_trader_of_two_sets(spark):
+    # {a, b} is balanced both ways; c sends d far more than it gets back, and e far more to itself in a loop of zeros
     rows = []
     for i in range(3):
         rows += [(f"ab{i}", "a", "b", "100", "1"), (f"ba{i}", "b", "a", "100", "1"),
-                 (f"cd{i}", "c", "d", "1000", "1"), (f"dc{i}", "d", "c", "10", "1")]
+                 (f"cd{i}", "c", "d", "1000", "1"), (f"dc{i}", "d", "c", "10", "1"),
+                 (f"pq{i}", "p", "q", "0", "1"), (f"qp{i}", "q", "p", "0", "1")]
     kept = transfers.without_self_trades(typed(spark, rows))
     edges = graph.graph_edges(kept)
-    lv = scc.peel_levels(spark, edges)
-    cands = detect.scc_candidates(detect.scc_occurrences(lv))
-    got = {r.set_key: (int(r.inner_volume), int(r.max_member_net), r.member_matched)
-           for r in detect.member_volume_match(cands, detect.set_members(lv), edges).collect()}
-    assert got == {"a": (600, 0, True), "c": (3030, 2970, False)}
+    tree, net = peeling.merge_tree(spark, edges), transfers.net_positions(kept)
+    cands = detect.scc_candidates(detect.scc_occurrences(tree))
+    member = {r.set_key: (int(r.inner_volume), int(r.max_member_net), r.member_matched)
+              for r in detect.member_volume_match(cands, tree).collect()}
+    assert member == {"a": (600, 0, True), "c": (3030, 2970, False), "p": (0, 0, True)}
+    volume = {r.set_key: (int(r.net_sum), r.net_mean, int(r.abs_sum), r.volume_matched)
+              for r in detect.volume_match(cands, tree, net).collect()}
+    assert volume == {"a": (0, 0.0, 0, True), "c": (0, 0.0, 5940, True), "p": (0, 0.0, 0, True)}
+    matched = detect.matched_sets(tree, net)
+    share = {r.address: (int(r.wash_volume), r.wash_share) for r in
+             detect.wash_volume_by_account(tree, matched, edges).collect()}
+    assert share["c"] == (3030, 1.0) and share["p"] == (0, None) and len(share) == 6
+    assert [r.address for r in detect.top_wash_trader(tree, matched, edges).collect()] == ["c"]
 
 
 def test_empty_graph(spark):
     rows = [("h1", "a", "a", "5", "1"), ("h2", "b", "b", "7", "2")]  # self-trades only
-    kept = transfers.without_self_trades(typed(spark, rows))
-    edges = graph.graph_edges(kept)
-    assert scc.peel_levels(spark, edges).count() == 0
+    edges = graph.graph_edges(transfers.without_self_trades(typed(spark, rows)))
     assert scc.scc_components(spark, edges).count() == 0
-    assert detect.scc_occurrences(scc.peel_levels(spark, edges)).count() == 0
-
-
-def test_hot_key_split_gives_same_sets(spark, monkeypatch):
-    import random
-    rng = random.Random(21)
-    verts = [f"k{i:02d}" for i in range(20)]
-    triples = {}
-    for _ in range(50):
-        a, b = rng.sample(verts, 2)
-        triples[(a, b)] = rng.randint(1, 3)
-    for v in verts[1:]:  # k00 is a hub on both sides
-        triples[("k00", v)] = 2
-        triples[(v, "k00")] = rng.randint(1, 3)
-    edges = [(a, b, w) for (a, b), w in triples.items()]
-
-    def components():
-        return sorted(tuple(r) for r in scc.scc_components(spark, _edges(spark, edges)).collect())
-
-    plain, plain_comp = _occurrences(spark, edges, 1_000_000), components()
-    monkeypatch.setattr(scc, "HOT_KEY_EDGES", 2)
-    _, size = scc.vertex_ids(spark, _edges(spark, edges), scc.Scratch(spark, "t"), measure_weight=True)
-    assert size["hot"] > 0
-    assert _occurrences(spark, edges, 1_000_000) == plain
-    assert components() == plain_comp and plain_comp
-
-
-def test_zero_value_loop_has_null_share(spark):
-    rows = [(f"z{i}", s_, d_, "0", "1") for i, (s_, d_) in enumerate([("p", "q"), ("q", "p")] * 3)]
-    kept = transfers.without_self_trades(typed(spark, rows))
-    edges = graph.graph_edges(kept)
-    lv = scc.peel_levels(spark, edges)
-    members = detect.set_members(lv)
-    got = {r.address: (int(r.wash_volume), r.wash_share)
-           for r in detect.wash_volume_by_account(members, edges).collect()}
-    assert got == {"p": (0, None), "q": (0, None)}
+    tree = peeling.merge_tree(spark, edges)
+    assert detect.scc_occurrences(tree).count() == detect.set_members(tree).count() == 0
 
 
 def test_round_budget_raises_instead_of_partial_result(spark):
     ring = [(f"v{i}", f"v{(i + 1) % 6}", 1) for i in range(6)]
     with pytest.raises(scc.RoundLimitExceeded):
-        scc.peel_levels(spark, _edges(spark, ring), max_rounds=2, local_edge_limit=0)
+        peeling.merge_tree(spark, _edges(spark, ring), max_rounds=2)
