@@ -40,9 +40,11 @@ def int_text_or_null(c: Column) -> Column:
     return F.when(is_int_text(c), F.trim(c).try_cast("bigint"))
 
 
-def wei(c: Column) -> Column:
-    """Strict conversion to DECIMAL(38,0): fails the job on bad input (ANSI)."""
-    return c.cast(WEI)
+def strict_int(c: Column, dtype: str = WEI) -> Column:
+    """Text -> whole number; text that is none fails the job, as does a number
+    out of range (ANSI). NULL stays NULL."""
+    bad = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast(dtype)
+    return F.when(c.isNull() | is_int_text(c), F.trim(c).cast(dtype)).otherwise(bad)
 
 
 def epoch_to_date(c: Column) -> Column:

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainscope.functions.columns import strict_int
 from chainscope.operators.ranking import sum_by_key, top_k
 
 
 def miner_block_size(blocks: DataFrame, miner_col: str = "miner", size_col: str = "size") -> DataFrame:
     """Total block size per miner (miner, total_size); blocks without a miner
-    are a group of their own, and a size that is no integer fails the job."""
-    sized = blocks.select(miner_col, F.col(size_col).cast("bigint").alias(size_col)).filter(
-        F.col(size_col).isNotNull())
+    are a group of their own. A size given as text that is no whole number
+    fails the job; blocks without a size are left out."""
+    text = dict(blocks.dtypes)[size_col] == "string"
+    size = strict_int(F.col(size_col), "bigint") if text else F.col(size_col).cast("bigint")
+    sized = blocks.select(miner_col, size.alias(size_col)).filter(F.col(size_col).isNotNull())
     return sum_by_key(sized, miner_col, size_col, out_key="miner", out_value="total_size",
                       keep_null=True)
 

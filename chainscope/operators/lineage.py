@@ -81,6 +81,14 @@ class Scratch:
                 hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+# Called before the scratch tables go, to drop what still refers to them.
+_ON_CLEAR: list = []
+
+
+def on_clear(callback) -> None:
+    _ON_CLEAR.append(callback)
+
+
 def snapshot(spark: SparkSession, path: str) -> tuple:
     """The files of a table with their lengths and modification times."""
     sc = spark.sparkContext
@@ -93,6 +101,8 @@ def clear_scratch(spark: SparkSession) -> int:
     """Delete every intermediate table this package wrote under the
     checkpoint folder (call once the results that read them are written).
     Returns the number of folders removed."""
+    for callback in _ON_CLEAR:
+        callback()
     sc = spark.sparkContext
     jvm = sc._jvm
     base = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))

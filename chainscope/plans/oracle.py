@@ -218,6 +218,8 @@ SELECT c.*, vol.inner_volume, worst.max_member_net,
 
 ORACLE["read_ledger_csv"] = ORACLE["read_ledger_csv_no_header"] = ORACLE["clean_transactions"]
 ORACLE["read_ledger_lines"] = f"SELECT * FROM ({ORACLE['clean_transactions']}) WHERE CAST(hash AS BIGINT) % 23 <> 0"
+ORACLE["result_array"] = f"""SELECT CAST(row_number() OVER (ORDER BY month_start) - 1 AS INTEGER) AS pos, month, n_transactions
+  FROM ({ORACLE['monthly_tx_count']}) ORDER BY pos LIMIT 100"""
 ORACLE["first_months"] = f"SELECT * FROM ({ORACLE['monthly_tx_count']}) ORDER BY month_start LIMIT 12"
 
 ORACLE["monthly_stream_count_sum"] = ORACLE["monthly_count_sum"]

@@ -136,6 +136,7 @@ def _edges(spark, sf_dir):
 # The merge tree of a session's input, named by the input's files with their
 # sizes and times, so that a rewritten table gets a tree of its own.
 _TREES: dict[tuple, peeling.MergeTree] = {}
+lineage.on_clear(_TREES.clear)
 
 
 def _tree(spark, sf_dir):
@@ -265,6 +266,14 @@ def q_result_roundtrip_text(spark, sf_dir):
     return sinks.read_text_result(spark, path, MONTHLY_SCHEMA)
 
 
+def q_result_array(spark, sf_dir):
+    """The first 100 months with their counts, stored as one JSON array of
+    pairs and read back by position."""
+    rows = q_monthly_tx_count(spark, sf_dir).orderBy("month_start").select("month", "n_transactions")
+    path = sinks.write_json_array(rows, _result_folder(spark, "array"), limit=100)
+    return sinks.read_json_array(spark, path, {"month": "string", "n_transactions": "bigint"})
+
+
 def q_first_months(spark, sf_dir):
     """The first 12 months, stored, read back and ordered by their labels."""
     path = sinks.write_json(q_monthly_tx_count(spark, sf_dir), _result_folder(spark, "first"), limit=12)
@@ -351,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "reciprocal_pairs": q_reciprocal_pairs,
     "cycles_3": q_cycles_3,
     "cycles_4": q_cycles_4,
+    "result_array": q_result_array,
     "first_months": q_first_months,
     "read_ledger_csv": q_read_ledger_csv,
     "read_ledger_csv_no_header": q_read_ledger_csv_no_header,

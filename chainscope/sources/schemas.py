@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from chainscope.functions.columns import int_text_or_null, wei_or_null
+from chainscope.functions.columns import int_text_or_null, wei_or_null, strict_int
 
 # Fixed column orders of the public ledger export (values that must match).
 TRANSACTION_COLUMNS = [
@@ -85,13 +85,17 @@ def typed_contracts(df: DataFrame) -> DataFrame:
 
 
 def typed_blocks(df: DataFrame) -> DataFrame:
-    bigints = {"number", "size", "gas_limit", "gas_used", "timestamp", "transaction_count"}
+    """Typed columns; a size that is no whole number fails the job, other bad
+    numbers become NULL."""
+    bigints = {"number", "gas_limit", "gas_used", "timestamp", "transaction_count"}
     weis = {"difficulty", "total_difficulty", "base_fee_per_gas"}
     cols = []
     for name in df.columns:
         c = F.col(name)
         if name in bigints:
             cols.append(int_text_or_null(c).alias(name))
+        elif name == "size":
+            cols.append(strict_int(c, "bigint").alias(name))
         elif name in weis:
             cols.append(wei_or_null(c).alias(name))
         else:

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from chainscope.operators import blocks, contracts, cycles, detect, overhead, scc, timeseries, transfers
+from chainscope.operators import blocks, contracts, cycles, detect, overhead, peeling, scc, timeseries, transfers
 from conftest import typed
 
 EDGE_SCHEMA = "src STRING, dst STRING, weight BIGINT, value DECIMAL(38,0)"
@@ -29,14 +29,13 @@ def test_empty_graph_paths(spark):
     assert cycles.cycles_3(e).count() == 0
     assert cycles.cycles_4(e).count() == 0
     assert detect.reciprocal_pairs(e).count() == 0
-    for limit in (1_000_000, 0):
-        assert scc.scc_components(spark, e, local_edge_limit=limit).count() == 0
-        assert scc.peel_levels(spark, e, local_edge_limit=limit).count() == 0
+    assert scc.scc_components(spark, e).count() == 0
+    assert peeling.merge_tree(spark, e).sets.count() == 0
 
 
-def test_no_cycles_on_distributed_path(spark):
+def test_no_cycles(spark):
     e = spark.createDataFrame([("a", "b", 2, Decimal(1)), ("b", "c", 1, Decimal(1))], EDGE_SCHEMA)
-    assert scc.peel_levels(spark, e, local_edge_limit=0).count() == 0
+    assert peeling.merge_tree(spark, e).sets.count() == 0
 
 
 def test_clear_scratch_then_query_again(spark):
