@@ -22,7 +22,9 @@ lines AS (
     SELECT rid, x, length(regexp_replace(x, '{_WS}', '', 'g')) AS chars,
            len(list_filter(regexp_split_to_array(x, '{_WS}+'), lambda y: y <> '')) AS n,
            length(x) - length(translate(x, '{SYMBOLS}', '')) AS symbols,
-           length(x) - length(translate(x, '|»›', '')) AS bars
+           length(x) - length(translate(x, '|»›', '')) AS bars,
+           chars - length(regexp_replace(regexp_replace(x, '(?i)(?:{"|".join(BOILERPLATE)})', '', 'g'),
+               '{_WS}', '', 'g')) AS phrases
     FROM (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d)),
 failed AS (
     SELECT rid, sum(chars) AS lost, count(*) AS n FROM lines
@@ -31,7 +33,7 @@ failed AS (
         AND symbols <= CAST(0.3 AS DOUBLE) * chars
         AND NOT (bars >= 2 AND n <= 3 * (bars + 1))
         AND NOT regexp_matches(x, '(?i)^{_WS}*(?:(?:{"|".join(MENU_WORDS)}){_WS}*)+$')
-        AND NOT regexp_matches(x, '(?i){"|".join(BOILERPLATE)}'))
+        AND NOT (phrases > 0 AND phrases >= CAST(0.3 AS DOUBLE) * chars))
     GROUP BY rid),
 dups AS (
     SELECT rid, count(*) - count(DISTINCT x) AS n FROM lines WHERE chars > 0 GROUP BY rid),

@@ -77,6 +77,15 @@ def test_quality_lines(spark):
     assert out == {1: body, 3: body}
 
 
+def test_quality_keeps_long_lines_that_mention_a_phrase(spark):
+    line = " ".join(f"word{i}" for i in range(6000)) + " powered by steam."
+    short = "Powered by Steam, all rights reserved."
+    rows = [(1, line), (2, line + "\n" + short), (3, line + "\nA privacy policy of two hundred pages was read by nobody there.")]
+    got = {r.doc_id: r for r in quality_rules.annotate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[i].kept, got[i].clean_text) for i in (1, 2, 3)] == [(True, line), (True, line), (True, rows[2][1])]
+    assert got[2].lost_chars == len(short.replace(" ", ""))
+
+
 def brute_fp(t):
     w = words(lower(t or ""))
     if not w:
