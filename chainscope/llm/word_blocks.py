@@ -1,10 +1,15 @@
-"""Blocks of documents with their distinct words.
+"""Blocks of documents with their distinct words, and one trip of the words.
 
 A block is a run of documents read by one task, closed once it holds
-``block_chars`` code points (a longer text is a block of its own). Per block
-the task emits the distinct words once, and every document as a sequence of
-indices into that list. A word that fills a third of the corpus is therefore
-one row per block in any later shuffle, not one per occurrence.
+``block_chars`` code points (a longer text is a block of its own). It keeps
+its distinct words once, and every document as a sequence of indices into
+that list. A word that fills a third of the corpus is therefore sent once per
+block, not once per occurrence.
+
+:func:`ask` deals the words of every block to buckets by a hash of the word,
+packed into one row per block and bucket; a bucket's task meets each distinct
+word of the corpus, and only those of its bucket. Its answers go back to the
+blocks, packed likewise, where :func:`assemble` puts them in order.
 
 The table is written to the checkpoint folder before anything joins on it:
 block ids are random, so only the committed rows may be used.
@@ -19,74 +24,109 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from chainscope.operators.lineage import Scratch
 
 BLOCK_CHARS = 12_000_000
-SCHEMA = "block string, ids array<long>, sizes array<long>, extra array<long>, notes array<double>, codes binary, words array<binary>, " \
-         "counts array<long>"
-
-
-def build(docs: DataFrame, scratch: Scratch, split: Callable[[str], list[bytes]],
-          extra: Callable[[object], int] = lambda doc_id: 0,
-          noter: Callable[[], Callable[[str], float]] = lambda: lambda text: 0.0, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` is (doc_id, text). ``split`` gives the words of a text.
-    ``extra(doc_id)`` is a whole number kept per document; ``counts`` holds
-    each word's occurrences in the documents whose number is 1. ``noter()``
-    is called once per task and gives the function behind ``notes``, a number
-    taken from the whole text of each document."""
-    def run(batches):
-        note = noter()
+SCHEMA = "block long, keys array<string>, sizes array<long>, codes binary, words binary"
 
-        def fresh():
-            return {}, [], [], [], [], [], 0
 
-        def close(index, ids, sizes, extras, notes, codes, _):
-            flat = np.concatenate(codes) if codes else np.empty(0, dtype=np.uint32)
-            mask = np.repeat(np.array(extras) == 1, np.array(sizes))
-            return pd.DataFrame({
-                "block": [uuid.uuid4().hex], "ids": [ids], "sizes": [sizes], "extra": [extras], "notes": [notes],
-                "codes": [zlib.compress(flat.tobytes(), 1)], "words": [list(index)],
-                "counts": [np.bincount(flat[mask], minlength=len(index)).tolist()]})
+def pack_numbers(x: np.ndarray) -> bytes:
+    """Whole numbers below 2^32, compressed by byte planes."""
+    return zlib.compress(np.ascontiguousarray(x, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
-        state = fresh()
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
-                index, ids, sizes, extras, notes, codes, chars = state
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                code = np.array([index.setdefault(w, len(index)) for w in split(text)], dtype=np.uint32)
-                ids.append(doc_id)
-                sizes.append(len(code))
-                extras.append(extra(doc_id))
-                notes.append(note(text))
-                codes.append(code)
-                state = (index, ids, sizes, extras, notes, codes, chars + len(text))
-                if state[-1] >= block_chars:
-                    yield close(*state)
-                    state = fresh()
-        if state[1]:
-            yield close(*state)
 
-    return scratch.save(docs.mapInPandas(run, SCHEMA), "blocks")
+def unpack_numbers(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
 
+def pack_words(words: list[bytes]) -> bytes:
+    """Byte strings after their number and their lengths."""
+    head = np.array([len(words), *map(len, words)], dtype="<u4").tobytes()
+    return zlib.compress(head + b"".join(words), 1)
 
-def block_words(blocks: DataFrame) -> DataFrame:
-    """(block, i, word, n): one row per distinct word of a block."""
-    return blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")) \
-        .select("block", "i", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
 
+def unpack_words(raw: bytes) -> list[bytes]:
+    raw = zlib.decompress(raw)
+    n = int.from_bytes(raw[:4], "little")
+    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, dtype="<u4", count=n, offset=4), dtype=np.int64)
+    starts = np.concatenate([[4 + 4 * n], ends[:-1]]) if n else ends
+    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
-def with_dictionary(blocks: DataFrame, values: DataFrame) -> DataFrame:
-    """Bring ``values`` (block, i, v) back to their blocks as one array per
-    block, in the order of the block's words (a block's words are bounded by
-    its code points)."""
-    got = values.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("d"))
-    return blocks.select("block", "ids", "sizes", "extra", "notes", "codes") \
-        .join(got, "block", "left").select("ids", "sizes", "extra", "notes", "codes", F.col("d.v").alias("dict"))
+
+def build(docs: DataFrame, scratch: Scratch, split: Callable[[str], list[str]],
+          block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Blocks of (key string, text); ``split`` gives the words of a text."""
+    def run(batches):
+        def close(index, keys, codes):
+            return pd.DataFrame({
+                "block": [uuid.uuid4().int >> 65], "keys": [keys], "sizes": [[len(c) for c in codes]],
+                "codes": [pack_numbers(np.concatenate(codes))],
+                "words": [pack_words([w.encode("utf-8", "replace") for w in index])]})
+
+        index, keys, codes, chars = {}, [], [], 0
+        for batch in batches:
+            for key, text in zip(batch["key"], batch["text"]):
+                keys.append(key)
+                codes.append(np.array([index.setdefault(w, len(index)) for w in split(text)], dtype="<u4"))
+                chars += len(text) + 64
+                if chars >= block_chars:
+                    yield close(index, keys, codes)
+                    index, keys, codes, chars = {}, [], [], 0
+        if keys:
+            yield close(index, keys, codes)
+    return scratch.save(docs.mapInPandas(run, SCHEMA), "blocks")
 
 
-def doc_codes(row) -> list[np.ndarray]:
-    """Word indices of each document of a block row."""
-    flat = np.frombuffer(zlib.decompress(row.codes), dtype=np.uint32)
-    return np.split(flat, np.cumsum(np.asarray(row.sizes, dtype=np.int64))[:-1])
+def bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) % buckets
+
+
+def bucket_count(blocks: DataFrame) -> int:
+    """Distinct words grow slower than the text, so the buckets do too: a
+    bucket's words stay about as many, however many blocks there are."""
+    return max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), round(blocks.count() ** 0.75), 1)
+
+
+def ask(blocks: DataFrame, buckets: int, answer: Callable[[], Callable[[list[bytes]], bytes]]) -> DataFrame:
+    """(block, bucket, reply): ``answer()`` is called once per bucket and
+    gives the function from a request's words to its packed reply."""
+    def deal(batches):
+        for b in batches:
+            for block, raw in zip(b["block"], b["words"]):
+                words = unpack_words(raw)
+                of = bucket_of(words, buckets)
+                order = np.argsort(of, kind="stable")
+                cuts = np.searchsorted(of[order], np.arange(buckets + 1))
+                found = np.flatnonzero(np.diff(cuts))
+                yield pd.DataFrame({
+                    "block": block, "bucket": found,
+                    "words": [pack_words([words[i] for i in order[cuts[k]:cuts[k + 1]]]) for k in found]})
+
+    def reply(batches):
+        current, fn = None, None
+        for b in batches:
+            out = []
+            for bucket, raw in zip(b["bucket"], b["words"]):
+                if bucket != current:
+                    current, fn = bucket, answer()
+                out.append(fn(unpack_words(raw)))
+            yield pd.DataFrame({"block": b["block"], "bucket": b["bucket"], "reply": out})
+
+    asked = blocks.select("block", "words").mapInPandas(deal, "block long, bucket long, words binary")
+    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket") \
+        .mapInPandas(reply, "block long, bucket long, reply binary")
+
+
+def assemble(blocks: DataFrame, replies: DataFrame, buckets: int, emit: Callable, schema: str) -> DataFrame:
+    """``emit(keys, codes per document, replies in the order of the buckets,
+    position of each word's answer in them)`` for every block, as a frame."""
+    def run(block, got):
+        row = block.iloc[0]
+        words = unpack_words(row.words)
+        place = np.empty(len(words), dtype=np.int64)
+        place[np.argsort(bucket_of(words, buckets), kind="stable")] = np.arange(len(words))
+        codes = np.split(unpack_numbers(row.codes), np.cumsum(np.asarray(row["sizes"], dtype=np.int64))[:-1])
+        return emit(list(row["keys"]), codes, got.sort_values("bucket")["reply"].tolist(), place)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, schema)

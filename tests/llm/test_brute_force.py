@@ -240,7 +240,9 @@ def test_bpe(spark, docs, texts):
         ids = enc.encode_ordinary(t or "")
         want[(i, len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(),
               hashlib.sha256((t or "").encode()).hexdigest())] += 1
-    assert as_set(byte_bpe.digests(spark, docs).collect(), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    for size in (12_000_000, 3_000):  # one block a task, and many
+        got = byte_bpe.digests(spark, docs, block_chars=size).collect()
+        assert as_set(got, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
     ids = byte_bpe.encode(spark, docs).filter("doc_id IN (900008, 900002)").selectExpr("doc_id AS key", "token_ids")
     back = {r.key: bytes(r.decoded).decode() for r in byte_bpe.decode(spark, ids).collect()}
     assert back == {900008: dict(EDGE)[900008], 900002: ""}
