@@ -17,6 +17,7 @@ block ids are random, so only the committed rows may be used.
 
 from __future__ import annotations
 
+import struct
 import uuid
 import zlib
 from collections.abc import Callable
@@ -32,27 +33,41 @@ SCHEMA = "block long, keys array<string>, sizes array<long>, codes binary, words
 
 
 def pack_numbers(x: np.ndarray) -> bytes:
-    """Whole numbers below 2^32, compressed by byte planes."""
-    return zlib.compress(np.ascontiguousarray(x, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    """Whole numbers from 0 to 2^32 - 1 as seven bits a byte, lowest first,
+    a set eighth bit saying that more follow; first bytes, second bytes, ...
+    are each compressed on their own."""
+    x, planes = np.asarray(x, dtype=np.int64), []
+    while len(x):
+        more = x >> 7
+        planes.append(zlib.compress(((x & 127) | np.where(more > 0, 128, 0)).astype(np.uint8).tobytes(), 6))
+        x = more[more > 0]
+    return struct.pack(f"<{1 + len(planes)}I", len(planes), *map(len, planes)) + b"".join(planes)
 
 
 def unpack_numbers(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(raw), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    n, = struct.unpack_from("<I", raw)
+    sizes = struct.unpack_from(f"<{n}I", raw, 4)
+    ends = np.cumsum([4 + 4 * n, *sizes])
+    high = np.zeros(0, dtype=np.int64)
+    for a, b in reversed(list(zip(ends[:-1], ends[1:]))):
+        plane = np.frombuffer(zlib.decompress(raw[a:b]), dtype=np.uint8).astype(np.int64)
+        low = plane & 127
+        low[plane > 127] |= high << 7
+        high = low
+    return high
 
 
 def pack_words(words: list[bytes]) -> bytes:
-    """Byte strings after their number and their lengths."""
-    head = np.array([len(words), *map(len, words)], dtype="<u4").tobytes()
-    return zlib.compress(head + b"".join(words), 1)
+    """Byte strings after their lengths."""
+    head = pack_numbers(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+    return struct.pack("<I", len(head)) + head + zlib.compress(b"".join(words), 6)
 
 
 def unpack_words(raw: bytes) -> list[bytes]:
-    raw = zlib.decompress(raw)
-    n = int.from_bytes(raw[:4], "little")
-    ends = 4 + 4 * n + np.cumsum(np.frombuffer(raw, dtype="<u4", count=n, offset=4), dtype=np.int64)
-    starts = np.concatenate([[4 + 4 * n], ends[:-1]]) if n else ends
-    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    n, = struct.unpack_from("<I", raw)
+    sizes, body = unpack_numbers(raw[4:4 + n]), zlib.decompress(raw[4 + n:])
+    ends = np.cumsum(sizes)
+    return [body[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
 
 
 def build(docs: DataFrame, scratch: Scratch, split: Callable[[str], list[str]],
@@ -60,10 +75,15 @@ def build(docs: DataFrame, scratch: Scratch, split: Callable[[str], list[str]],
     """Blocks of (key string, text); ``split`` gives the words of a text."""
     def run(batches):
         def close(index, keys, codes):
+            # The commonest words get the smallest, shortest numbers.
+            flat, words = np.concatenate(codes), list(index)
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            rank = np.empty(len(words), dtype=np.int64)
+            rank[order] = np.arange(len(words))
             return pd.DataFrame({
                 "block": [uuid.uuid4().int >> 65], "keys": [keys], "sizes": [[len(c) for c in codes]],
-                "codes": [pack_numbers(np.concatenate(codes))],
-                "words": [pack_words([w.encode("utf-8", "replace") for w in index])]})
+                "codes": [pack_numbers(rank[flat])],
+                "words": [pack_words([words[i].encode("utf-8", "replace") for i in order])]})
 
         index, keys, codes, chars = {}, [], [], 0
         for batch in batches:
@@ -122,11 +142,17 @@ def ask(blocks: DataFrame, buckets: int, answer: Callable[[], Callable[[list[byt
 def assemble(blocks: DataFrame, replies: DataFrame, buckets: int, emit: Callable, schema: str) -> DataFrame:
     """``emit(keys, codes per document, replies in the order of the buckets,
     position of each word's answer in them)`` for every block, as a frame."""
+    def slim(batches):
+        for b in batches:
+            b["words"] = [pack_numbers(bucket_of(unpack_words(w), buckets)) for w in b["words"]]
+            yield b.rename(columns={"words": "dealt"})
+
     def run(block, got):
         row = block.iloc[0]
-        words = unpack_words(row.words)
-        place = np.empty(len(words), dtype=np.int64)
-        place[np.argsort(bucket_of(words, buckets), kind="stable")] = np.arange(len(words))
+        dealt = unpack_numbers(row.dealt)
+        place = np.empty(len(dealt), dtype=np.int64)
+        place[np.argsort(dealt, kind="stable")] = np.arange(len(dealt))
         codes = np.split(unpack_numbers(row.codes), np.cumsum(np.asarray(row["sizes"], dtype=np.int64))[:-1])
         return emit(list(row["keys"]), codes, got.sort_values("bucket")["reply"].tolist(), place)
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, schema)
+    sent = blocks.mapInPandas(slim, SCHEMA.replace("words", "dealt"))
+    return sent.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, schema)
