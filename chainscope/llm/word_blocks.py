@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from chainscope.operators.lineage import Scratch
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 20_000_000
 SCHEMA = "block long, keys array<string>, sizes array<long>, codes binary, words binary"
 
 
