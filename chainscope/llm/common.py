@@ -30,6 +30,13 @@ def keyed_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def map_keyed(rows: DataFrame, run, schema: str, key: str = "doc_id") -> DataFrame:
+    """``rows.mapInPandas(run, schema)`` with the ids of column ``key`` (long
+    in ``schema``) sent through Python as text, for the same reason."""
+    got = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(run, schema.replace(f"{key} long", f"{key} string", 1))
+    return got.withColumn(key, F.col(key).cast("long"))
+
+
 def byte_words(text: str) -> list[bytes]:
     """UTF-8 words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.
 

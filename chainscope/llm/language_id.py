@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainscope.llm.common import map_keyed
 from chainscope.llm.hashing import posteriors
 from chainscope.operators.lineage import Scratch
 
@@ -96,14 +97,13 @@ def identify(spark: SparkSession, docs: DataFrame, pages: DataFrame) -> DataFram
         for b in batches:
             logs = np.array([shared.value[:, trigrams(t)].sum(axis=1) for t in b["text"]]).reshape(len(b), k) * TEMPER
             out = b.drop(columns=["text"])
-            out["page_id"] = out["page_id"].astype("Int64")
             p = posteriors(logs) if len(b) else logs
             for i in range(k):
                 out[ll[i]], out[post[i]] = logs[:, i], p[:, i]
             yield out
     schema = "page_id long, declared string, suffix string, domain string, host string, " + \
         ", ".join(f"{a} double, {b} double" for a, b in zip(ll, post))
-    scored = scratch.save(ev.mapInPandas(run, schema), "text")
+    scored = scratch.save(map_keyed(ev, run, schema, "page_id"), "text")
 
     def sums(key: str) -> DataFrame:
         return scored.groupBy(key).agg(*[F.sum(w).alias(w) for w in post], F.count(F.lit(1)).alias("n"))

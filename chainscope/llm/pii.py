@@ -31,8 +31,9 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from chainscope.llm.common import id_text
+from chainscope.llm.common import id_text, map_keyed
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -238,12 +239,10 @@ def spans(docs: DataFrame) -> DataFrame:
                 rows.append((doc_id, *(len(base[k]) for k in KINDS),
                              hashlib.sha256(_listing(base).encode()).hexdigest(), _listing(every),
                              sum(len(every[k]) - len(base[k]) for k in KINDS)))
-            df = pd.DataFrame(rows, columns=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
-                                             "spans", "n_added"])
-            df["doc_id"] = df["doc_id"].astype("Int64")
-            yield df
-    return id_text(docs).mapInPandas(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
-                                          "base_sha256 string, spans string, n_added long")
+            yield pd.DataFrame(rows, columns=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
+                                              "spans", "n_added"])
+    return map_keyed(id_text(docs), run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
+                                         "base_sha256 string, spans string, n_added long")
 
 
 def redact_text(text: str) -> str:
@@ -262,12 +261,13 @@ def redact_text(text: str) -> str:
 def redact(docs: DataFrame) -> DataFrame:
     """Every document with its spans redacted, columns of ``docs`` (a null
     text stays null; ``n_chars`` follows the text)."""
-    names, schema = docs.columns, docs.schema
-
-    def run(batches):
-        for b in batches:
-            b["text"] = [None if t is None else redact_text(t) for t in b["text"]]
-            if "n_chars" in names:
-                b["n_chars"] = [n if t is None else len(t) for n, t in zip(b["n_chars"], b["text"])]
-            yield b
-    return docs.mapInPandas(run, schema)
+    @F.pandas_udf("string")
+    def redacted(texts: pd.Series) -> pd.Series:
+        return texts.map(redact_text, na_action="ignore")
+
+    # Only the text goes through Python; the other columns stay as they are.
+    out = docs.withColumn("text", redacted("text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
+            F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out

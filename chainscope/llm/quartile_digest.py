@@ -7,7 +7,8 @@ by the sum of quartile differences plus the length difference, bounded by
 ``FAR``; likeness is 1 at no difference and 0 at ``FAR`` or more, about where
 unrelated texts lie.
 
-A null or empty text has the digest of length 0 and empty buckets. Equal
+A text shorter than the window is filled with spaces (its length tells it from
+a text ending with them). A null or empty text has the digest of length 0 and empty buckets. Equal
 texts have equal digests. Rows are ordered by doc_id, then text; a null
 doc_id comes first; repeated rows follow each other; an empty table gives an
 empty result; a single row's next document is itself.
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.llm.common import id_text
+from chainscope.llm.common import id_text, map_keyed
 
 BUCKETS = 128
 FAR = 160
@@ -32,6 +33,8 @@ _SHIFTS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 
 def bucket_counts(raw: bytes) -> np.ndarray:
     out = np.zeros(BUCKETS, dtype=np.int64)
+    if 0 < len(raw) < 4:  # shorter than a window: filled with spaces
+        raw = raw.ljust(4)
     data = np.frombuffer(raw, dtype=np.uint8)
     for at in range(0, max(len(data) - 3, 0), 1_000_000):
         part = data[at:at + 1_000_003].astype(np.uint32)
@@ -104,14 +107,12 @@ def compare(spark: SparkSession, docs: DataFrame) -> DataFrame:
         prev = None
         for b in batches:
             rows = []
-            for doc_id, text, last in zip(b["doc_id"].astype(object), b["text"], b["last"]):
-                cur = (None if pd.isna(doc_id) else int(doc_id), text, digest(text))
+            for doc_id, text, last in zip(b["doc_id"], b["text"], b["last"]):
+                cur = (doc_id, text, digest(text))
                 if prev is not None:
                     rows.append(one(prev, cur))
                 prev = None if last else cur
-            df = pd.DataFrame(rows, columns=names)
-            df["doc_id"] = df["doc_id"].astype("Int64")
-            yield df
-    return _with_next(spark, id_text(docs)).mapInPandas(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+            yield pd.DataFrame(rows, columns=names)
+    return map_keyed(
+        _with_next(spark, id_text(docs)), run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")

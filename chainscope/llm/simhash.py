@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.llm.common import byte_words, id_text
+from chainscope.llm.common import byte_words, id_text, map_keyed
 from chainscope.operators.lineage import Scratch
 
 SEED = 42
@@ -60,9 +60,9 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     def run(batches):
         for b in batches:
             fp = [fingerprint_text(t, k) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"],
                                 "fp": np.array(fp, dtype=np.uint64).view(np.int64)})
-    return id_text(docs).mapInPandas(run, "doc_id long, fp long")
+    return map_keyed(id_text(docs), run, "doc_id long, fp long")
 
 
 _CODE: dict = {}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainscope.llm import hashing
-from chainscope.llm.common import byte_words, id_text
+from chainscope.llm.common import byte_words, id_text, map_keyed
 from chainscope.operators.lineage import Scratch
 
 DOMAINS = ("good", "poor", "toxic")
@@ -68,10 +68,10 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 at, v = hashing.features(t)
                 scores[i] = v @ w[at] + b0
             p = hashing.posteriors(scores) if len(b) else scores
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"],
                                 "n_tokens": [len(byte_words(t)) for t in b["text"]],
                                 **{n: p[:, d] for d, n in enumerate(names)}})
-    return id_text(docs).mapInPandas(run, "doc_id long, n_tokens long, " + ", ".join(n + " double" for n in names))
+    return map_keyed(id_text(docs), run, "doc_id long, n_tokens long, " + ", ".join(n + " double" for n in names))
 
 
 def _rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
@@ -135,10 +135,9 @@ def rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets=TARGE
 
     def run(batches):
         for b in batches:
-            b["doc_id"] = b["doc_id"].astype("Int64")
             b["rate"] = _rates(b[names].to_numpy(), steps)
             yield b
-    return got.mapInPandas(run, got.schema.simpleString()[7:-1].replace(":", " ") + ", rate double")
+    return map_keyed(got, run, got.schema.simpleString()[7:-1].replace(":", " ").replace("bigint", "long") + ", rate double")
 
 
 def copies(rate, doc_id):

@@ -78,7 +78,7 @@ def build_blocks(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_CHA
 
         index, ids, codes, chars = {}, [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
                 codes.append(np.array([index.setdefault(w, len(index)) for w in byte_words(text)], dtype="<u4"))
                 chars += len(text) + 64
@@ -87,7 +87,7 @@ def build_blocks(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_CHA
                     index, ids, codes, chars = {}, [], [], 0
         if ids:
             yield close(index, ids, codes)
-    return scratch.save(docs.mapInPandas(run, BLOCK_SCHEMA), "blocks")
+    return scratch.save(docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, BLOCK_SCHEMA), "blocks")
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ every document. Votes are aggregated into counts per vote pattern (at most
 patterns estimates the class share and each labeller's vote probabilities per
 class. The posteriors label a bounded sample of documents (``SAMPLE`` rows
 by a hash of doc_id, a documented parameter) that trains a hashed linear
-scorer, which then scores every whole text.
+scorer, which then scores every whole text and alone gives the verdict.
 
 A null or empty text gets the votes of an empty text (bad on length, else
 abstain) and the scorer's bias. Repeated rows score alike; a null doc_id
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainscope.llm import hashing
-from chainscope.llm.common import id_text
+from chainscope.llm.common import id_text, map_keyed
 from chainscope.operators.lineage import Scratch
 
 SAMPLE = 4000
@@ -57,8 +57,8 @@ def vote_table(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             code = [sum((v + 1) * 3 ** i for i, v in enumerate(votes(t))) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "pattern": code})
-    return id_text(docs).mapInPandas(run, "doc_id long, pattern int")
+            yield pd.DataFrame({"doc_id": b["doc_id"], "pattern": code})
+    return map_keyed(id_text(docs), run, "doc_id long, pattern int")
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -103,9 +103,7 @@ def score(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, keep_at: f
                 at, v = hashing.features(t)
                 p = hashing.posteriors(v @ w[at] + bias)[1]
                 code = sum((x + 1) * 3 ** i for i, x in enumerate(votes(t)))
-                out.append((doc_id, code, known[code], float(p), bool((p + known[code]) / 2 >= keep_at)))
-            df = pd.DataFrame(out, columns=["doc_id", "pattern", "weak_label", "score", "kept"])
-            df["doc_id"] = df["doc_id"].astype("Int64")
-            yield df
-    return id_text(docs).mapInPandas(
-        run, "doc_id long, pattern int, weak_label double, score double, kept boolean")
+                out.append((doc_id, code, known[code], float(p), bool(p >= keep_at)))
+            yield pd.DataFrame(out, columns=["doc_id", "pattern", "weak_label", "score", "kept"])
+    return map_keyed(
+        id_text(docs), run, "doc_id long, pattern int, weak_label double, score double, kept boolean")
