@@ -44,10 +44,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("pii", personal_data),
           ("mixing", mixing), ("byte_bpe", tokens)]
 
-# Fingerprints, fitted rates and BPE merges are beyond SQL. Tests hold the
-# operators of the stages, not the stages run one after another: counts,
-# fingerprints and components, base spans and token ids against brute force,
-# the mixing by its token totals.
+# Fingerprints, fitted rates and BPE merges are beyond SQL. A test runs the
+# stages one after another and holds each one's rows against brute force.
 ORACLE_SQL = None
 
 
