@@ -1,27 +1,38 @@
 """Probabilistic suffix tree over words.
 
 Symbols are the words of a text (A-Z lowered), one start and one end. A
-context of up to ``DEPTH`` preceding symbols is a state when it was seen at
+context of preceding symbols, of any length, is a state when it was seen at
 least ``MIN_COUNT`` times and passes the divergence test: the gain, in nats,
 of its smoothed next-symbol distribution over its longest proper suffix's,
 summed over its training occurrences with each one left out of the counts
 that predict it, is at least ``MIN_GAIN``. The empty context is always a
 state and has the base distribution (0.1 added to every count). The others
 are smoothed by ``STRENGTH`` pseudo-symbols of their suffix's distribution.
+The tree grows a level at a time, and ends with the first level whose states
+together gain less than ``LEVEL_GAIN`` nats a training token.
 Scoring uses the longest suffix that is a state at every symbol; no text is
 cut, and the score is over the same tokens as the base score. The number of
 states grows with the corpus.
 
 How it runs. Tasks pack documents into blocks of about ``BLOCK_CHARS`` code
 points (a longer text is a block of its own), a committed table: per block
-its distinct words' hashes once and every text as indices into them. One
-*exchange* per level sends each block's distinct keys with their partial sums
-to ``bucket``, a range of the key, where equal keys of all blocks are added
-up and the sums return to the blocks that asked. A word, or a passage, that
-fills a third of the corpus is one key per block, so no bucket is hot; buckets
-grow in number with the blocks. Level m counts the m-grams whose context was
-seen ``MIN_COUNT`` times (the others can't be states, so nothing is lost),
-then partial gains travel the same way. Nothing is gathered but five totals.
+its distinct words' hashes once and every text as indices into them. The
+blocks are then dealt to a bucketed table, so that the rounds read them in
+place. One *exchange* per level sends each block's distinct keys with their
+partial sums to ``bucket``, a range of the key, where equal keys of all blocks
+are added up and the sums return to the blocks that asked. A word, or a
+passage, that fills a third of the corpus is one key per block, so no bucket
+is hot; buckets grow in number with the blocks. Round k asks for the gains of
+the contexts of k symbols and for the counts of the next level. Nothing is
+gathered but a few totals.
+
+Only contexts that can still become states are asked about: those seen
+``MIN_COUNT`` times, none of whose suffixes is *closed*. A context is closed
+when no extension of it can reach ``MIN_GAIN``: an extension followed m times
+by a symbol, m at most the context's own y, gains over each of these at most
+ln((y - 1 + STRENGTH p) / ((y - 1 + STRENGTH) p)), and the sum of these terms
+is below it. So nothing is lost. In a passage that its copies foretell alike
+this ends a branch after few words; it goes on where texts part.
 
 Keys are 64-bit hashes: n distinct keys have n^2 / 2^65 colliding pairs to be
 expected (below 0.001 for 100 million).
@@ -46,18 +57,20 @@ from pyspark.sql import functions as F
 from chainscope.llm.common import byte_words, id_text
 from chainscope.operators.lineage import Scratch
 
-DEPTH = 2
 MIN_COUNT = 2
 MIN_GAIN = 3.0
+LEVEL_GAIN = 0.001
 STRENGTH = 5.0
 ADD = 0.1
 BLOCK_CHARS = 8_000_000
+# Bounds of closed contexts travel in sixteenths of a nat, rounded up.
+OPEN = int(MIN_GAIN * 16)
 # Separators can't be part of a word, so these collide with none.
 START, END = xxhash.xxh64_intdigest(b" "), xxhash.xxh64_intdigest(b"\n")
 
 BLOCK_SCHEMA = "block string, ids array<long>, no_id array<boolean>, sizes array<long>, train array<boolean>, codes binary, hashes binary"
-KEY_SCHEMA = "kind string, bucket long, block string, keys binary, sums binary"
-REPLY_SCHEMA = "block string, kind string, bucket long, sums binary, seen long"
+KEY_SCHEMA = "kind string, bucket long, block string, keys binary, sums binary, bounds binary"
+REPLY_SCHEMA = "block string, kind string, bucket long, sums binary, seen long, gained double"
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -124,57 +137,80 @@ class Positions:
         self.replies, self.totals, self.asked = replies, totals, {}
         self._walk()
 
-    def _count(self, kind: str, found: np.ndarray, ids: np.ndarray, at: np.ndarray) -> np.ndarray | None:
-        """Training counts over all blocks at positions ``at``, whose keys
-        are ``found[ids]``; None when they aren't known yet, and the question
-        is kept."""
+    def _count(self, kind: str, keys: np.ndarray, at: np.ndarray) -> tuple:
+        """Training counts over all blocks of ``keys`` at positions ``at``,
+        the distinct keys, and the index into them, by position. Counts that
+        aren't known yet are None, and the question is kept."""
+        found, ids = np.unique(keys[at], return_inverse=True) if kind != "count1" else (self.words, self.ids)
+        index = np.zeros(len(self.sym), dtype=np.int64)
+        index[at] = ids
         if kind not in self.replies:
-            self.asked[kind] = found, np.bincount(ids, weights=self.train[at], minlength=len(found))
-            return None
+            self.asked[kind] = found, np.bincount(ids, weights=self.train[at], minlength=len(found)), None
+            return None, found, index
         out = np.zeros(len(self.sym))
         out[at] = self.replies[kind][ids]
-        return out
+        return out, found, index
 
-    def _level(self, k: int, key: np.ndarray, count: np.ndarray):
-        """Positions whose context of ``k`` symbols was seen often enough,
-        with the keys of context and symbol, sorted, and their indices."""
-        at = np.flatnonzero((self.offset >= k) & (_before(count) >= MIN_COUNT))
-        key = _mix(_before(key), self.sym)
-        return (at, key, *np.unique(key[at], return_inverse=True))
+    def _bounds(self, y: np.ndarray, p: np.ndarray, train: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+        """What extensions of each context can gain at most, in sixteenths."""
+        most = np.maximum(np.log((np.maximum(y - 1, 0) + STRENGTH * p) / ((np.maximum(y - 1, 0) + STRENGTH) * p)), 0)
+        return np.minimum(np.ceil(np.bincount(slot, weights=most * train, minlength=n) * 16 + 1e-6), OPEN)
 
     def _walk(self) -> None:
-        """Counts level by level, then each level's states, as far as the
-        replies reach."""
-        key, found, ids = self.sym, self.words, self.ids
-        count = self._count("count1", found, ids, np.arange(len(key)))
-        if count is None:
+        """Counts and states level by level, as far as the replies reach."""
+        at = np.flatnonzero(self.offset >= 0)
+        seen, contexts, index = self._count("count1", self.sym, at)
+        # ``key`` is that of the context of k symbols with the symbol after
+        # it, ``y`` its count; ``seen``, ``contexts`` and ``index`` are of the
+        # contexts alone, by the position of the symbol that follows.
+        at = at[self.offset >= 1]
+        key = _mix(_before(self.sym), self.sym)
+        y, grams, place = self._count("count2", key, at)
+        if seen is None:
             return
-        self.known = count > 0
+        self.known = seen > 0
         t = self.totals
-        self.base = self.p = (count + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
-        for k in range(1, DEPTH + 1):
-            seen, contexts = _before(count), found
-            at, key, found, new = self._level(k, key, count)
-            count = self._count(f"count{k + 1}", found, new, at)
-            if count is None:
+        self.base = self.p = (seen + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
+        seen, index, k = _before(seen), _before(index), 1
+        at = at[seen[at] >= MIN_COUNT]
+        while k <= t.get("depth", k):
+            used = np.zeros(len(contexts), dtype=bool)
+            used[index[at]] = True
+            slot = (np.cumsum(used) - 1)[index[at]]
+            # The next level, from what was open before this one's verdict:
+            # counts of longer contexts are those of the sequences before,
+            # as long as all of these were asked about.
+            grown = at[self.offset[at] >= k + 1]
+            if k < 3:
+                grown = grown[_before(y)[grown] >= MIN_COUNT]
+            p, n, x, train = self.p[at], y[at], seen[at], self.train[at]
+            after = (n + STRENGTH * p) / (x + STRENGTH)
+            verdict = self.replies.get(f"gain{k}")
+            if verdict is None:
+                left_out = (np.maximum(n - 1, 0) + STRENGTH * p) / (x - 1 + STRENGTH)
+                gain = np.where(train, np.log(left_out / p), 0.0)
+                m = int(used.sum())
+                self.asked[f"gain{k}"] = (contexts[used], np.bincount(slot, weights=gain, minlength=m), np.concatenate(
+                    [self._bounds(n, q, train, slot, m) for q in (p, after)]))
+            else:
+                verdict = verdict[slot].astype(np.int64)
+                self.p = self.p.copy()
+                self.p[at] = np.where(verdict & 1, after, p)
+                if k == t.get("depth"):
+                    return
+                still = np.zeros(len(self.sym), dtype=bool)
+                still[at] = (verdict & 2) > 0
+            before = _before(key)
+            if k < 3:
+                seen, contexts, index = _before(y), grams, _before(place)
+            else:
+                seen, contexts, index = self._count(f"seen{k + 1}", before, grown)
+            key = _mix(before, self.sym)
+            y, grams, place = self._count(f"count{k + 2}", key, grown)
+            if verdict is None:
                 return
-            context = _before(ids)[at]
-            ids = np.zeros(len(key), dtype=np.int64)
-            ids[at] = new
-            used = np.bincount(context, minlength=len(contexts)) > 0
-            slot = (np.cumsum(used) - 1)[context]
-            p, y, x = self.p[at], count[at], seen[at]
-            if f"gain{k}" not in self.replies:
-                left_out = (np.maximum(y - 1, 0) + STRENGTH * p) / (x - 1 + STRENGTH)
-                gain = np.where(self.train[at], np.log(left_out / p), 0.0)
-                self.asked[f"gain{k}"] = contexts[used], np.bincount(slot, weights=gain, minlength=int(used.sum()))
-                if k < DEPTH:  # the next level's counts need no states
-                    at, _, found, new = self._level(k + 1, key, count)
-                    self._count(f"count{k + 2}", found, new, at)
-                return
-            state = self.replies[f"gain{k}"][slot] > 0
-            self.p = self.p.copy()
-            self.p[at] = np.where(state, (y + STRENGTH * p) / (x + STRENGTH), p)
+            at = grown[still[grown] & (seen[grown] >= MIN_COUNT)]
+            k += 1
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sums over the symbols after each text's start."""
@@ -192,6 +228,20 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode()).astype(np.float64)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys: the first one, then the steps in the fewest bytes."""
+    steps = np.diff(keys)
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return keys[:1].tobytes() + bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    width = raw[8]
+    steps = np.zeros(((len(raw) - 9) // width, 8), dtype=np.uint8)
+    steps[:, :width] = np.frombuffer(raw, dtype=np.uint8, offset=9).reshape(-1, width)
+    return np.cumsum(np.concatenate([np.frombuffer(raw[:8], dtype="<u8"), steps.view("<u8").ravel()]), dtype=np.uint64)
+
+
 def _replies(row) -> dict[str, np.ndarray]:
     """Sums by kind: buckets are ranges of the sorted keys, so their sums
     follow each other in the order of the keys."""
@@ -218,34 +268,51 @@ def with_replies(blocks: DataFrame, replies: list[DataFrame], kinds: list[str])
 
 def exchange(asking: DataFrame, buckets: int, totals: dict | None) -> DataFrame:
     """One round: the blocks' next questions, added up and answered. Gains
-    are answered by the verdict, 1 for a state."""
+    are answered by the verdict: 1 for a state, and 2 more unless closed."""
     def ask(batches):
         for b in batches:
             for row in b.itertuples(index=False):
-                for kind, (keys, sums) in Positions(row, _replies(row), totals).asked.items():
+                for kind, (keys, sums, bounds) in Positions(row, _replies(row), totals).asked.items():
                     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     cut = np.flatnonzero(np.diff(bucket, prepend=bucket[:1])) if len(keys) else []
                     edges = [0, *cut, len(keys)] if len(keys) else [0]
                     chunks = list(zip(edges[:-1], edges[1:]))
-                    whole = kind.startswith("count")
+                    open_to = None if bounds is None else np.split(bounds, 2)
                     yield pd.DataFrame({
                         "kind": kind, "bucket": [int(bucket[a]) for a, _ in chunks], "block": row.block,
-                        "keys": [keys[a:z].tobytes() for a, z in chunks], "sums": [_pack(sums[a:z], whole) for a, z in chunks]})
+                        "keys": [_pack_keys(keys[a:z]) for a, z in chunks],
+                        "sums": [_pack(sums[a:z], bounds is None) for a, z in chunks],
+                        "bounds": [open_to and _pack(np.concatenate([o[a:z] for o in open_to]), True) for a, z in chunks]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, dtype="<u8") for k in group["keys"]]
+        keys = [_unpack_keys(k) for k in group["keys"]]
         found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate([_unpack(s) for s in group["sums"]]), minlength=len(found))
+        total = lambda parts: np.bincount(inverse, weights=np.concatenate(parts), minlength=len(found))
+        sums = total([_unpack(s) for s in group["sums"]])
+        news, gained = int((sums > 0).sum()), 0.0
         if group["kind"].iloc[0].startswith("gain"):
-            sums = (sums >= MIN_GAIN).astype(np.float64)
+            state = sums >= MIN_GAIN
+            gained = float(sums[state].sum())
+            plain, after = zip(*(np.split(_unpack(b), 2) for b in group["bounds"]))
+            sums = state + 2.0 * (np.where(state, total(after), total(plain)) >= OPEN)
         answers = np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])
         return pd.DataFrame({"block": group["block"], "kind": group["kind"], "bucket": group["bucket"],
                              "sums": [_pack(a, True) for a in answers],
-                             "seen": [int((sums > 0).sum()), *[0] * (len(group) - 1)]})
+                             "seen": [news, *[0] * (len(group) - 1)],
+                             "gained": [gained, *[0.0] * (len(group) - 1)]})
 
     return asking.mapInPandas(ask, KEY_SCHEMA).groupBy("kind", "bucket").applyInPandas(add, REPLY_SCHEMA)
 
 
+def deal(spark: SparkSession, blocks: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    """The committed blocks as a table bucketed by block, so that joins with
+    replies move the replies only."""
+    name = f"pst_{uuid.uuid4().hex}"
+    blocks.repartition(buckets, "block").write.bucketBy(buckets, "block").option(
+        "path", f"{scratch.base}/{name}").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def grow(spark: SparkSession, blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
     """The tree, as every block's part of it, and the corpus totals."""
     n_blocks, n_docs, n_words = blocks.select(F.count(F.lit(1)), *[F.coalesce(F.sum(F.aggregate(
@@ -254,17 +321,21 @@ def grow(spark: SparkSession, blocks: DataFrame, scratch: Scratch) -> tuple[Data
             lambda x: F.lit(1).cast("long"), lambda x: x["sizes"])]).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 4, 1)
     totals = {"n": n_docs + n_words, "docs": n_docs, "v": 0}  # one end per training text
-    replies, kinds = [], []
-    # Round 0 asks for words; round k + 1 for the gains of level k and the
-    # counts two levels on.
-    rounds = [["count1"], ["count2"]] + [[f"gain{k}"] + [f"count{k + 2}"] * (k < DEPTH) for k in range(1, DEPTH + 1)]
-    for n, new in enumerate(rounds):
-        replies.append(scratch.save(exchange(with_replies(blocks, replies, kinds), buckets, totals), f"replies{n}"))
-        kinds = kinds + new
-        if n == 0:
-            seen = replies[0].agg(F.sum("seen")).first()[0] or 0
-            totals["v"] = seen - (1 if n_docs else 0)  # the start is no token
-    return with_replies(blocks, replies, kinds), totals
+    blocks = deal(spark, blocks, buckets, scratch)
+    replies, kinds, k = [], [], 0
+    while True:
+        kinds = kinds + (["count1", "count2"] if k == 0 else [f"gain{k}", f"count{k + 2}"] + [f"seen{k + 1}"] * (k >= 3))
+        # A round's questions follow from the replies to the earlier ones.
+        known = kinds[:-3] if k >= 3 else kinds[:-2]
+        replies.append(scratch.save(exchange(with_replies(blocks, replies, known), buckets, totals), f"replies{k}"))
+        news, gained = replies[k].filter(F.col("kind") == ("count1" if k == 0 else f"gain{k}")).select(
+            F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("gained"), F.lit(0.0))).first()
+        if k == 0:
+            totals["v"] = news - (1 if n_docs else 0)  # the start is no token
+        elif gained <= LEVEL_GAIN * totals["n"]:
+            totals["depth"] = k
+            return with_replies(blocks, replies, kinds), totals
+        k += 1
 
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -253,24 +253,32 @@ def brute_tree(texts):
     mark = {"^": (" ",), "$": ("\n",)}
     seqs = [(i, mark["^"] + tuple(words(lower(t or ""))) + mark["$"]) for i, t in texts]
     train = [s for i, s in seqs if not suffix_tree.held_out(i)]
-    grams = Counter(s[j:j + m] for s in train for m in range(1, suffix_tree.DEPTH + 2) for j in range(len(s) - m + 1))
+    grams = Counter(s[j:j + m] for s in train for m in (1, 2) for j in range(len(s) - m + 1))
     n = sum(len(s) - 1 for s in train)
     denom = n + 0.1 * (len({x for s in train for x in s[1:]}) + 1)
-    gain = Counter()
+    states = set()
 
     def chain(s, i, depth):
         p = (grams[s[i:i + 1]] + 0.1) / denom
         for k in range(1, min(depth, i) + 1):
-            if gain[s[i - k:i]] >= suffix_tree.MIN_GAIN:
+            if s[i - k:i] in states:
                 p = (grams[s[i - k:i + 1]] + suffix_tree.STRENGTH * p) / (grams[s[i - k:i]] + suffix_tree.STRENGTH)
         return p
-    for k in range(1, suffix_tree.DEPTH + 1):
+    k, gained = 0, n
+    while gained > suffix_tree.LEVEL_GAIN * n:
+        k += 1
+        grams.update(s[j:j + k + 1] for s in train for j in range(len(s) - k) if k > 1)
+        gain = Counter()
         for s in train:
             for i in range(k, len(s)):
-                x, y, q = grams[s[i - k:i]], grams[s[i - k:i + 1]], chain(s, i, k - 1)
+                x, y = grams[s[i - k:i]], grams[s[i - k:i + 1]]
                 if x >= suffix_tree.MIN_COUNT:
+                    q = chain(s, i, k - 1)
                     gain[s[i - k:i]] += math.log((y - 1 + suffix_tree.STRENGTH * q) / (x - 1 + suffix_tree.STRENGTH) / q)
-    return Counter((i, round(sum(math.log10(chain(s, j, suffix_tree.DEPTH)) for j in range(1, len(s))), 4)) for i, s in seqs)
+        new = {c for c, g in gain.items() if g >= suffix_tree.MIN_GAIN}
+        states |= new
+        gained = sum(gain[c] for c in new)
+    return k, Counter((i, round(sum(math.log10(chain(s, j, k)) for j in range(1, len(s))), 4)) for i, s in seqs)
 
 
 def test_suffix_tree(spark, docs, texts):
@@ -290,7 +298,8 @@ def test_suffix_tree(spark, docs, texts):
         assert r.base_score == pytest.approx(base, rel=1e-9)
         assert (r.n_tokens, r.train_tokens, r.n_known) == (len(w) + 1, n, sum(train[x] > 0 for x in w) + 1)
         assert r.held_out == (zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0)
-    want = brute_tree(texts)
+    depth, want = brute_tree(texts)
+    assert depth > 3
     assert Counter((r.doc_id, round(r.score, 4)) for r in got) == want
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
