@@ -15,12 +15,12 @@ cut, and the score is over the same tokens as the base score. The number of
 states grows with the corpus.
 
 How it runs. Tasks pack documents into blocks of about ``BLOCK_CHARS`` code
-points (a longer text is a block of its own), a committed table: per block
-its distinct words' hashes once and every text as indices into them. The
-blocks are then dealt to a bucketed table, so that the rounds read them in
-place. One *exchange* per level sends each block's distinct keys with their
-partial sums to ``bucket``, a range of the key, where equal keys of all blocks
-are added up and the sums return to the blocks that asked. A word, or a
+points (a longer text is a block of its own): per block its distinct words'
+hashes once and every text as indices into them. The blocks are written once,
+as a table bucketed by block, so that the rounds read them in place and only
+replies move. One *exchange* per level sends each block's distinct keys with
+their partial sums to ``bucket``, a range of the key, where equal keys of all
+blocks are added up and the sums return to the blocks that asked. A word, or a
 passage, that fills a third of the corpus is one key per block, so no bucket
 is hot; buckets grow in number with the blocks. Round k asks for the gains of
 the contexts of k symbols and for the counts of the next level. Nothing is
@@ -78,15 +78,15 @@ def held_out(doc_id: int | None) -> bool:
 
 
 def build_blocks(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Blocks of (doc_id, text). Their ids are random, so only the committed
-    rows may be used."""
+    """Blocks of (doc_id, text). Their ids are random, so only the rows of the
+    committed table may be used."""
     def run(batches):
         def close(index, ids, codes):
             flat = np.concatenate(codes)
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, index), dtype="<u8", count=len(index))
             return pd.DataFrame({
                 "block": [uuid.uuid4().hex], "ids": [[i or 0 for i in ids]], "no_id": [[i is None for i in ids]], "sizes": [[len(c) for c in codes]],
-                "train": [[not held_out(i) for i in ids]], "codes": [zlib.compress(flat.tobytes(), 1)],
+                "train": [[not held_out(i) for i in ids]], "codes": [zlib.compress(_planes(flat).tobytes(), 1)],
                 "hashes": [hashes.tobytes()]})
 
         index, ids, codes, chars = {}, [], [], 0
@@ -100,7 +100,11 @@ def build_blocks(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_CHA
                     index, ids, codes, chars = {}, [], [], 0
         if ids:
             yield close(index, ids, codes)
-    return scratch.save(docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, BLOCK_SCHEMA), "blocks")
+    spark, name = docs.sparkSession, f"pst_{uuid.uuid4().hex}"
+    blocks = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, BLOCK_SCHEMA)
+    blocks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").format("parquet").option(
+        "path", f"{scratch.base}/{name}").saveAsTable(name)
+    return spark.table(name)
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -129,7 +133,8 @@ class Positions:
         hashes = np.concatenate([np.frombuffer(row.hashes, dtype="<u8"), np.array([START, END], dtype=np.uint64)])
         index = np.full(int(n.sum()), -1, dtype=np.int64)
         index[self.first], index[self.first + n - 1] = len(hashes) - 2, len(hashes) - 1
-        index[index < 0] = np.frombuffer(zlib.decompress(row.codes), dtype="<u4")
+        codes = np.frombuffer(zlib.decompress(row.codes), dtype=np.uint8).reshape(4, -1)
+        index[index < 0] = np.ascontiguousarray(codes.T).view("<u4").ravel()
         self.words, rank = np.unique(hashes, return_inverse=True)
         self.ids, self.sym = rank[index], hashes[index]
         self.offset = np.arange(len(self.sym)) - np.repeat(self.first, n)
@@ -228,18 +233,23 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode()).astype(np.float64)
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The bytes of each value, all lowest ones first."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+
+
 def _pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys: the first one, then the steps in the fewest bytes."""
-    steps = np.diff(keys)
-    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
-    return keys[:1].tobytes() + bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Ascending keys as the first one and the steps, whose five lower bytes
+    are as good as random."""
+    steps = _planes(np.diff(keys))
+    return keys[:1].tobytes() + np.uint64(len(keys) - 1).tobytes() + steps[:5].tobytes() + zlib.compress(steps[5:].tobytes(), 1)
 
 
 def _unpack_keys(raw: bytes) -> np.ndarray:
-    width = raw[8]
-    steps = np.zeros(((len(raw) - 9) // width, 8), dtype=np.uint8)
-    steps[:, :width] = np.frombuffer(raw, dtype=np.uint8, offset=9).reshape(-1, width)
-    return np.cumsum(np.concatenate([np.frombuffer(raw[:8], dtype="<u8"), steps.view("<u8").ravel()]), dtype=np.uint64)
+    first, n = np.frombuffer(raw[:16], dtype="<u8")
+    cut = 16 + 5 * int(n)
+    steps = np.frombuffer(raw[16:cut] + zlib.decompress(raw[cut:]), dtype=np.uint8).reshape(8, int(n))
+    return np.cumsum(np.concatenate([[first], np.ascontiguousarray(steps.T).view("<u8").ravel()]), dtype=np.uint64)
 
 
 def _replies(row) -> dict[str, np.ndarray]:
@@ -304,15 +314,6 @@ def exchange(asking: DataFrame, buckets: int, totals: dict | None) -> DataFrame:
     return asking.mapInPandas(ask, KEY_SCHEMA).groupBy("kind", "bucket").applyInPandas(add, REPLY_SCHEMA)
 
 
-def deal(spark: SparkSession, blocks: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
-    """The committed blocks as a table bucketed by block, so that joins with
-    replies move the replies only."""
-    name = f"pst_{uuid.uuid4().hex}"
-    blocks.repartition(buckets, "block").write.bucketBy(buckets, "block").option(
-        "path", f"{scratch.base}/{name}").format("parquet").saveAsTable(name)
-    return spark.table(name)
-
-
 def grow(spark: SparkSession, blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
     """The tree, as every block's part of it, and the corpus totals."""
     n_blocks, n_docs, n_words = blocks.select(F.count(F.lit(1)), *[F.coalesce(F.sum(F.aggregate(
@@ -321,7 +322,6 @@ def grow(spark: SparkSession, blocks: DataFrame, scratch: Scratch) -> tuple[Data
             lambda x: F.lit(1).cast("long"), lambda x: x["sizes"])]).first()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // 4, 1)
     totals = {"n": n_docs + n_words, "docs": n_docs, "v": 0}  # one end per training text
-    blocks = deal(spark, blocks, buckets, scratch)
     replies, kinds, k = [], [], 0
     while True:
         kinds = kinds + (["count1", "count2"] if k == 0 else [f"gain{k}", f"count{k + 2}"] + [f"seen{k + 1}"] * (k >= 3))
