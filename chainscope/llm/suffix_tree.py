@@ -131,13 +131,13 @@ class Positions:
         n = np.asarray(row.sizes, dtype=np.int64) + 2
         self.first = np.cumsum(n) - n
         hashes = np.concatenate([np.frombuffer(row.hashes, dtype="<u8"), np.array([START, END], dtype=np.uint64)])
-        index = np.full(int(n.sum()), -1, dtype=np.int64)
+        index = np.full(int(n.sum()), -1, dtype=np.int32)
         index[self.first], index[self.first + n - 1] = len(hashes) - 2, len(hashes) - 1
         codes = np.frombuffer(zlib.decompress(row.codes), dtype=np.uint8).reshape(4, -1)
         index[index < 0] = np.ascontiguousarray(codes.T).view("<u4").ravel()
         self.words, rank = np.unique(hashes, return_inverse=True)
-        self.ids, self.sym = rank[index], hashes[index]
-        self.offset = np.arange(len(self.sym)) - np.repeat(self.first, n)
+        self.ids, self.sym = rank.astype(np.int32)[index], hashes[index]
+        self.offset = (np.arange(len(self.sym)) - np.repeat(self.first, n)).astype(np.int32)
         self.train = np.repeat(np.asarray(row.train, dtype=bool), n)
         self.replies, self.totals, self.asked = replies, totals, {}
         self._walk()
@@ -147,12 +147,12 @@ class Positions:
         the distinct keys, and the index into them, by position. Counts that
         aren't known yet are None, and the question is kept."""
         found, ids = np.unique(keys[at], return_inverse=True) if kind != "count1" else (self.words, self.ids)
-        index = np.zeros(len(self.sym), dtype=np.int64)
+        index = np.zeros(len(self.sym), dtype=np.int32)
         index[at] = ids
         if kind not in self.replies:
             self.asked[kind] = found, np.bincount(ids, weights=self.train[at], minlength=len(found)), None
             return None, found, index
-        out = np.zeros(len(self.sym))
+        out = np.zeros(len(self.sym), dtype=self.replies[kind].dtype)
         out[at] = self.replies[kind][ids]
         return out, found, index
 
@@ -175,7 +175,7 @@ class Positions:
             return
         self.known = seen > 0
         t = self.totals
-        self.base = self.p = (seen + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
+        self.base = self.p = (seen.astype(np.float64) + ADD) / max(t["n"] + ADD * (t["v"] + 1), 1e-9)
         seen, index, k = _before(seen), _before(index), 1
         at = at[seen[at] >= MIN_COUNT]
         while k <= t.get("depth", k):
@@ -188,7 +188,7 @@ class Positions:
             grown = at[self.offset[at] >= k + 1]
             if k < 3:
                 grown = grown[_before(y)[grown] >= MIN_COUNT]
-            p, n, x, train = self.p[at], y[at], seen[at], self.train[at]
+            p, n, x, train = self.p[at], y[at].astype(np.float64), seen[at].astype(np.float64), self.train[at]
             after = (n + STRENGTH * p) / (x + STRENGTH)
             verdict = self.replies.get(f"gain{k}")
             if verdict is None:
@@ -205,6 +205,7 @@ class Positions:
                     return
                 still = np.zeros(len(self.sym), dtype=bool)
                 still[at] = (verdict & 2) > 0
+            del p, n, x, train, after, slot, used
             before = _before(key)
             if k < 3:
                 seen, contexts, index = _before(y), grams, _before(place)
@@ -230,7 +231,7 @@ def _pack(values: np.ndarray, whole: bool) -> bytes:
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode()).astype(np.float64)
+    return np.frombuffer(zlib.decompress(raw[3:]), dtype=raw[:3].decode())
 
 
 def _planes(values: np.ndarray) -> np.ndarray:
@@ -260,7 +261,7 @@ def _replies(row) -> dict[str, np.ndarray]:
         parts.setdefault(r["kind"], []).append(_unpack(r["sums"]))
     out = {k: np.concatenate(v) for k, v in parts.items()}
     # A block with nothing to ask at a level has an empty reply to it.
-    return {**{k: np.empty(0) for k in row.kinds}, **out}
+    return {**{k: np.empty(0, dtype=np.uint8) for k in row.kinds}, **out}
 
 
 def with_replies(blocks: DataFrame, replies: list[DataFrame], kinds: list[str]) -> DataFrame:
