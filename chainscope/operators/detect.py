@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainscope.functions.columns import WEI
+from chainscope.operators.lineage import large
 from chainscope.operators.peeling import MergeTree
 
 # Fixed values of the method: a set is a candidate when it survives at
@@ -37,8 +38,8 @@ def scc_occurrences(tree: MergeTree) -> DataFrame:
 def set_members(tree: MergeTree) -> DataFrame:
     """(set_key, n_members, address) for every distinct set: the one result
     that lists an account once per set that holds it."""
-    listed = tree.accounts.join(tree.holders(), "node").select("address", F.col("up").alias("node"))
-    return listed.join(tree.sets.select("node", *SET), "node").select(*SET, "address")
+    listed = tree.accounts.join(large(tree.holders()), "node").select("address", F.col("up").alias("node"))
+    return listed.join(large(tree.sets.select("node", *SET)), "node").select(*SET, "address")
 
 
 def scc_candidates(occurrences: DataFrame, threshold: int = SCC_OCCURRENCE_THRESHOLD) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainscope.functions.columns import WEI
+from chainscope.operators.lineage import large
 from chainscope.operators.transfers import without_self_trades
 
 
@@ -37,7 +38,7 @@ def edge_peel(edges: DataFrame, step: int = 1) -> DataFrame:
 def vertices_with_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Vertices that are the end of at least one edge."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("address")).distinct()
-    return vertices.join(ends, "address", "left_semi")
+    return vertices.join(large(ends), "address", "left_semi")
 
 
 def component_edges(components: DataFrame, edges: DataFrame) -> DataFrame:
@@ -45,5 +46,5 @@ def component_edges(components: DataFrame, edges: DataFrame) -> DataFrame:
     n_members): (component, n_members, src, dst, weight, value)."""
     c = components.select("component", "n_members", F.col("address").alias("src"))
     d = components.select(F.col("component").alias("_other"), F.col("address").alias("dst"))
-    return (edges.join(c, "src").join(d, "dst").filter(F.col("component") == F.col("_other"))
+    return (edges.join(large(c), "src").join(large(d), "dst").filter(F.col("component") == F.col("_other"))
             .select("component", "n_members", "src", "dst", "weight", "value"))

@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 from chainscope.session import checkpoint_dir
 
 
+def large(df: DataFrame) -> DataFrame:
+    """One side of a join of tables that both grow with the input. Spark
+    judges a table by its files or by what shuffles have written, and sends
+    one below the broadcast threshold through the driver, where it takes more
+    room than in Parquet, several times a round. A merge join sends nothing
+    there, and AQE still splits its hot keys."""
+    return df.hint("merge")
+
+
 class Scratch:
     """A folder of intermediate tables under the checkpoint directory."""
 

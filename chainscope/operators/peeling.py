@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chainscope.operators import scc
-from chainscope.operators.lineage import Scratch
+from chainscope.operators.lineage import Scratch, large
 
 
 # Parts a range of rounds is cut into at a step.
@@ -57,7 +57,7 @@ class MergeTree:
         cur = self.scratch.save(values.groupBy("node").agg(*[c.alias(n) for n, c in how.items()]), "values")
         for jump in self.jumps:
             # After k steps a row covers the sets fewer than 2^k steps below.
-            up = cur.join(jump, "node").select(F.col("up").alias("node"), *how)
+            up = cur.join(large(jump), "node").select(F.col("up").alias("node"), *how)
             cur = self.scratch.save(cur.unionByName(up).groupBy("node").agg(*[c.alias(n) for n, c in how.items()]), "rolled")
         return cur
 
@@ -66,8 +66,9 @@ class MergeTree:
         over each set and all sets that hold it."""
         cur = values.select("node", name)
         for jump in self.jumps:
-            above = jump.join(cur.select(F.col("node").alias("up"), F.col(name).alias("_above")), "up").select("node", "_above")
-            cur = self.scratch.save(cur.join(above, "node", "left").select(
+            above = jump.join(large(cur.select(F.col("node").alias("up"), F.col(name).alias("_above"))), "up").select(
+                "node", "_above")
+            cur = self.scratch.save(cur.join(large(above), "node", "left").select(
                 "node", F.when(F.col("_above").isNull(), F.col(name)).otherwise(
                     combine(F.col(name), F.col("_above"))).alias(name)), "along")
         return cur
@@ -77,7 +78,7 @@ class MergeTree:
         cur = self.sets.select("node", F.col("node").alias("up"))
         for jump in self.jumps:
             cur = self.scratch.save(cur.unionByName(
-                cur.join(jump.select(F.col("node").alias("up"), F.col("up").alias("_up")), "up").select(
+                cur.join(large(jump.select(F.col("node").alias("up"), F.col("up").alias("_up"))), "up").select(
                     "node", F.col("_up").alias("up"))), "holders")
         return cur
 
@@ -90,12 +91,12 @@ class MergeTree:
             long_ = F.col("steps") >= 1 << k
             cut[k] = self.scratch.save(at.filter(long_).groupBy("node").agg(F.max("value").alias("value")), "spans")
             if k < len(self.jumps):
-                on = at.filter(long_).join(self.jumps[k], "node", "left").select(
+                on = at.filter(long_).join(large(self.jumps[k]), "node", "left").select(
                     F.col("up").alias("node"), (F.col("steps") - (1 << k)).alias("steps"), "value").filter("steps > 0")
                 at = self.scratch.save(at.filter(~long_).unionByName(on), "spans_left")
         got = cut[len(self.jumps)]
         for k in range(len(self.jumps) - 1, -1, -1):
-            up = got.join(self.jumps[k], "node").select(F.col("up").alias("node"), "value")
+            up = got.join(large(self.jumps[k]), "node").select(F.col("up").alias("node"), "value")
             got = self.scratch.save(cut[k].unionByName(got).unionByName(up).groupBy("node").agg(
                 F.max("value").alias("value")), "halved")
         return got
@@ -141,8 +142,8 @@ def _divide(spark: SparkSession, scratch: Scratch, t: DataFrame, keep: list[str]
     roots = scratch.save(m.select(lo.alias("lo"), "v", cut.cast("int").alias("cut"), "root").groupBy("lo", "v").agg(
         F.sort_array(F.collect_list(F.struct("cut", "root"))).alias("r")).select("lo", "v", F.col("r.root").alias("r")), "roots")
     none = F.array().cast("array<bigint>")
-    both = t.join(roots.select("lo", F.col("v").alias("s"), F.col("r").alias("rs")), ["lo", "s"], "left").join(
-        roots.select("lo", F.col("v").alias("d"), F.col("r").alias("rd")), ["lo", "d"], "left").withColumn(
+    both = t.join(large(roots.select("lo", F.col("v").alias("s"), F.col("r").alias("rs"))), ["lo", "s"], "left").join(
+        large(roots.select("lo", F.col("v").alias("d"), F.col("r").alias("rd"))), ["lo", "d"], "left").withColumn(
         "rs", F.coalesce("rs", none)).withColumn("rd", F.coalesce("rd", none)).withColumn(
         "same", F.size(F.filter(F.zip_with("rs", "rd", lambda a, b: a == b), lambda x: x)))
     out = both.select(
@@ -166,11 +167,11 @@ def _assemble(spark: SparkSession, scratch: Scratch, t: DataFrame, ids: DataFram
     rows = scratch.save(joins.withColumn("rank", F.row_number().over(by_name))
                         .withColumn("up_home", F.lead("home").over(by_name))
                         .withColumn("up_lo", F.lead("lo").over(by_name)), "rows")
-    accounts = rows.filter("rank = 1").join(nodes, ["home", "lo"]).select("v", "node").join(
-        ids.withColumnRenamed("vid", "v"), "v").select("address", "node")
+    accounts = rows.filter("rank = 1").join(large(nodes), ["home", "lo"]).select("v", "node").join(
+        large(ids.withColumnRenamed("vid", "v")), "v").select("address", "node")
     up = nodes.select(F.col("home").alias("up_home"), F.col("lo").alias("up_lo"), F.col("node").alias("parent"))
     sets = scratch.save(
-        rows.filter("v = home").join(nodes, ["home", "lo"]).join(up, ["up_home", "up_lo"], "left")
+        rows.filter("v = home").join(large(nodes), ["home", "lo"]).join(large(up), ["up_home", "up_lo"], "left")
         .select("node", "parent", F.col("lo").alias("level"), F.coalesce("up_lo", F.lit(0)).alias("end")), "sets")
 
     jumps, jump = [], sets.filter("parent is not null").select("node", F.col("parent").alias("up"))
@@ -179,17 +180,17 @@ def _assemble(spark: SparkSession, scratch: Scratch, t: DataFrame, ids: DataFram
         if not n:
             break
         jumps.append(jump)
-        jump = jump.join(jump.select(F.col("node").alias("up"), F.col("up").alias("_up")), "up").select(
+        jump = jump.join(large(jump.select(F.col("node").alias("up"), F.col("up").alias("_up"))), "up").select(
             "node", F.col("_up").alias("up"))
 
     names = [ids.select(F.col("address").alias(f"a_{end}"), F.col("vid").alias(end)) for end in ("src", "dst")]
-    edges = t.join(nodes, ["home", "lo"]).join(names[0], "src").join(names[1], "dst").select(
+    edges = t.join(large(nodes), ["home", "lo"]).join(large(names[0]), "src").join(large(names[1]), "dst").select(
         F.col("a_src").alias("src"), F.col("a_dst").alias("dst"), *cols, "node")
     tree = MergeTree(spark, scratch, accounts, edges, sets, jumps)
     size = tree.roll_up(accounts.select("node", F.col("address").alias("set_key"), F.lit(1).alias("n_members")),
                         {"set_key": F.min("set_key"), "n_members": F.sum("n_members")})
     depth = tree.along(sets.withColumn("depth", F.lit(1)), "depth", lambda a, b: a + b)
-    tree.sets = scratch.save(sets.join(size, "node").join(depth, "node").select(
+    tree.sets = scratch.save(sets.join(large(size), "node").join(large(depth), "node").select(
         "node", "parent", "level", "depth", "set_key", "n_members",
         (F.col("level") - F.col("end")).alias("occurrences"), (F.col("end") + 1).alias("first_round"),
         F.col("level").alias("last_round")), "tree")

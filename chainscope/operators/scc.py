@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainscope.operators.lineage import Scratch
+from chainscope.operators.lineage import Scratch, large
 
 DEFAULT_MAX_ROUNDS = 100_000
 # The graph is shrunk again while that takes more than a tenth of its edges.
@@ -86,7 +86,7 @@ class _Solver:
             self.tick()
             if pairs_left:
                 back = e.select("lvl", F.col("src").alias("dst"), F.col("dst").alias("src"))
-                pairs, n_pairs = self.scratch.save_counted(e.join(back, ["lvl", "src", "dst"]), "both_ways")
+                pairs, n_pairs = self.scratch.save_counted(e.join(large(back), ["lvl", "src", "dst"]), "both_ways")
                 pairs_left = n_pairs * SHRINK_SHARE > n_edges
                 if pairs_left:
                     e, n_edges = self.merge(e, pairs)
@@ -94,8 +94,8 @@ class _Solver:
             into = e.select("lvl", F.col("dst").alias("src")).distinct()
             out = e.select("lvl", F.col("src").alias("dst")).distinct()
             was = n_edges
-            e, n_edges = self.scratch.save_counted(e.join(into, ["lvl", "src"], "left_semi").join(
-                out, ["lvl", "dst"], "left_semi").select("lvl", "src", "dst"), "trimmed")
+            e, n_edges = self.scratch.save_counted(e.join(large(into), ["lvl", "src"], "left_semi").join(
+                large(out), ["lvl", "dst"], "left_semi").select("lvl", "src", "dst"), "trimmed")
             if (was - n_edges) * SHRINK_SHARE <= was:
                 break
         return e, n_edges
@@ -106,7 +106,7 @@ class _Solver:
         same = same.select("lvl", "v", F.col("f").alias("u"))
         self.merged.append(same)
         ends = [same.select("lvl", F.col("v").alias(end), F.col("u").alias(f"u_{end}")) for end in ("src", "dst")]
-        e = e.join(ends[0], ["lvl", "src"], "left").join(ends[1], ["lvl", "dst"], "left").select(
+        e = e.join(large(ends[0]), ["lvl", "src"], "left").join(large(ends[1]), ["lvl", "dst"], "left").select(
             "lvl", F.coalesce("u_src", "src").alias("src"), F.coalesce("u_dst", "dst").alias("dst"))
         return self.scratch.save_counted(e.filter("src != dst").distinct(), "merged")
 
@@ -123,7 +123,7 @@ class _Solver:
         self.found.append(final.filter("f = b").select("lvl", "v", F.col("f").alias("root")))
         open_ = final.filter("f != b")
         ends = [open_.select("lvl", F.col("v").alias(end), F.struct("f", "b").alias(f"c_{end}")) for end in ("src", "dst")]
-        rest = e.join(ends[0], ["lvl", "src"]).join(ends[1], ["lvl", "dst"]).filter("c_src = c_dst")
+        rest = e.join(large(ends[0]), ["lvl", "src"]).join(large(ends[1]), ["lvl", "dst"]).filter("c_src = c_dst")
         return self.scratch.save_counted(rest.select("lvl", "src", "dst"), "left")
 
     def spread(self, arcs: DataFrame) -> DataFrame:
@@ -137,11 +137,11 @@ class _Solver:
         while True:
             self.tick()
             front = state.filter("moved").select("lvl", F.col("v").alias("at"), "f", "b")
-            near = arcs.join(front, ["lvl", "at"]).groupBy("lvl", "v").agg(*heard)
+            near = arcs.join(large(front), ["lvl", "at"]).groupBy("lvl", "v").agg(*heard)
             jump_f = state.filter("f < v").select("lvl", F.col("v").alias("f"), F.col("f").alias("jf"))
             jump_b = state.filter("b < v").select("lvl", F.col("v").alias("b"), F.col("b").alias("jb"))
-            new = state.drop("moved").join(near, ["lvl", "v"], "left").join(jump_f, ["lvl", "f"], "left").join(
-                jump_b, ["lvl", "b"], "left").withColumn("nf", F.least("f", "mf", "jf")).withColumn(
+            new = state.drop("moved").join(large(near), ["lvl", "v"], "left").join(
+                large(jump_f), ["lvl", "f"], "left").join(large(jump_b), ["lvl", "b"], "left").withColumn("nf", F.least("f", "mf", "jf")).withColumn(
                 "nb", F.least("b", "mb", "jb"))
             moved = (F.col("nf") < F.col("f")) | (F.col("nb") < F.col("b"))
             state, n = self.scratch.save_counted(new.select(
@@ -155,11 +155,11 @@ class _Solver:
         m = _union(self.found) if self.found else self.spark.createDataFrame([], MEMBERS)
         for same in reversed(self.merged):
             roots = m.select("lvl", F.col("v").alias("u"), F.col("root"))
-            more = same.join(roots, ["lvl", "u"], "left").select("lvl", "v", F.coalesce("root", "u").alias("root"))
+            more = same.join(large(roots), ["lvl", "u"], "left").select("lvl", "v", F.coalesce("root", "u").alias("root"))
             m = self.scratch.save(m.unionByName(more).distinct(), "unwound")
         m = _mix(m, ["v"], back=True)
         sets = m.groupBy("lvl", "root").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        return m.join(sets, ["lvl", "root"]).select("lvl", "v", F.col("low").alias("root"))
+        return m.join(large(sets), ["lvl", "root"]).select("lvl", "v", F.col("low").alias("root"))
 
 
 def scc_members(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None,
@@ -196,7 +196,7 @@ def id_edges(edges: DataFrame, ids: DataFrame) -> DataFrame:
     cols = [c for c in edges.columns if c not in ("src", "dst")]
     s = ids.select(F.col("address").alias("src"), F.col("vid").alias("s"))
     d = ids.select(F.col("address").alias("dst"), F.col("vid").alias("d"))
-    return edges.join(s, "src").join(d, "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
+    return edges.join(large(s), "src").join(large(d), "dst").select(F.col("s").alias("src"), F.col("d").alias("dst"), *cols)
 
 
 def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFAULT_MAX_ROUNDS) -> DataFrame:
@@ -209,6 +209,6 @@ def scc_components(spark: SparkSession, edges: DataFrame, max_rounds: int = DEFA
     edges = scratch.save(edges.select("src", "dst"), "edges")
     ids = vertex_ids(edges, scratch)
     m = scc_members(spark, id_edges(edges, ids).withColumn("lvl", F.lit(1)), scratch, max_rounds)
-    named = m.join(ids.withColumnRenamed("vid", "v"), "v")
+    named = m.join(large(ids.withColumnRenamed("vid", "v")), "v")
     sets = named.groupBy("root").agg(F.min("address").alias("component"), F.count(F.lit(1)).alias("n_members"))
-    return named.join(sets, "root").select("address", "component", "n_members")
+    return named.join(large(sets), "root").select("address", "component", "n_members")
