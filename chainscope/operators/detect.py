@@ -57,12 +57,12 @@ def set_balance(tree: MergeTree, net: DataFrame) -> DataFrame:
     """(node, n_positions, net_sum, abs_sum, net_mean): the members' net
     positions over all their transfers. Members without a position count in
     none of them; ``net_mean`` is NULL where no member has one."""
-    own = tree.accounts.join(net.select("address", "net_value"), "address").select(
+    own = tree.accounts.join(large(net.select("address", "net_value")), "address").select(
         "node", F.lit(1).alias("n_positions"), F.col("net_value").alias("net_sum"), F.abs("net_value").alias("abs_sum"))
     sums = tree.roll_up(own, {"n_positions": F.sum("n_positions"), "net_sum": F.sum("net_sum").cast(WEI),
                               "abs_sum": F.sum("abs_sum").cast(WEI)})
     zero = F.lit(0).cast(WEI)
-    return tree.sets.select("node").join(sums, "node", "left").select(
+    return tree.sets.select("node").join(large(sums), "node", "left").select(
         "node", F.coalesce("n_positions", F.lit(0)).alias("n_positions"), F.coalesce("net_sum", zero).alias("net_sum"),
         F.coalesce("abs_sum", zero).alias("abs_sum"),
         F.try_divide(F.col("net_sum").cast("double"), F.col("n_positions").cast("double")).alias("net_mean"))
@@ -75,8 +75,8 @@ def volume_match(sets: DataFrame, tree: MergeTree, net: DataFrame, tolerance: fl
     transfers), ``net_mean`` their mean, ``abs_sum`` the sum of their absolute
     net positions; a set is matched when |net_sum| <= tolerance * abs_sum.
     """
-    named = set_balance(tree, net).join(tree.sets.select("node", *SET), "node")
-    return (sets.join(named.select(*SET, "net_sum", "net_mean", "abs_sum"), SET, "left")
+    named = set_balance(tree, net).join(large(tree.sets.select("node", *SET)), "node")
+    return (sets.join(large(named.select(*SET, "net_sum", "net_mean", "abs_sum")), SET, "left")
             .withColumn("volume_matched", within(F.abs(F.col("net_sum")), F.col("abs_sum"), tolerance)))
 
 
@@ -84,7 +84,7 @@ def matched_sets(tree: MergeTree, net: DataFrame, threshold: int = SCC_OCCURRENC
                  tolerance: float = VOLUME_TOLERANCE) -> DataFrame:
     """(node, matched) of every set: candidate and volume-matched."""
     ok = within(F.abs(F.col("net_sum")), F.col("abs_sum"), tolerance)
-    return set_balance(tree, net).join(tree.sets.select("node", "occurrences"), "node").select(
+    return set_balance(tree, net).join(large(tree.sets.select("node", "occurrences")), "node").select(
         "node", (ok & (F.col("occurrences") >= F.lit(threshold))).alias("matched"))
 
 
@@ -99,8 +99,8 @@ def set_edges(tree: MergeTree) -> DataFrame:
 
 def wash_set_volume(sets: DataFrame, tree: MergeTree) -> DataFrame:
     """Per set: edges inside it, transfers on them and their total value."""
-    named = set_edges(tree).join(tree.sets.select("node", *SET), "node")
-    return sets.select(*SET).join(named, SET).select(*SET, "n_edges", "n_transfers", "volume")
+    named = set_edges(tree).join(large(tree.sets.select("node", *SET)), "node")
+    return sets.select(*SET).join(large(named), SET).select(*SET, "n_edges", "n_transfers", "volume")
 
 
 def wash_suspects(tree: MergeTree, matched: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def wash_suspects(tree: MergeTree, matched: DataFrame) -> DataFrame:
     the flags of ``matched`` (node, matched) summed along each account's sets."""
     flags = matched.select("node", F.col("matched").cast("bigint").alias("n_sets"))
     counts = tree.along(flags, "n_sets", lambda a, b: a + b).filter("n_sets > 0")
-    return tree.accounts.join(counts, "node").select("address", "n_sets")
+    return tree.accounts.join(large(counts), "node").select("address", "n_sets")
 
 
 def wash_volume_by_account(tree: MergeTree, matched: DataFrame, edges: DataFrame) -> DataFrame:
@@ -125,9 +125,9 @@ def wash_volume_by_account(tree: MergeTree, matched: DataFrame, edges: DataFrame
         )).alias("l")).select("l.address", "l.v")
         return legs.groupBy("address").agg(F.sum("v").cast(WEI).alias(name))
 
-    wash = by_account(tree.edges.join(covered, "node", "left_semi"), "wash_volume")
+    wash = by_account(tree.edges.join(large(covered), "node", "left_semi"), "wash_volume")
     total = by_account(edges.select("src", "dst", "value"), "total_volume")
-    return (wash.join(total, "address", "left")
+    return (wash.join(large(total), "address", "left")
             .withColumn("wash_share", F.try_divide(F.col("wash_volume").cast("double"),
                                                    F.col("total_volume").cast("double"))))
 
@@ -140,7 +140,7 @@ def top_wash_trader(tree: MergeTree, matched: DataFrame, edges: DataFrame, k: in
 def vertex_scc_counts(tree: MergeTree) -> DataFrame:
     """Per account: peeling rounds in which it is in a set (up to the last
     round of its smallest set), and the number of distinct sets it is in."""
-    return tree.accounts.join(tree.sets, "node").select(
+    return tree.accounts.join(large(tree.sets), "node").select(
         "address", F.col("last_round").alias("n_rounds"), F.col("depth").alias("n_sets"))
 
 
@@ -151,7 +151,7 @@ def reciprocal_pairs(edges: DataFrame) -> DataFrame:
                       F.col("weight").alias("weight_ab"), F.col("value").alias("value_ab"))
     ba = edges.select(F.col("dst").alias("a"), F.col("src").alias("b"),
                       F.col("weight").alias("weight_ba"), F.col("value").alias("value_ba"))
-    return ab.filter(F.col("a") < F.col("b")).join(ba, ["a", "b"])
+    return ab.filter(F.col("a") < F.col("b")).join(large(ba), ["a", "b"])
 
 
 def member_volume_match(sets: DataFrame, tree: MergeTree, tolerance: float = VOLUME_TOLERANCE) -> DataFrame:
@@ -168,11 +168,11 @@ def member_volume_match(sets: DataFrame, tree: MergeTree, tolerance: float = VOL
         F.struct(F.col("dst").alias("address"), F.col("value").cast(WEI).alias("amount")),
     )).alias("l")).groupBy("node", "l.address").agg(F.sum("l.amount").cast(WEI).alias("amount"))
     path = Window.partitionBy("address").orderBy(F.col("depth").desc())
-    spans = legs.join(tree.sets.select("node", "depth"), "node").select(
+    spans = legs.join(large(tree.sets.select("node", "depth")), "node").select(
         "node", F.abs(F.sum("amount").over(path).cast(WEI)).alias("value"),
         (F.col("depth") - F.coalesce(F.lead("depth").over(path), F.lit(0))).alias("steps"))
     worst = tree.path_max(spans).withColumnRenamed("value", "max_member_net")
     inner = set_edges(tree).select("node", F.col("volume").alias("inner_volume"))
-    named = tree.sets.select("node", *SET).join(inner, "node").join(worst, "node")
-    return (sets.join(named.select(*SET, "inner_volume", "max_member_net"), SET, "left")
+    named = tree.sets.select("node", *SET).join(large(inner), "node").join(large(worst), "node")
+    return (sets.join(large(named.select(*SET, "inner_volume", "max_member_net")), SET, "left")
             .withColumn("member_matched", within(F.col("max_member_net"), F.col("inner_volume"), tolerance)))

@@ -1,7 +1,9 @@
 import random
 from decimal import Decimal
 
-from chainscope.operators import detect, peeling, scc
+from pyspark.sql import functions as F
+
+from chainscope.operators import detect, lineage, peeling, scc
 
 
 def _brute_members(edges):
@@ -82,3 +84,25 @@ def test_tree_matches_the_peel_loop(spark):
     counts = {r.address: (r.n_rounds, r.n_sets) for r in detect.vertex_scc_counts(tree).collect()}
     assert counts == {v: (sum(len(rs) for m, rs in rounds.items() if v in m), sum(v in m for m in rounds))
                       for m in rounds for v in m}
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    """Not one join of the tree, its members and balances, and the components
+    is by broadcast, small as the tables are here."""
+    plans = []
+
+    def watch(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    read = lineage.Scratch._read
+    monkeypatch.setattr(lineage.Scratch, "_read", lambda self, df, path: read(self, watch(df), path))
+    triples = [("a", "b", 2), ("b", "a", 2), ("b", "c", 1), ("c", "a", 1)]
+    edges = spark.createDataFrame([(s, d, w, Decimal(w)) for s, d, w in triples], "src STRING, dst STRING, weight BIGINT, value DECIMAL(38,0)")
+    tree = peeling.merge_tree(spark, edges)
+    net = edges.select(F.col("src").alias("address"), F.col("value").alias("net_value")).groupBy("address").agg(
+        F.sum("net_value").alias("net_value"))
+    for df in (detect.set_members(tree), detect.volume_match(detect.scc_occurrences(tree), tree, net),
+               detect.member_volume_match(detect.scc_occurrences(tree), tree), scc.scc_components(spark, edges)):
+        assert watch(df).count() > 0
+    assert len(plans) > 20 and not [p for p in plans if "Broadcast" in p]
