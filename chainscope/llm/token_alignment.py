@@ -28,6 +28,7 @@ import re
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain, compress, islice
 
 import numpy as np
 import pandas as pd
@@ -156,7 +157,8 @@ def _byte_of_symbol() -> dict[str, int]:
 
 class Unit:
     """Alignment of one unit of text: whether the bytes of both sides are the
-    unit's, tokens and groups, the groups' text, and the linked pairs."""
+    unit's, tokens and groups, the groups' text, and the linked pairs (packed
+    64-bit numbers)."""
     __slots__ = ("exact", "n_a", "n_b", "n_groups", "groups", "pairs")
 
 
@@ -173,6 +175,12 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        # Bytes of each id, and its decimals with what may follow in a group.
+        top = max(self.bytes_a) + 1
+        self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(top)])
+        self.size_b = np.array([len(t) for t in self.bytes_b])
+        self.marks = [f"{i}{m}" for i in range(top) for m in ",|"] + [f"{i}{m}" for i in range(len(self.bytes_b)) for m in ",;"]
+        self.mark_size = np.array([len(m) for m in self.marks])
         self.cut = re.compile(self._cuts())
         self.space = self.b.piece_to_id(SPACE)
         self.units: dict[str, Unit] = {}
@@ -195,29 +203,51 @@ class Aligner:
         ends = rf"(?<=\S)(?=[{white}])"
         return rf"{ends}|(?<=[{re.escape(''.join(sorted(letters)))}])(?=[{marks}])" if marks and letters else ends
 
-    def align(self, unit: str, ids_a: list[int], ids_b: list[int]) -> Unit:
-        u = Unit()
-        raw = unit.encode("utf-8", "replace")
-        part_a, part_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        u.exact = b"".join(part_a) == raw == b"".join(part_b)
-        u.n_a, u.n_b, u.n_groups, u.groups, u.pairs = len(ids_a), len(ids_b), 0, "", ()
-        if not u.exact:
-            return u
-        groups, pairs = [], []
-        i = j = from_a = from_b = end_a = end_b = 0
-        while i < len(ids_a) or j < len(ids_b):
-            if end_a <= end_b:
-                end_a += len(part_a[i])
-                i += 1
-            else:
-                end_b += len(part_b[j])
-                j += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, ids_a[from_a:i]))}|{','.join(map(str, ids_b[from_b:j]))}")
-                pairs.append(ids_a[i - 1] << 32 | ids_b[j - 1])
-                from_a, from_b = i, j
-        u.n_groups, u.groups, u.pairs = len(groups), ";".join(groups), tuple(pairs)
-        return u
+    def align(self, units: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[Unit]:
+        """The units' alignments, taken in one run over all their tokens."""
+        out = [Unit() for _ in units]
+        raw = [u.encode("utf-8", "replace") for u in units]
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        n_a = np.fromiter(map(len, ids_a), dtype=np.int64, count=len(raw))
+        n_b = np.fromiter(map(len, ids_b), dtype=np.int64, count=len(raw))
+        a = np.fromiter(chain.from_iterable(ids_a), dtype=np.int64, count=int(n_a.sum()))
+        b = np.fromiter(chain.from_iterable(ids_b), dtype=np.int64, count=int(n_b.sum()))
+        # Of the units as long as their tokens on both sides, those with the same bytes.
+        of = np.arange(len(raw))
+        exact = (np.bincount(np.repeat(of, n_a), self.size_a[a], len(raw)) == size) \
+            & (np.bincount(np.repeat(of, n_b), self.size_b[b], len(raw)) == size)
+        long_, held = b"".join(compress(raw, exact)), np.repeat(of[exact], size[exact])
+        for n, ids, parts in ((n_a, a, self.bytes_a), (n_b, b, self.bytes_b)):
+            got = b"".join(map(parts.__getitem__, ids[np.repeat(exact, n)].tolist()))
+            if got != long_:
+                exact[held[np.frombuffer(got, dtype=np.uint8) != np.frombuffer(long_, dtype=np.uint8)]] = False
+                long_, held = b"".join(compress(raw, exact)), np.repeat(of[exact], size[exact])
+        for u, e, x, y in zip(out, exact.tolist(), n_a.tolist(), n_b.tolist()):
+            u.exact, u.n_a, u.n_b, u.n_groups, u.groups, u.pairs = e, x, y, 0, "", b""
+        if not exact.any():
+            return out
+        a, b, n_a, n_b = a[np.repeat(exact, n_a)], b[np.repeat(exact, n_b)], n_a[exact], n_b[exact]
+        # A unit has as many bytes on both sides, so its offsets agree.
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at_b = np.searchsorted(end_b, end_a)
+        ends = end_b[at_b] == end_a
+        last_a, last_b = np.flatnonzero(ends), at_b[ends]
+        pairs = a[last_a] << 32 | b[last_b]
+        # The groups' text: the tokens of the first side stand after those of
+        # the second in the groups before theirs.
+        place = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[np.cumsum(ends) - ends]
+        closes = np.zeros(len(b), dtype=np.int64)
+        closes[last_b] = 1
+        marks, rest = np.empty(len(a) + len(b), dtype=np.int64), np.ones(len(a) + len(b), dtype=bool)
+        marks[place], rest[place] = 2 * a + ends, False
+        marks[rest] = 2 * (len(self.size_a) + b) + closes
+        text = "".join(map(self.marks.__getitem__, marks.tolist()))
+        z_a, z_b = np.cumsum(n_a), np.cumsum(n_b)
+        to = np.cumsum(self.mark_size[marks])[z_a + z_b - 1].tolist()
+        till = np.searchsorted(last_a, z_a).tolist()
+        for u, x, y, g, h in zip(compress(out, exact), [0, *to], to, [0, *till], till):
+            u.n_groups, u.groups, u.pairs = h - g, text[x:y - 1], pairs[g:h].tobytes()
+        return out
 
     def split(self, text: str) -> list[str]:
         """A space and the text, in units that both sides encode alone."""
@@ -233,18 +263,18 @@ class Aligner:
     def units_of(self, texts: list[list[str]]) -> dict[str, Unit]:
         """Alignments of the distinct units; new ones are encoded together."""
         got: dict[str, Unit] = {}
-        new = []
-        for u in {u for t in texts for u in t}:
-            unit = self.units.get(u) or self.older.get(u)
+        new, fresh = [], []
+        for u in set().union(*texts):
+            unit = self.units.get(u)
             if unit is None:
-                new.append(u)
-            else:
-                got[u] = unit
+                unit = self.older.get(u)
+                (new if unit is None else fresh).append(u)
+            got[u] = unit
         if new:
-            for u, enc, b in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), self._ids_b(new)):
-                got[u] = self.align(u, enc.ids, b)
+            ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+            got.update(zip(new, self.align(new, ids_a, self._ids_b(new))))
         # Beyond half the bound the newer half becomes the older one.
-        self.units.update((u, unit) for u, unit in got.items() if len(u) <= CACHE_CHARS)
+        self.units.update((u, got[u]) for u in chain(new, fresh) if len(u) <= CACHE_CHARS)
         if len(self.units) > CACHE_UNITS // 2:
             self.units, self.older = {}, self.units
         return got
@@ -256,53 +286,61 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+class _Codes(dict):
+    """Units numbered as they are first asked for."""
+
+    def __missing__(self, unit: str) -> int:
+        n = self[unit] = len(self)
+        return n
+
+
 class _Block:
     """Documents of one block, and its distinct units."""
 
     def __init__(self):
-        self.index: dict[str, int] = {}
+        self.index = _Codes()
         self.units: list[Unit] = []
-        self.keys, self.rows, self.shas, self.codes, self.chars = [], [], [], [], 0
-
-    def add(self, key, text: str, cut: list[str], known: dict[str, Unit]) -> None:
-        got = [known[u] for u in cut]
-        if not all(g.exact for g in got):
-            cut, got = [], []
-        code = np.empty(len(cut), dtype=np.uint32)
-        index = self.index
-        for i, u in enumerate(cut):
-            c = index.get(u)
-            if c is None:
-                c = index[u] = len(index)
-                self.units.append(got[i])
-            code[i] = c
+        self.groups: list[str] = []
+        self.keys, self.shas, self.codes, self.chars = [], [], [], 0
+
+    def add(self, key, text: str, cut: list[str], known: dict[str, Unit], inexact: set[str]) -> None:
+        if not inexact.isdisjoint(cut):
+            cut = []
+        code = list(map(self.index.__getitem__, cut))
+        new = [known[u] for u in islice(reversed(self.index), len(self.index) - len(self.units))][::-1]
+        self.units += new
+        self.groups += [u.groups for u in new]
         self.keys.append(key)
-        self.codes.append(code)
-        self.rows.append((sum(g.n_a for g in got), sum(g.n_b for g in got), sum(g.n_groups for g in got)))
-        self.shas.append(hashlib.sha256(";".join([g.groups for g in got]).encode()).hexdigest() if got else "")
+        self.codes.append(np.array(code, dtype=np.uint32))
+        self.shas.append(hashlib.sha256(";".join(map(self.groups.__getitem__, code)).encode()).hexdigest() if cut else "")
         self.chars += len(text)
 
     def close(self) -> pd.DataFrame:
         n_docs = len(self.keys)
-        sizes = np.array([len(u.pairs) for u in self.units], dtype=np.int64)
-        flat = np.fromiter((p for u in self.units for p in u.pairs), dtype=np.int64, count=int(sizes.sum()))
+        sizes = np.array([u.n_groups for u in self.units], dtype=np.int64)
+        flat = np.frombuffer(b"".join(u.pairs for u in self.units), dtype=np.int64)
         pairs, slot = np.unique(flat, return_inverse=True)
         # Distinct (document, unit) with their numbers, then their pairs.
         code = np.concatenate(self.codes).astype(np.int64)
-        doc = np.repeat(np.arange(n_docs), [len(c) for c in self.codes])
+        words = np.array([len(c) for c in self.codes])
+        doc, till = np.repeat(np.arange(n_docs), words), np.cumsum(words)
+        rows = []
+        for each in ([u.n_a for u in self.units], [u.n_b for u in self.units], sizes):
+            upto = np.concatenate([[0], np.cumsum(np.asarray(each, dtype=np.int64)[code])])
+            rows.append((upto[till] - upto[till - words]).tolist())
         key, times = np.unique(code * n_docs + doc, return_counts=True)
         code, doc = key // n_docs, key % n_docs
         n = sizes[code]
         start = np.concatenate([[0], np.cumsum(sizes)])[:-1][code] if len(sizes) else n
         at = np.repeat(start - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(int(n.sum()))
         key, back = np.unique(slot[at] * n_docs + np.repeat(doc, n), return_inverse=True)
-        links = np.zeros(len(key), dtype=np.int64)
-        np.add.at(links, back, np.repeat(times, n))
+        # Sums of doubles are exact up to 2^53 links.
+        links = np.bincount(back, weights=np.repeat(times, n), minlength=len(key)).astype(np.int64)
         planes = planes_of(key // n_docs, key % n_docs, links, len(pairs), n_docs)
         docs, total = pair_totals(planes, len(pairs))
         return pd.DataFrame({
-            "block": [uuid.uuid4().hex], "keys": [self.keys], "n_a": [[r[0] for r in self.rows]],
-            "n_b": [[r[1] for r in self.rows]], "n_groups": [[r[2] for r in self.rows]], "shas": [self.shas],
+            "block": [uuid.uuid4().hex], "keys": [self.keys], "n_a": [rows[0]], "n_b": [rows[1]], "n_groups": [rows[2]],
+            "shas": [self.shas],
             "pairs": [pairs.tolist()], "pair_docs": [docs.tolist()], "pair_links": [total.tolist()],
             "planes": [pack_planes(planes)]})
 
@@ -325,8 +363,9 @@ def postings(docs: DataFrame, scratch: Scratch, path_a: str | None = None, path_
                     end += 1
                 cuts = [tool.split(t) for t in texts[at:end]]
                 known = tool.units_of(cuts)
+                inexact = {u for u, unit in known.items() if not unit.exact}
                 for key, text, cut in zip(keys[at:end], texts[at:end], cuts):
-                    block.add(key, text, cut, known)
+                    block.add(key, text, cut, known, inexact)
                     if block.chars >= block_chars or len(block.keys) >= BLOCK_DOCS:
                         yield block.close()
                         block = _Block()

@@ -153,6 +153,25 @@ def test_alignment_matches_brute_force(spark, docs, rows, block_chars):
     assert as_bag(got.collect()) == brute_alignment(rows)
 
 
+def test_units_are_aligned_together():
+    """One run over the tokens of many units gives what each gives alone,
+    those whose bytes differ on one side among them."""
+    tool = ta.Aligner(public_tokenizers.path(ta.FILE_A), public_tokenizers.path(ta.FILE_B))
+    units = [" the", " naïve\u200b", " \u3000x", " 中文", "<|endoftext|>", " tokenizers", " \ufb01t", " Z"]
+    ids_a = [e.ids for e in tool.a.encode_batch_fast(units, add_special_tokens=False)]
+    ids_b = tool._ids_b(units)
+    ids_a[3], ids_b[5] = ids_a[0], [*ids_b[5][:-1], ids_b[0][-1]]
+    ids_b[7] = tool._ids_b([" Q"])[0]  # as long, with other bytes
+    fields = ("exact", "n_a", "n_b", "n_groups", "groups", "pairs")
+    together = [[getattr(u, f) for f in fields] for u in tool.align(units, ids_a, ids_b)]
+    alone = [[getattr(tool.align([u], [a], [b])[0], f) for f in fields] for u, a, b in zip(units, ids_a, ids_b)]
+    assert together == alone
+    exact = [b"".join(tool.bytes_a[i] for i in a) == u.encode() == b"".join(tool.bytes_b[i] for i in b)
+             for u, a, b in zip(units, ids_a, ids_b)]
+    assert [t[0] for t in together] == exact and exact[0] and not (exact[3] or exact[5] or exact[7])
+    assert [t[3] for t in together] == [t[4].count("|") for t in together] == [len(t[5]) // 8 for t in together]
+
+
 def test_bitmaps_round_trip_and_count():
     import numpy as np
     rnd = np.random.default_rng(1)
