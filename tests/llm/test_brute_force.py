@@ -312,6 +312,24 @@ def test_suffix_tree_blocks_do_not_matter(spark, docs):
     assert totals == same and tree.count() > whole.count()
 
 
+def test_suffix_tree_goes_on_from_what_is_open(spark, docs):
+    # No round walks through all earlier levels, or reads all replies, again.
+    scratch = suffix_tree.Scratch(spark, "pst-test")
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(freed)
+    tree, totals = suffix_tree.grow(spark, suffix_tree.build_blocks(suffix_tree.id_text(docs), scratch, 100_000), scratch)
+    assert totals["depth"] > suffix_tree.KEEP and spark.conf.get(freed) == before
+    assert len({f.rsplit("/", 1)[0] for f in tree.inputFiles() if "-replies" in f}) == 1
+    assert all(set(r.kinds) == {f"gain{totals['depth']}", f"count{totals['depth'] + 2}", f"seen{totals['depth'] + 1}"} and r.state for r in tree.collect())
+
+
+def test_suffix_tree_distinct():
+    near = np.array([2**40 + 3, 2**40 + 1, 7, 2**40 + 3, 2**40 + 2, 2**64 - 1, 7], dtype=np.uint64)
+    for keys in (near, near[::-1], near[:1], near[:0], np.random.default_rng(3).integers(0, 900, 5000).astype(np.uint64) << np.uint64(50)):
+        for got, want in zip(suffix_tree._distinct(keys), np.unique(keys, return_inverse=True)):
+            assert (got == want).all()
+
+
 def test_suffix_tree_keeps_telling_contexts_only(spark):
     # "a" is always followed by "b"; "x" by something new every time.
     rows = [(i, f"a b x n{i}") for i in range(1, 40)]
